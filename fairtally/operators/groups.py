@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairtally.functions.arrays import group_index, sqdist
+from fairtally.functions.batches import feature_matrix, nearest_in_batch
 from fairtally.functions.centers import as_centers
-from fairtally.operators.nearest import feature_matrix, nearest_in_batch, unrolls, with_nearest
+from fairtally.operators.nearest import unrolls, with_nearest
 from fairtally.operators.objectives import TWO_GROUPS, Centers
 
 

@@ -9,20 +9,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fairtally.functions.batches import BAD_POINT, feature_matrix, nearest_in_batch
 from fairtally.functions.centers import as_centers
 
-# Up to here the distances are plain column expressions inside whole-stage codegen.
-# Beyond it the generated method outgrows what the JIT compiles and Arrow batches with
-# numpy are several times faster (measured, see README).
-UNROLL_MAX_CENTERS = 16
-UNROLL_MAX_TERMS = 64
-
-BAD_POINT = "point of wrong dimension or with a missing or non-finite coordinate"
+# Up to this many (center, coordinate) terms the distances are plain column expressions
+# inside whole-stage codegen. With more of them the generated method outgrows what the JIT
+# compiles, and Arrow batches with numpy are faster (measured, see README).
+UNROLL_MAX_TERMS = 16
 
 
 def unrolls(centers: np.ndarray) -> bool:
-    k, d = centers.shape
-    return k <= UNROLL_MAX_CENTERS and k * d <= UNROLL_MAX_TERMS
+    return centers.size <= UNROLL_MAX_TERMS
 
 
 def with_nearest(
@@ -46,40 +43,35 @@ def with_nearest(
 def _nearest_columns(
     points: DataFrame, centers: np.ndarray, features: str, cluster_col: str, dist_col: str
 ) -> DataFrame:
-    k, d = centers.shape
-    nan = F.lit(float("nan"))
+    d = centers.shape[1]
     xs = [f"__x{j}" for j in range(d)]
-    ds = [f"__d{i}" for i in range(k)]
 
-    # Missing coordinates become NaN, so everything below is non-null arithmetic and a
-    # bad point shows as a non-finite smallest distance.
+    # Missing coordinates become NaN, so the distances are non-null arithmetic and a bad
+    # point shows as a smallest distance that is not finite.
     coords = [F.get(features, F.lit(j)).cast("double") for j in range(d)]
     coords[0] = F.when(F.size(features) == d, coords[0])
-    frame = points.select("*", *[F.coalesce(x, nan).alias(n) for x, n in zip(coords, xs)])
+    frame = points.select("*", *[F.coalesce(x, F.lit(float("nan"))).alias(n) for x, n in zip(coords, xs)])
 
-    def distance(center: np.ndarray) -> Column:
+    def candidate(i: int, center: np.ndarray) -> Column:
         total = None
         for name, value in zip(xs, center):
             step = (F.col(name) - F.lit(float(value))) * (F.col(name) - F.lit(float(value)))
             total = step if total is None else total + step
-        return total
-
-    # Each stage reads the one before more than once, so Catalyst keeps them apart and
-    # every distance is computed once per point.
-    frame = frame.select(*points.columns, *[distance(c).alias(n) for c, n in zip(centers, ds)])
-    smallest = F.least(*[F.col(n) for n in ds]) if k > 1 else F.col(ds[0])
-    frame = frame.select("*", smallest.alias("__min"))
-
-    bad = F.col("__min") >= F.lit(float("inf"))
-    fail = F.raise_error(F.lit(BAD_POINT))
-    index = F.when(bad, fail.cast("int"))
-    for i, n in enumerate(ds[:-1]):
-        index = index.when(F.col(n) == F.col("__min"), F.lit(i))
-    return frame.select(
-        *points.columns,
-        index.otherwise(F.lit(k - 1)).alias(cluster_col),
-        F.when(bad, fail.cast("double")).otherwise(F.col("__min")).alias(dist_col),
+        return F.struct(total.alias("dist"), F.lit(i).alias("id"))
+
+    # The least (distance, index) pair. Every stage reads the one before more than once, so
+    # Catalyst keeps them apart and computes each distance once per point.
+    pairs = [candidate(i, c) for i, c in enumerate(centers)]
+    frame = frame.select(*points.columns, (F.least(*pairs) if len(pairs) > 1 else pairs[0]).alias("__best"))
+    dist = F.col("__best.dist")
+    fail = F.raise_error(F.lit(BAD_POINT)).cast("double")
+    checked = F.when(dist < F.lit(float("inf")), dist).otherwise(fail)
+    # A generator of one row: filters on the result stay above it. Pushed below, they would
+    # repeat all distances.
+    found = F.struct(
+        F.coalesce("__best.id", F.lit(-1)).alias(cluster_col), F.coalesce(checked, F.lit(-1.0)).alias(dist_col)
     )
+    return frame.select(*points.columns, F.inline(F.array(found)))
 
 
 def _nearest_arrow(
@@ -97,37 +89,3 @@ def _nearest_arrow(
         F.col("__near.cluster_id").alias(cluster_col),
         F.col("__near.dist").alias(dist_col),
     )
-
-
-def feature_matrix(batch: pa.Array, d: int) -> np.ndarray:
-    """n x d matrix of an Arrow batch of double lists; raises on any malformed point."""
-    if isinstance(batch, pa.ChunkedArray):
-        batch = batch.combine_chunks()
-    flat = batch.flatten()
-    sizes = batch.value_lengths().to_numpy(zero_copy_only=False)
-    if batch.null_count or flat.null_count or (sizes != d).any():
-        raise ValueError(BAD_POINT)
-    return flat.to_numpy(zero_copy_only=False).reshape(-1, d)
-
-
-def nearest_in_batch(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index and squared distance of the nearest center for each row of one batch.
-
-    Sums (x - c)^2 one coordinate after the other, as the column form does, so both give
-    the same doubles and the same ties.
-    """
-    columns = np.ascontiguousarray(x.T)
-    best = np.full(len(x), np.inf)
-    index = np.zeros(len(x), dtype=np.int32)
-    for i, center in enumerate(centers):
-        dist = np.zeros(len(x))
-        for column, value in zip(columns, center):
-            diff = column - value
-            diff *= diff
-            dist += diff
-        closer = dist < best
-        best[closer] = dist[closer]
-        index[closer] = i
-    if not np.isfinite(best).all():
-        raise ValueError(BAD_POINT)
-    return index, best
