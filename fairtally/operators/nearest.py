@@ -66,12 +66,9 @@ def _nearest_columns(
     dist = F.col("__best.dist")
     fail = F.raise_error(F.lit(BAD_POINT)).cast("double")
     checked = F.when(dist < F.lit(float("inf")), dist).otherwise(fail)
-    # A generator of one row: filters on the result stay above it. Pushed below, they would
-    # repeat all distances.
-    found = F.struct(
-        F.coalesce("__best.id", F.lit(-1)).alias(cluster_col), F.coalesce(checked, F.lit(-1.0)).alias(dist_col)
+    return _with_result(
+        frame, points.columns, F.coalesce("__best.id", F.lit(-1)), F.coalesce(checked, F.lit(-1.0)), cluster_col, dist_col
     )
-    return frame.select(*points.columns, F.inline(F.array(found)))
 
 
 def _nearest_arrow(
@@ -83,9 +80,21 @@ def _nearest_arrow(
         index, dist = nearest_in_batch(feature_matrix(batch, centers.shape[1]), centers)
         return pa.StructArray.from_arrays([pa.array(index), pa.array(dist)], names=["cluster_id", "dist"])
 
-    found = points.withColumn("__near", nearest(F.col(features).cast("array<double>")))
-    return found.select(
-        *points.columns,
-        F.col("__near.cluster_id").alias(cluster_col),
-        F.col("__near.dist").alias(dist_col),
+    frame = points.withColumn("__near", nearest(F.col(features).cast("array<double>")))
+    return _with_result(
+        frame,
+        points.columns,
+        F.coalesce("__near.cluster_id", F.lit(-1)),
+        F.coalesce("__near.dist", F.lit(-1.0)),
+        cluster_col,
+        dist_col,
     )
+
+
+def _with_result(
+    frame: DataFrame, keep: list[str], index: Column, dist: Column, cluster_col: str, dist_col: str
+) -> DataFrame:
+    # A generator of one row. Filters on the result, also those that joins infer, stay above
+    # it; pushed below, they would compute all distances a second time.
+    found = F.struct(index.alias(cluster_col), dist.alias(dist_col))
+    return frame.select(*keep, F.inline(F.array(found)))

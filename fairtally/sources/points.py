@@ -40,7 +40,9 @@ def parse_points(lines: DataFrame, dim: int | None = None, mode: str = "FAILFAST
         count = F.greatest(F.size("__parts") - 1, F.lit(0))
         features = F.transform(F.slice("__parts", F.lit(1), count), _coordinate)
     else:
-        features = F.array(*[_coordinate(F.get("__parts", F.lit(j))) for j in range(dim)])
+        numbers = [F.get("__parts", F.lit(j)).try_cast("double").alias(f"__c{j}") for j in range(dim)]
+        parts = parts.select("*", *numbers)
+        features = F.array(*[_number(F.col(f"__c{j}")) for j in range(dim)])
     label = F.try_element_at("__parts", F.lit(-1))
     parsed = parts.select(*kept, "__line", F.size("__parts").alias("__n"), features.alias("features"), label.alias("grp"))
     if dim is None:
@@ -57,11 +59,14 @@ def parse_points(lines: DataFrame, dim: int | None = None, mode: str = "FAILFAST
     return parsed.select(*kept, checked.alias("features"), "grp")
 
 
-def _coordinate(text: Column) -> Column:
-    value = text.try_cast("double")
+def _number(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _coordinate(text: Column) -> Column:
+    return _number(text.try_cast("double"))
+
+
 def read_points(
     spark: SparkSession,
     path: str | list[str],
