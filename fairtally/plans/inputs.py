@@ -15,7 +15,7 @@ EVEN_HASHES = HashFamily(
     width=64, a=(17, 101, 2003, 911), b=(5, 42, 1234, 77), sign_a=(3, 7, 11, 13), sign_b=(1, 0, 5, 2)
 )
 TOP_K = 5
-STREAM_CHUNKS = 5
+STREAM_CHUNKS = 4
 VECTOR_CENTERS = 4
 
 

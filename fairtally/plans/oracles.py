@@ -155,11 +155,11 @@ hit AS MATERIALIZED (
 ALL_ITEMS = "SELECT user_id AS item, count(*) AS cnt FROM events GROUP BY user_id"
 
 ARRIVING = f"""SELECT user_id AS item, count(*) AS cnt FROM (
-    SELECT user_id, CAST(floor(event_id * {STREAM_CHUNKS} / (SELECT max(event_id) + 1 FROM events)) AS BIGINT) AS chunk
+    SELECT user_id, event_id * {STREAM_CHUNKS} // (SELECT max(event_id) + 1 FROM events) AS chunk
     FROM events) WHERE chunk IN (
     SELECT chunk FROM (
       SELECT chunk, coalesce(sum(n) OVER (ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-      FROM (SELECT CAST(floor(event_id * {STREAM_CHUNKS} / (SELECT max(event_id) + 1 FROM events)) AS BIGINT) AS chunk,
+      FROM (SELECT event_id * {STREAM_CHUNKS} // (SELECT max(event_id) + 1 FROM events) AS chunk,
                    count(*) AS n FROM events GROUP BY 1))
     WHERE before < (SELECT greatest(1, count(*) * 11 // 20) FROM events))
   GROUP BY user_id"""
@@ -213,6 +213,13 @@ FROM c0 LEFT JOIN n0 USING (cluster_id) GROUP BY ALL""",
   list_min([(o_totalprice - c) * (o_totalprice - c) FOR c IN [100000.0::DOUBLE, 250000.0::DOUBLE, 400000.0::DOUBLE]]) AS dist FROM orders)
 SELECT count(*) AS n, count(*) FILTER (s = 'F') AS na, count(*) FILTER (s = 'O') AS nb, round(avg(dist) / 1e6, 4) AS delta,
   round(greatest(avg(dist) FILTER (s = 'F'), avg(dist) FILTER (s = 'O')) / 1e6, 4) AS phi FROM d""",
+    "cl_report_text": f"""{FIXED}, s AS (SELECT cluster_id AS i, any_value(cx) AS cx, any_value(cy) AS cy,
+  count(pid) FILTER (g = 'A') AS na, count(pid) FILTER (g = 'B') AS nb FROM c0 LEFT JOIN n0 USING (cluster_id) GROUP BY 1)
+SELECT CAST(0 AS INTEGER) AS line_no, printf('N = %d, NA = %d, NB = %d', count(*), count(*) FILTER (g = 'A'),
+  count(*) FILTER (g = 'B')) AS line FROM n0
+UNION ALL SELECT 1, printf('Delta(U,C) = %.6f', avg(dist)) FROM n0
+UNION ALL SELECT 2, printf('Phi(A,B,C) = %.6f', {_phi('n0')})
+UNION ALL SELECT i + 3, printf('i = %d, center = (%.6f,%.6f), NA%d = %d, NB%d = %d', i, cx, cy, i, na, i, nb) FROM s""",
     "cl_init": "SELECT CAST(4 AS BIGINT) AS n_centers, CAST(4 AS BIGINT) AS n_inside",
     "cl_kmeans_gain": "SELECT count(*) AS n, TRUE AS not_worse FROM lineitem",
     "cl_compare_fixed": f"""{_lloyd(ROUNDS)}, {_assigned('n_end', f'c{ROUNDS}')}
@@ -240,6 +247,13 @@ SELECT gamma, round(fa, 6) AS fa, round(fb, 6) AS fb FROM g0_10 CROSS JOIN f0_10
     "sk_topk": f"{CELLS} SELECT item, cnt, cm_est FROM hit",
     "sk_topk_error": f"{CELLS} SELECT {ERRORS} FROM hit",
     "sk_report": f"{CELLS} {REPORT}",
+    "sk_report_text": f"""{CELLS}, t AS ({REPORT})
+SELECT CAST(0 AS INTEGER) AS line_no, printf('Number of processed items = %d', n) AS line FROM t
+UNION ALL SELECT 1, printf('Number of distinct items = %d', n_distinct) FROM t
+UNION ALL SELECT 2, printf('Number of Top-K heavy hitters = %d', n_topk) FROM t
+UNION ALL SELECT 3, printf('Avg Relative Error for Top-K Heavy Hitters with CM = %.6f', err_cm) FROM t
+UNION ALL SELECT 4, printf('Avg Relative Error for Top-K Heavy Hitters with CS = %.6f', err_cs) FROM t
+UNION ALL SELECT 5, printf('Item %d True Frequency = %d Estimated Frequency with CM = %d', item, cnt, cm_est) FROM hit""",
     "st_exact_freq": ALL_ITEMS,
     "st_sketch": f"{CELLS} SELECT r, c, cm, cs FROM cell",
     "st_threshold_prefix": f"SELECT item, CAST(cnt AS BIGINT) AS cnt FROM ({ARRIVING})",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairtally.functions.centers import centers_frame
-from fairtally.operators import fair, frequency, groups, objectives, sketch, words
+from fairtally.operators import fair, frequency, groups, objectives, reports, sketch, words
 from fairtally.operators.kmeans import initial_centers, kmeans
 from fairtally.operators.nearest import with_nearest
 from fairtally.plans.inputs import (
@@ -125,6 +125,10 @@ def cl_report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("n", "na", "nb", *[F.round(F.col(c) / 1e6, 4).alias(c) for c in ("delta", "phi")])
 
 
+def cl_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.clustering_lines(line_points(spark, sf_dir), CENTERS)
+
+
 # --- k-means ------------------------------------------------------------------------------
 
 
@@ -311,6 +315,11 @@ def sk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_report(sketch.sketch_report(freq, sketch.build_sketch(freq, HASHES, weight="cnt"), TOP_K))
 
 
+def sk_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    freq = _frequencies(spark, sf_dir)
+    return reports.stream_lines(freq, sketch.build_sketch(freq, HASHES, weight="cnt"), TOP_K)
+
+
 # --- streams ------------------------------------------------------------------------------
 
 
@@ -341,14 +350,16 @@ def st_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prefix_run(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Let the events arrive in five parts by id, one micro-batch each, and stop after 11/20 of them."""
+    """Let the events arrive in four parts by id, one micro-batch each, and stop after 11/20 of them."""
     events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("item"))
     n, top = events.agg(F.count(F.lit(1)), F.max("event_id")).first()
     threshold = max(1, n * 11 // 20)
-    chunk = F.floor(F.col("event_id") * STREAM_CHUNKS / (top + 1))
+    # First id of each part: the ids i * (top + 1) / parts, rounded up.
+    starts = [-(-i * (top + 1) // STREAM_CHUNKS) for i in range(STREAM_CHUNKS + 1)]
     work = scratch_dir(spark, "prefix")
-    for i in range(STREAM_CHUNKS):
-        events.where(chunk == i).select("item").write.mode("append").parquet(f"{work}/incoming")
+    for first, beyond in zip(starts, starts[1:]):
+        part = events.where((F.col("event_id") >= first) & (F.col("event_id") < beyond))
+        part.select("item").write.mode("append").parquet(f"{work}/incoming")
         arrived = spark.readStream.schema("item bigint").parquet(f"{work}/incoming")
         query = prefix.start_prefix_stream(
             arrived, HASHES, threshold, f"{work}/out", f"{work}/checkpoint", availableNow=True
@@ -435,6 +446,7 @@ QUERIES = {
         cl_group_sizes_grid,
         cl_report,
         cl_report_totals,
+        cl_report_text,
         cl_init,
         cl_kmeans,
         cl_kmeans_gain,
@@ -459,6 +471,7 @@ QUERIES = {
         sk_topk,
         sk_topk_error,
         sk_report,
+        sk_report_text,
         st_exact_freq,
         st_sketch,
         st_threshold_prefix,

@@ -15,7 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from fairtally.functions.hashing import HashFamily
 from fairtally.operators.frequency import item_frequencies, merge_frequencies
-from fairtally.operators.sketch import Sketch, add_cells, sketch_cells, sketch_report
+from fairtally.operators.sketch import MAX_DENSE_CELLS, Sketch, add_cells, sketch_cells, sketch_report
 from fairtally.streaming.running import CELL_SCHEMA, FREQ_SCHEMA
 from fairtally.streaming.tables import read_batches, write_batch
 
@@ -60,7 +60,10 @@ def start_prefix_stream(
         write_batch(item_frequencies(batch), freq_dir, batch_id)
         # Sketches are linear: build the cells from the counts, not from the items again.
         counts = session.read.schema(FREQ_SCHEMA).parquet(f"{freq_dir}/batch_id={batch_id}")
-        write_batch(sketch_cells(counts, hashes, weight="cnt"), _cell_table(out_dir), batch_id)
+        rows = sketch_cells(counts, hashes, weight="cnt")
+        if hashes.cells <= MAX_DENSE_CELLS:
+            rows = rows.repartition(1)  # one small file per batch; the sums are done by then
+        write_batch(rows, _cell_table(out_dir), batch_id)
         cells = session.read.schema(CELL_SCHEMA).parquet(f"{_cell_table(out_dir)}/batch_id={batch_id}")
         seen[batch_id] = cells.where("r = 0").agg(F.sum("cm")).first()[0]
 

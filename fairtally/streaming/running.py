@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -14,6 +17,29 @@ FREQ_SCHEMA = "item bigint, cnt bigint"
 CELL_SCHEMA = "r int, c int, cm bigint, cs bigint"
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep large state on local disk instead of on the heap.
+
+    A query copies the session settings when it starts, and a restarted one keeps those of
+    its checkpoint, so the setting is put back right away. A provider that the user chose
+    stays.
+    """
+    old = spark.conf.get(STATE_PROVIDER)
+    chosen = "HDFSBackedStateStoreProvider" not in old
+    if not chosen:
+        spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if not chosen:
+            spark.conf.set(STATE_PROVIDER, old)
+
+
 def _start(running: DataFrame, table: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     # Update mode: a batch writes the keys it changed, not the whole state.
     return (
@@ -27,7 +53,8 @@ def _start(running: DataFrame, table: str, checkpoint: str, trigger: dict) -> St
 
 def start_frequencies(items: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Count a stream of items; the state grows with the number of distinct items."""
-    return _start(item_frequencies(items), table, checkpoint, trigger or {"processingTime": "100 milliseconds"})
+    with state_on_disk(items.sparkSession):
+        return _start(item_frequencies(items), table, checkpoint, trigger or {"processingTime": "100 milliseconds"})
 
 
 def read_frequencies(spark: SparkSession, table: str) -> DataFrame:
