@@ -14,35 +14,42 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BAD_POINT = "point of wrong dimension or with a missing or non-finite coordinate"
 
 
-def feature_matrix(batch: pa.Array, d: int) -> np.ndarray:
-    """n x d matrix of an Arrow batch of double lists; raises on any malformed point."""
-    if isinstance(batch, pa.ChunkedArray):
-        batch = batch.combine_chunks()
-    flat = batch.flatten()
-    sizes = batch.value_lengths().to_numpy(zero_copy_only=False)
-    if batch.null_count or flat.null_count or (sizes != d).any():
+def coordinates(arrays: list[pa.Array], d: int) -> np.ndarray:
+    """d x n coordinates of a batch; raises on any malformed point.
+
+    Takes one array per coordinate, or a single array of coordinate lists.
+    """
+    arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
+    if any(a.null_count for a in arrays):
+        raise ValueError(BAD_POINT)
+    if not pa.types.is_list(arrays[0].type):
+        return np.stack([a.to_numpy(zero_copy_only=False) for a in arrays])
+    flat = arrays[0].flatten()
+    sizes = arrays[0].value_lengths().to_numpy(zero_copy_only=False)
+    if flat.null_count or (sizes != d).any():
         raise ValueError(BAD_POINT)
-    return flat.to_numpy(zero_copy_only=False).reshape(-1, d)
+    return np.ascontiguousarray(flat.to_numpy(zero_copy_only=False).reshape(-1, d).T)
 
 
-def nearest_in_batch(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index and squared distance of the nearest center for each row of one batch.
+def nearest_in_batch(columns: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index and squared distance of the nearest center for each of n points (d x n).
 
     Sums (x - c)^2 one coordinate after the other, as the column form does, so both give
     the same doubles and the same ties.
     """
-    columns = np.ascontiguousarray(x.T)
-    best = np.full(len(x), np.inf)
-    index = np.zeros(len(x), dtype=np.int32)
+    n = columns.shape[1]
+    best = np.full(n, np.inf)
+    index = np.zeros(n, dtype=np.int32)
+    dist, diff = np.empty(n), np.empty(n)
     for i, center in enumerate(centers):
-        dist = np.zeros(len(x))
+        dist.fill(0.0)
         for column, value in zip(columns, center):
-            diff = column - value
-            diff *= diff
-            dist += diff
+            np.subtract(column, value, out=diff)
+            np.multiply(diff, diff, out=diff)
+            np.add(dist, diff, out=dist)
         closer = dist < best
-        best[closer] = dist[closer]
-        index[closer] = i
+        np.copyto(best, dist, where=closer)
+        np.copyto(index, i, where=closer, casting="unsafe")
     if not np.isfinite(best).all():
         raise ValueError(BAD_POINT)
     return index, best

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairtally.functions.arrays import group_index, sqdist
-from fairtally.functions.batches import feature_matrix, nearest_in_batch
+from fairtally.functions.batches import coordinates, nearest_in_batch
 from fairtally.functions.centers import as_centers
-from fairtally.operators.nearest import unrolls, with_nearest
+from fairtally.operators.nearest import python_columns, unrolls, with_nearest
 from fairtally.operators.objectives import TWO_GROUPS, Centers
 
 
@@ -69,14 +69,13 @@ def _stats_arrow(labelled: DataFrame, centers: np.ndarray, n_groups: int) -> Dat
         q = np.zeros(slots)
         s = np.zeros((d, slots))
         for batch in batches:
-            x = feature_matrix(batch.column(0), d)
+            x = coordinates(batch.columns[1:], d)
             index, dist = nearest_in_batch(x, centers)
-            slot = index * n_groups + batch.column(1).to_numpy(zero_copy_only=False)
+            slot = index.astype(np.intp) * n_groups + batch.column(0).to_numpy(zero_copy_only=False)
             n += np.bincount(slot, minlength=slots)
             q += np.bincount(slot, weights=dist, minlength=slots)
-            shifted = (x - centers[index]).T
             for j in range(d):
-                s[j] += np.bincount(slot, weights=shifted[j], minlength=slots)
+                s[j] += np.bincount(slot, weights=x[j] - centers[index, j], minlength=slots)
         used = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays(
             [
@@ -89,7 +88,8 @@ def _stats_arrow(labelled: DataFrame, centers: np.ndarray, n_groups: int) -> Dat
             names=["cluster_id", "g", "n", "q", "s"],
         )
 
-    rows = labelled.mapInArrow(partials, "cluster_id int, g int, n bigint, q double, s array<double>")
+    sent = labelled.select("g", *[c.alias(f"x{j}") for j, c in enumerate(python_columns("features", d))])
+    rows = sent.mapInArrow(partials, "cluster_id int, g int, n bigint, q double, s array<double>")
     # n and q belong to the row, s to its coordinates: they travel with coordinate 0 only.
     flat = rows.select("cluster_id", "g", "n", "q", F.posexplode("s").alias("j", "s"))
     first = F.col("j") == 0

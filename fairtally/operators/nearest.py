@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairtally.functions.batches import BAD_POINT, feature_matrix, nearest_in_batch
+from fairtally.functions.batches import BAD_POINT, coordinates, nearest_in_batch
 from fairtally.functions.centers import as_centers
 
 # Up to this many (center, coordinate) terms the distances are plain column expressions
@@ -17,6 +17,9 @@ from fairtally.functions.centers import as_centers
 # compiles, and Arrow batches with numpy are faster (measured, see README).
 UNROLL_MAX_TERMS = 16
 
+# Up to this dimension the coordinates go to Python as plain columns, beyond it as a list.
+FLAT_MAX_DIM = 16
+
 
 def unrolls(centers: np.ndarray) -> bool:
     return centers.size <= UNROLL_MAX_TERMS
@@ -40,17 +43,27 @@ def with_nearest(
     return _nearest_arrow(points, table, features, cluster_col, dist_col)
 
 
+def coordinate_columns(features: str, d: int) -> list[Column]:
+    """The d coordinates; the first is null when the point has another dimension."""
+    coords = [F.get(features, F.lit(j)).cast("double") for j in range(d)]
+    coords[0] = F.when(F.size(features) == d, coords[0])
+    return coords
+
+
+def python_columns(features: str, d: int) -> list[Column]:
+    """The points as columns for Arrow batches."""
+    return coordinate_columns(features, d) if d <= FLAT_MAX_DIM else [F.col(features).cast("array<double>")]
+
+
 def _nearest_columns(
     points: DataFrame, centers: np.ndarray, features: str, cluster_col: str, dist_col: str
 ) -> DataFrame:
-    d = centers.shape[1]
-    xs = [f"__x{j}" for j in range(d)]
+    xs = [f"__x{j}" for j in range(centers.shape[1])]
 
     # Missing coordinates become NaN, so the distances are non-null arithmetic and a bad
     # point shows as a smallest distance that is not finite.
-    coords = [F.get(features, F.lit(j)).cast("double") for j in range(d)]
-    coords[0] = F.when(F.size(features) == d, coords[0])
-    frame = points.select("*", *[F.coalesce(x, F.lit(float("nan"))).alias(n) for x, n in zip(coords, xs)])
+    coords = [F.coalesce(x, F.lit(float("nan"))) for x in coordinate_columns(features, len(xs))]
+    frame = points.select("*", *[x.alias(n) for x, n in zip(coords, xs)])
 
     def candidate(i: int, center: np.ndarray) -> Column:
         total = None
@@ -76,11 +89,11 @@ def _nearest_arrow(
 ) -> DataFrame:
     # Spark moves the pickled function to a broadcast by itself once it exceeds 1 MB.
     @F.arrow_udf("cluster_id int, dist double")
-    def nearest(batch: pa.Array) -> pa.Array:
-        index, dist = nearest_in_batch(feature_matrix(batch, centers.shape[1]), centers)
+    def nearest(*arrays: pa.Array) -> pa.Array:
+        index, dist = nearest_in_batch(coordinates(list(arrays), centers.shape[1]), centers)
         return pa.StructArray.from_arrays([pa.array(index), pa.array(dist)], names=["cluster_id", "dist"])
 
-    frame = points.withColumn("__near", nearest(F.col(features).cast("array<double>")))
+    frame = points.withColumn("__near", nearest(*python_columns(features, centers.shape[1])))
     return _with_result(
         frame,
         points.columns,
