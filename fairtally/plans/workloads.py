@@ -361,10 +361,10 @@ def _prefix_run(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
         part = events.where((F.col("event_id") >= first) & (F.col("event_id") < beyond))
         part.select("item").write.mode("append").parquet(f"{work}/incoming")
         arrived = spark.readStream.schema("item bigint").parquet(f"{work}/incoming")
-        query = prefix.start_prefix_stream(
+        stream = prefix.start_prefix_stream(
             arrived, HASHES, threshold, f"{work}/out", f"{work}/checkpoint", availableNow=True
         )
-        query.awaitTermination()
+        stream.query.awaitTermination()
     return f"{work}/out", threshold
 
 

@@ -9,6 +9,8 @@ therefore never change a result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -44,53 +46,60 @@ def accepted_batches(lengths: DataFrame, threshold: int) -> DataFrame:
     return running.where(F.col("before") < threshold)
 
 
+@dataclass(frozen=True)
+class PrefixStream:
+    """A running query and the lengths of the batches it has written.
+
+    ``lengths`` only tells when to stop and spares work on batches that cannot count; the
+    tables stay the authority, also for the lengths themselves after a restart.
+    """
+
+    query: StreamingQuery
+    threshold: int
+    lengths: dict[int, int]
+
+    @property
+    def reached(self) -> bool:
+        return sum(list(self.lengths.values())) >= self.threshold
+
+    def await_threshold(self, poll_seconds: float = 0.2) -> None:
+        """Block until enough items came or the stream ends, then stop the query."""
+        try:
+            while not self.reached and not self.query.awaitTermination(poll_seconds):
+                pass
+        finally:
+            self.query.stop()
+
+
 def start_prefix_stream(
     items: DataFrame, hashes: HashFamily, threshold: int, out_dir: str, checkpoint: str, **trigger
-) -> StreamingQuery:
+) -> PrefixStream:
     """Start writing the partial tables of a stream of (item)."""
-    spark = items.sparkSession
-    # Only spares work on batches that cannot count; the tables stay the authority.
-    seen = {row.batch_id: row.n for row in batch_lengths(spark, out_dir).collect()}
+    lengths = {row.batch_id: row.n for row in batch_lengths(items.sparkSession, out_dir).collect()}
+    freq_table, cell_table = _freq_table(out_dir), _cell_table(out_dir)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if sum(n for b, n in seen.items() if b < batch_id) >= threshold or batch.isEmpty():
+        before = sum(n for b, n in lengths.items() if b < batch_id)
+        if before >= threshold or batch.isEmpty():
             return
         session = batch.sparkSession
-        freq_dir = _freq_table(out_dir)
-        write_batch(item_frequencies(batch), freq_dir, batch_id)
+        write_batch(item_frequencies(batch), freq_table, batch_id)
         # Sketches are linear: build the cells from the counts, not from the items again.
-        counts = session.read.schema(FREQ_SCHEMA).parquet(f"{freq_dir}/batch_id={batch_id}")
+        counts = session.read.schema(FREQ_SCHEMA).parquet(f"{freq_table}/batch_id={batch_id}")
         rows = sketch_cells(counts, hashes, weight="cnt")
         if hashes.cells <= MAX_DENSE_CELLS:
             rows = rows.repartition(1)  # one small file per batch; the sums are done by then
-        write_batch(rows, _cell_table(out_dir), batch_id)
-        cells = session.read.schema(CELL_SCHEMA).parquet(f"{_cell_table(out_dir)}/batch_id={batch_id}")
-        seen[batch_id] = cells.where("r = 0").agg(F.sum("cm")).first()[0]
+        write_batch(rows, cell_table, batch_id)
+        cells = session.read.schema(CELL_SCHEMA).parquet(f"{cell_table}/batch_id={batch_id}")
+        lengths[batch_id] = cells.where("r = 0").agg(F.sum("cm")).first()[0]
 
-    return (
+    query = (
         items.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
         .foreachBatch(process)
         .start()
     )
-
-
-def stop_at_threshold(
-    query: StreamingQuery, spark: SparkSession, out_dir: str, threshold: int, poll_seconds: float = 0.2
-) -> None:
-    """Block until the threshold is reached or the stream ends, then stop the query."""
-    written = -1
-    try:
-        while not query.awaitTermination(poll_seconds):
-            progress = query.lastProgress
-            done = progress["batchId"] if progress else -1
-            if done != written:
-                written = done
-                total = batch_lengths(spark, out_dir).agg(F.sum("n")).first()[0] or 0
-                if total >= threshold:
-                    return
-    finally:
-        query.stop()
+    return PrefixStream(query, threshold, lengths)
 
 
 def _accepted(spark: SparkSession, table: str, schema: str, out_dir: str, threshold: int) -> DataFrame:

@@ -25,10 +25,10 @@ def run_batches(spark, tmp_path, threshold, batches):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     for i in batches:
         deliver(spark, folder, i)
-        query = prefix.start_prefix_stream(
+        stream = prefix.start_prefix_stream(
             file_items(spark, folder), H3, threshold, out, str(tmp_path / "ck"), availableNow=True
         )
-        query.awaitTermination()
+        stream.query.awaitTermination()
     return out
 
 
@@ -71,10 +71,9 @@ def test_failure_between_the_two_writes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(prefix, "write_batch", write)
     # The restart repeats batch 1; batch 2 arrives with it and becomes its own batch.
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    query = prefix.start_prefix_stream(
+    prefix.start_prefix_stream(
         file_items(spark, folder), H3, 500, out, str(tmp_path / "ck"), availableNow=True
-    )
-    query.awaitTermination()
+    ).query.awaitTermination()
     run_batches(spark, tmp_path, 500, [2, 3])
     check_prefix(spark, out, 500, range(3))
 
@@ -84,9 +83,9 @@ def test_stop_at_threshold_ends_an_endless_query(spark, tmp_path):
     for i in range(3):
         deliver(spark, folder, i)
     items = file_items(spark, folder, max_files_per_trigger=2)
-    query = prefix.start_prefix_stream(items, H3, 300, out, str(tmp_path / "ck"))
-    prefix.stop_at_threshold(query, spark, out, 300)
-    assert not query.isActive
+    stream = prefix.start_prefix_stream(items, H3, 300, out, str(tmp_path / "ck"))
+    stream.await_threshold()
+    assert stream.reached and not stream.query.isActive
     total = sum(r.n for r in prefix.accepted_batches(prefix.batch_lengths(spark, out), 300).collect())
     assert 300 <= total <= 600
 
