@@ -84,13 +84,11 @@ def cluster_summary(
     return near.groupBy("cluster_id", "g").agg(F.count(F.lit(1)).alias("n"), F.sum("dist").alias("dist"))
 
 
-def _sizes(summary: DataFrame, centers: Centers, groups: tuple[str, ...]) -> DataFrame:
-    counted = summary.groupBy("cluster_id").agg(
-        *[F.sum(F.when(F.col("g") == i, F.col("n"))).alias(f"n{name.lower()}") for i, name in enumerate(groups)]
-    )
+def _with_every_center(counted: DataFrame, centers: Centers) -> DataFrame:
+    """(cluster_id, center, counts...), zero for centers that are missing in the counts."""
     names = [c for c in counted.columns if c != "cluster_id"]
     # At most one row per center on either side, and centers fit on the driver.
-    every = centers_frame(summary.sparkSession, centers)
+    every = centers_frame(counted.sparkSession, centers)
     return every.join(F.broadcast(counted), "cluster_id", "left").select(
         "cluster_id", "center", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in names]
     )
@@ -104,43 +102,56 @@ def cluster_group_sizes(
     grp: str = "grp",
 ) -> DataFrame:
     """(cluster_id, n<group>...), zero for a center without points of the group."""
-    return _sizes(cluster_summary(points, centers, groups, features, grp), centers, groups).drop("center")
+    g = group_index(F.col(grp), groups).alias("g")
+    near = with_nearest(points.select(features, g).where(F.col("g").isNotNull()), centers, features)
+    counted = near.groupBy("cluster_id").agg(
+        *[F.count_if(F.col("g") == i).alias(f"n{name.lower()}") for i, name in enumerate(groups)]
+    )
+    return _with_every_center(counted, centers).drop("center")
 
 
-def clustering_report(
-    points: DataFrame,
-    centers: Centers,
-    groups: tuple[str, ...] = TWO_GROUPS,
-    features: str = "features",
-    grp: str = "grp",
+def report_of(
+    summary: DataFrame, centers: Centers, groups: tuple[str, ...] = TWO_GROUPS
 ) -> tuple[DataFrame, DataFrame]:
-    """(totals, per center): one row n, n<group>, delta, phi; and i, center, n<group>."""
-    summary = cluster_summary(points, centers, groups, features, grp)
+    """(totals, per center) of a ``cluster_summary``: one row n, n<group>, delta, phi; and
+    i, center, n<group>."""
+
+    def group_sum(column: str, i: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("g") == i, F.col(column))), F.lit(0))
+
+    names = [f"n{name.lower()}" for name in groups]
     sums = summary.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.sum("dist").alias("dist"),
-        *[
-            F.coalesce(F.sum(F.when(F.col("g") == i, F.col("n"))), F.lit(0)).alias(f"n{name.lower()}")
-            for i, name in enumerate(groups)
-        ],
-        *[F.sum(F.when(F.col("g") == i, F.col("dist"))).alias(f"s{i}") for i in range(len(groups))],
-    )
-    phi = _largest(
-        [
-            _mean_or_fail(F.col(f"s{i}"), F.col(f"n{name.lower()}"), f"group {name}")
-            for i, name in enumerate(groups)
-        ]
+        *[group_sum("n", i).alias(c) for i, c in enumerate(names)],
+        *[group_sum("dist", i).alias(f"s{i}") for i in range(len(groups))],
     )
+    deltas = [_mean_or_fail(F.col(f"s{i}"), F.col(c), f"group {groups[i]}") for i, c in enumerate(names)]
     totals = sums.select(
         "n",
-        *[f"n{name.lower()}" for name in groups],
+        *names,
         _mean_or_fail(F.col("dist"), F.col("n"), "the input").alias("delta"),
-        phi.alias("phi"),
+        _largest(deltas).alias("phi"),
     )
-    lines = _sizes(summary, centers, groups).withColumnRenamed("cluster_id", "i").orderBy("i")
+    counted = summary.groupBy("cluster_id").agg(*[group_sum("n", i).alias(c) for i, c in enumerate(names)])
+    lines = _with_every_center(counted, centers).withColumnRenamed("cluster_id", "i").orderBy("i")
     return totals, lines
 
 
+def clustering_report(
+    points: DataFrame,
+    centers: Centers,
+    groups: tuple[str, ...] = TWO_GROUPS,
+    features: str = "features",
+    grp: str = "grp",
+) -> tuple[DataFrame, DataFrame]:
+    """``report_of`` the points. Fetches the summary, at most K * (groups + 1) rows, so that
+    both frames together read the points once."""
+    summary = cluster_summary(points, centers, groups, features, grp)
+    fetched = points.sparkSession.createDataFrame(summary.collect(), summary.schema)
+    return report_of(fetched, centers, groups)
+
+
 def compare_centers(
     points: DataFrame,
     standard: Centers,

@@ -103,3 +103,15 @@ def test_golden_outcomes(spark, centers, objectives, sizes):
         moved = fair_kmeans(points, 4, 10, init=centers)
         assert moved[0] == pytest.approx((40.735974, -73.986421), abs=1e-6)
         assert fair_objective(points, moved).first().phi == pytest.approx(0.0022757434, abs=1e-9)
+
+
+def test_text_report_reads_the_points_once(spark, tmp_path):
+    from fairtally.operators.reports import clustering_lines
+
+    data = rows()
+    points_frame(spark, data).write.parquet(str(tmp_path / "points"))
+    report = clustering_lines(spark.read.parquet(str(tmp_path / "points")), CENTERS)
+    lines = [r.line for r in report.collect()]
+    assert lines[0].startswith(f"N = {len(data)}, NA = ") and lines[1].startswith("Delta(U,C) = ")
+    assert lines[5] == "i = 2, center = (99.000000,99.000000), NA2 = 0, NB2 = 0"
+    assert "FileScan" not in report._jdf.queryExecution().executedPlan().toString()
