@@ -19,13 +19,12 @@ def as_centers(centers: Sequence[Sequence[float]] | np.ndarray) -> np.ndarray:
     return table
 
 
-def array_literal(row: np.ndarray) -> Column:
-    return F.lit(np.ascontiguousarray(row, dtype=np.float64))
+def center_of(centers: Sequence[Sequence[float]] | np.ndarray, cluster_id: Column) -> Column:
+    """The center with that index, as ``array<double>``."""
+    return F.get(F.array(*[F.lit(c) for c in as_centers(centers)]), cluster_id)
 
 
 def centers_frame(spark: SparkSession, centers: Sequence[Sequence[float]] | np.ndarray) -> DataFrame:
     """(cluster_id int, center array<double>), one row per center."""
-    table = as_centers(centers)
-    rows = F.array(*[array_literal(c) for c in table])
-    ids = spark.range(0, len(table), 1, 1).select(F.col("id").cast("int").alias("cluster_id"))
-    return ids.withColumn("center", F.get(rows, F.col("cluster_id")))
+    ids = spark.range(0, len(centers), 1, 1).select(F.col("id").cast("int").alias("cluster_id"))
+    return ids.withColumn("center", center_of(centers, F.col("cluster_id")))

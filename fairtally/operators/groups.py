@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fairtally.functions.arrays import group_index, sqdist
 from fairtally.functions.batches import coordinates, nearest_in_batch
-from fairtally.functions.centers import as_centers
+from fairtally.functions.centers import as_centers, center_of
 from fairtally.operators.nearest import python_columns, unrolls, with_nearest
 from fairtally.operators.objectives import TWO_GROUPS, Centers
 
@@ -104,7 +104,7 @@ def _stats_arrow(labelled: DataFrame, centers: np.ndarray, n_groups: int) -> Dat
         F.max("q").alias("q"),
         F.transform(F.array_sort(F.collect_list(F.struct("j", "s"))), lambda e: e["s"]).alias("s"),
     )
-    center = F.get(F.array(*[F.lit(c) for c in centers]), F.col("cluster_id"))
+    center = center_of(centers, F.col("cluster_id"))
     offset = F.transform("s", lambda v: v / F.col("n"))
     # Shifted identity: sum |x - mean|^2 = sum |x - c|^2 - n |mean - c|^2.
     drift = F.aggregate(offset, F.lit(0.0), lambda t, v: t + v * v)

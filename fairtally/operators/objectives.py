@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairtally.functions.arrays import group_index
-from fairtally.functions.centers import centers_frame
+from fairtally.functions.centers import center_of
 from fairtally.operators.nearest import with_nearest
 
 Centers = Sequence[Sequence[float]] | np.ndarray
@@ -84,13 +84,22 @@ def cluster_summary(
     return near.groupBy("cluster_id", "g").agg(F.count(F.lit(1)).alias("n"), F.sum("dist").alias("dist"))
 
 
-def _with_every_center(counted: DataFrame, centers: Centers) -> DataFrame:
-    """(cluster_id, center, counts...), zero for centers that are missing in the counts."""
-    names = [c for c in counted.columns if c != "cluster_id"]
-    # At most one row per center on either side, and centers fit on the driver.
-    every = centers_frame(counted.sparkSession, centers)
-    return every.join(F.broadcast(counted), "cluster_id", "left").select(
-        "cluster_id", "center", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in names]
+def _sizes(counts: DataFrame, centers: Centers, groups: tuple[str, ...]) -> DataFrame:
+    """(cluster_id, n<group>...) of (cluster_id, g, n), with a row for every center."""
+    # One zero row per center instead of a join with the centers.
+    zeros = counts.sparkSession.range(0, len(centers), 1, 1).select(
+        F.col("id").cast("int").alias("cluster_id"), F.lit(None).cast("int").alias("g"), F.lit(0).cast("bigint").alias("n")
+    )
+    return (
+        counts.select("cluster_id", "g", "n")
+        .unionByName(zeros)
+        .groupBy("cluster_id")
+        .agg(
+            *[
+                F.coalesce(F.sum(F.when(F.col("g") == i, F.col("n"))), F.lit(0)).alias(f"n{name.lower()}")
+                for i, name in enumerate(groups)
+            ]
+        )
     )
 
 
@@ -104,10 +113,7 @@ def cluster_group_sizes(
     """(cluster_id, n<group>...), zero for a center without points of the group."""
     g = group_index(F.col(grp), groups).alias("g")
     near = with_nearest(points.select(features, g).where(F.col("g").isNotNull()), centers, features)
-    counted = near.groupBy("cluster_id").agg(
-        *[F.count_if(F.col("g") == i).alias(f"n{name.lower()}") for i, name in enumerate(groups)]
-    )
-    return _with_every_center(counted, centers).drop("center")
+    return _sizes(near.withColumn("n", F.lit(1).cast("bigint")), centers, groups)
 
 
 def report_of(
@@ -133,8 +139,10 @@ def report_of(
         _mean_or_fail(F.col("dist"), F.col("n"), "the input").alias("delta"),
         _largest(deltas).alias("phi"),
     )
-    counted = summary.groupBy("cluster_id").agg(*[group_sum("n", i).alias(c) for i, c in enumerate(names)])
-    lines = _with_every_center(counted, centers).withColumnRenamed("cluster_id", "i").orderBy("i")
+    lines = _sizes(summary, centers, groups).select(
+        F.col("cluster_id").alias("i"), center_of(centers, F.col("cluster_id")).alias("center"), *names
+    )
+    lines = lines.orderBy("i")
     return totals, lines
 
 
