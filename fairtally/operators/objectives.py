@@ -113,7 +113,8 @@ def cluster_group_sizes(
     """(cluster_id, n<group>...), zero for a center without points of the group."""
     g = group_index(F.col(grp), groups).alias("g")
     near = with_nearest(points.select(features, g).where(F.col("g").isNotNull()), centers, features)
-    return _sizes(near.withColumn("n", F.lit(1).cast("bigint")), centers, groups)
+    counted = near.groupBy("cluster_id", "g").agg(F.count(F.lit(1)).alias("n"))
+    return _sizes(counted, centers, groups)
 
 
 def report_of(
