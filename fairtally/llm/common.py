@@ -74,36 +74,32 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
         yield batch.slice(start)
 
 
-def _changed(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("lo", "hi"))
-    ).first()
-    return tuple(row)
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo"))).first())
 
 
-def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """(node, component): the smallest node reachable from every node of an edge ``(a, b)``.
+def connected_components(edges: DataFrame, label: str = "components") -> DataFrame | None:
+    """(node, component): the smallest node reachable from every node of an edge ``(a, b)``; None without edges.
 
     Alternating large-star and small-star rounds over the edge table: every round is two
     partially aggregated minima and two joins that Spark may split where a node has very many
-    neighbours; the table of each round is written, so no lineage grows and nothing but three
+    neighbours; the table of each round is written, so no lineage grows and nothing but two
     numbers reaches the driver. Null ends and loops are left out.
     """
     ends = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     now = stored(ends.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), label)
-    before, state = None, _changed(now)
-    while state != before and state[0]:
+    before, state = None, _state(now)
+    if not state[0]:
+        return None
+    while state != before:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             now.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = stored(
-            both.join(smallest, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(),
-            label,
-        )
+        large = both.join(smallest, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         now = stored(small.union(least.select("hi", F.col("m").alias("lo"))).distinct(), label)
-        before, state = state, _changed(now)
-    stars = now.groupBy("hi").agg(F.min("lo").alias("component")).select(F.col("hi").alias("node"), "component")
-    return stars.union(now.select("lo", "lo").distinct())
+        before, state = state, _state(now)
+    # Now every node but the smallest of its component has one edge, to the smallest.
+    return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(now.select("lo", "lo").distinct())

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import quality, urls, warc
-from fairtally.llm.common import table
+from fairtally.llm import langid, minhash, quality, urls, warc
+from fairtally.llm.common import remainder, table
 from fairtally.llm.oracles import ORACLES
 
 URL_RULES = [
@@ -28,6 +28,17 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(remainder("doc_id", 3) != 1))
+    found = langid.identify(docs, model).withColumn("doc_id", F.col("row.doc_id"))
+    return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -45,4 +56,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["ORACLES", "QUERIES"]
 
-QUERIES = {q.__name__: q for q in (op2_url_filters, op4_warc, op9_quality_rules)}
+QUERIES = {q.__name__: q for q in (op2_url_filters, op4_warc, op7_language_id, op8_minhash_near_dedup, op9_quality_rules)}

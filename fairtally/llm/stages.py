@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import quality
+from fairtally.llm import langid, minhash, quality
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised, with ``lang`` as predicted; rejected ones go."""
-    from fairtally.llm import langid
-
     found = langid.identify(docs, langid.fit(docs), keep_row=True)
     known = found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("rejected"))
     return known.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.{c}").alias(c) for c in docs.columns])
@@ -25,8 +23,6 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates on shingles of five words, similarity 0.8 or more."""
-    from fairtally.llm import minhash
-
     return minhash.drop_duplicates(docs, shingle=5)
 
 

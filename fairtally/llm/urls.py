@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fairtally.llm.common import LOWER, UPPER, ascii_lower, connected_components, stored, with_computed
+from fairtally.llm.common import LOWER, UPPER, ascii_lower, connected_components, with_computed
 
 
 @dataclass(frozen=True)
@@ -95,7 +95,10 @@ def filter_urls(
     edges = page_links(pages, url, html)
     if redirects is not None:
         edges = edges.union(redirects.select(url_node(F.col("a")), url_node(F.col("b"))).dropna())
-    groups = stored(connected_components(edges), "aliases")
+    groups = connected_components(edges)
+    if groups is None:
+        own = F.coalesce("own.verdict", F.lit("allow"))
+        return judged.select(F.col("k").alias(key), "host", "path", F.col("own.rule").alias("rule"), own.alias("verdict"), F.lit(None).cast("string").alias("component"))
     node_host, node_path = url_parts(F.col("node"))
     verdicts = with_computed(groups, host=node_host, path=node_path).withColumn("own", decide(F.col("host"), F.col("path"), rules))
     blocked = verdicts.groupBy("component").agg(F.max(F.coalesce(F.col("own.verdict") == "block", F.lit(False))).alias("blocked"))
