@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import langid, minhash, quality, urls, warc
+from fairtally.llm import langid, minhash, mixing, packing, quality, urls, warc
 from fairtally.llm.common import remainder, table
 from fairtally.llm.oracles import ORACLES
 
@@ -18,6 +18,12 @@ URL_RULES = [
 ]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    chosen = mixing.select_mixture(docs, mixing.default_tree(docs))
+    return chosen.select(F.col("row.doc_id").alias("doc_id"), *mixing.LEVELS, "n_tokens", "epochs")
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return found.select("page_id", "host", "path", "rule", "verdict")
@@ -28,6 +34,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(remainder("doc_id", 3) != 1))
@@ -56,4 +66,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["ORACLES", "QUERIES"]
 
-QUERIES = {q.__name__: q for q in (op2_url_filters, op4_warc, op7_language_id, op8_minhash_near_dedup, op9_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op4_warc, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules)}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import langid, minhash, quality
+from fairtally.llm import langid, minhash, packing, quality
+from fairtally.llm import mixing as mixture
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +29,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents chosen for the mixture, repeated once for each epoch that takes them."""
-    from fairtally.llm import mixing as mix
-
-    return mix.mixed_documents(docs, mix.default_tree(docs))
+    return mixture.mixed_documents(docs, mixture.default_tree(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the chosen documents in sequences of at most 1024 tokens."""
-    from fairtally.llm import packing
-
     return packing.pack_documents(docs)
