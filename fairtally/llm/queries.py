@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import langid, minhash, mixing, packing, quality, urls, warc
+from fairtally.llm import langid, lm, minhash, mixing, packing, quality, urls, warc
 from fairtally.llm.common import remainder, table
 from fairtally.llm.oracles import ORACLES
 
@@ -29,6 +29,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_warc(warc.write_warc(table(spark, sf_dir, "pages")), with_payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -66,4 +70,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["ORACLES", "QUERIES"]
 
-QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op4_warc, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules)}
