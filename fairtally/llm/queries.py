@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import langid, lm, minhash, mixing, packing, quality, urls, warc
+from fairtally.llm import flatgraph, langid, lm, minhash, mixing, packing, quality, urls, warc
 from fairtally.llm.common import remainder, table
 from fairtally.llm.oracles import ORACLES
 
@@ -68,6 +68,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
-QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules)}
+QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules, op10_embedding_near_dedup)}
