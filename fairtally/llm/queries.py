@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import flatgraph, langid, lm, minhash, mixing, packing, quality, urls, warc
+from fairtally.llm import extract, flatgraph, langid, lm, minhash, mixing, packing, quality, urls, warc
 from fairtally.llm.common import remainder, table
 from fairtally.llm.oracles import ORACLES
 
@@ -38,6 +38,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -74,4 +78,4 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["ORACLES", "QUERIES"]
 
-QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules, op10_embedding_near_dedup)}
+QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op5_html_extraction, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules, op10_embedding_near_dedup)}
