@@ -24,7 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 COORDINATES = 64
 MATCHES = 37
 SIMILARITY_PERCENT = 80
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 CACHE_WORDS = 200_000
 
 SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, signature array<int>"
@@ -108,6 +108,14 @@ def shingle_blobs(size: int):
     return run
 
 
+def single_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            sets = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column("blob")]
+            reps = np.repeat(batch.column("rep").to_numpy(), [len(s) for s in sets])
+            yield pa.record_batch({"rep": pa.array(reps, pa.int64()), "shingle": pa.array(np.concatenate(sets), pa.int64())})
+
+
 def count_matches(least: int):
     """Keeps pairs whose signatures agree in at least ``least`` coordinates, with their number."""
 
@@ -208,18 +216,30 @@ class _Links:
         return far.select(F.col("c.rep").alias("a"), F.col("rep").alias("b")).distinct()
 
     def rest_pairs(self, groups: DataFrame) -> DataFrame:
-        """All pairs of different components that share a posting.
+        """All pairs of different components that share a posting and may still be similar enough.
 
         Lists within one component make none; in other lists all but the largest component's
         members meet all members, so a large group of near copies meets only what isn't in it.
+        Shingles that no other document of these lists has can't be common to a pair: the others,
+        s of n, bound the similarity of x and y by min(s) / (n_x + n_y - min(s)). Near copies that
+        differ too much from all others are mostly told by this bound alone.
         """
         posts = self.posted(groups)
         sizes = posts.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
         largest = sizes.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
-        open_posts = posts.join(largest.select("token", F.col("top.comp").alias("top")), "token")
-        few = open_posts.where("comp != top").select("token", F.col("rep").alias("x"), F.col("comp").alias("comp_x"))
-        met = few.join(open_posts, "token").where((F.col("comp") != F.col("comp_x")))
-        return met.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
+        unsettled = stored(posts.join(largest.select("token", F.col("top.comp").alias("top")), "token"), "unsettled")
+        wanted = unsettled.select("rep").distinct()
+        rows = self.blobs.join(wanted, "rep", "left_semi").mapInArrow(single_shingles, "rep bigint, shingle bigint")
+        common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("shingle")
+        shared = rows.join(common, "shingle", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("s"))
+        facts = shared.join(self.signatures.select("rep", F.col("n_shingles").alias("n")), "rep")
+        known = stored(facts.where(F.col("s") * 100 >= F.col("n") * self.percent), "shared-shingles")
+        able = unsettled.join(known, "rep")
+        few = able.where("comp != top").select("token", *[F.col(c).alias(f"{c}_x") for c in ("rep", "comp", "n", "s")])
+        most = F.least("s", "s_x")
+        may = (F.col("comp") != F.col("comp_x")) & (most * 100 >= (F.col("n") + F.col("n_x") - most) * self.percent)
+        met = few.join(able, "token").where(may)
+        return met.select(F.least("rep_x", "rep").alias("a"), F.greatest("rep_x", "rep").alias("b")).distinct()
 
 
 def _at(groups: DataFrame, end: str) -> DataFrame:
