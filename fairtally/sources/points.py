@@ -78,11 +78,19 @@ def read_points(
     return parse_points(read_lines(spark, path, partitions), dim, mode)
 
 
-def format_points(points: DataFrame, dim: int = 2, features: str = "features", grp: str = "grp") -> DataFrame:
-    """One text line per point, every coordinate with three decimals, the label last."""
-    xs = [F.format_string("%.3f", F.get(features, F.lit(j))) for j in range(dim)]
-    return points.select(F.concat_ws(",", *xs, F.col(grp)).alias("value"))
+def format_points(points: DataFrame, features: str = "features", grp: str = "grp") -> DataFrame:
+    """One text line per point, all coordinates with three decimals, the label last.
+
+    A missing point, coordinate or label raises: its line would be read back as another point.
+    """
+    x = F.col(features)
+    whole = x.isNotNull() & F.col(grp).isNotNull() & ~F.exists(x, lambda v: v.isNull())
+    text = F.concat_ws(",", F.transform(x, lambda v: F.format_string("%.3f", v)), F.col(grp))
+    fail = F.raise_error(F.lit("point with a missing coordinate or label")).cast("string")
+    return points.select(F.when(F.coalesce(whole, F.lit(False)), text).otherwise(fail).alias("value"))
 
 
-def write_points(points: DataFrame, path: str, dim: int = 2, mode: str = "errorifexists") -> None:
-    format_points(points, dim).write.mode(mode).text(path)
+def write_points(
+    points: DataFrame, path: str, mode: str = "errorifexists", features: str = "features", grp: str = "grp"
+) -> None:
+    format_points(points, features, grp).write.mode(mode).text(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,12 +26,33 @@ def cluster_sizes(n: int, k: int) -> tuple[int, int]:
     return max(size - b, 0), b
 
 
-def synth_points(spark: SparkSession, n: int, k: int, seed: int = 1, partitions: int | None = None) -> DataFrame:
+def _uniform(text: Column, start: int) -> Column:
+    """A number strictly between 0 and 1 from 13 hexadecimal digits (52 bits) of a digest."""
+    digits = F.conv(F.substring(F.md5(text), start, 13), 16, 10).cast("double")
+    return (digits + 0.5) / F.lit(float(2**52))
+
+
+def gaussian_noise(seed: int, row_id: Column, axis: int) -> Column:
+    """Standard normal noise that depends on nothing but seed, row and axis (Box-Muller)."""
+    text = F.concat_ws("|", F.lit(str(seed)), row_id.cast("string"), F.lit(str(axis)))
+    radius = F.sqrt(-2 * F.log(_uniform(text, 1)))
+    return radius * F.cos(F.lit(2 * math.pi) * _uniform(text, 17))
+
+
+def synth_points(
+    spark: SparkSession,
+    n: int,
+    k: int,
+    seed: int = 1,
+    partitions: int | None = None,
+    ids: DataFrame | None = None,
+) -> DataFrame:
     """(cluster_id, features, grp): k Gaussian blobs of group A, each with a small group B
     further out in the same direction.
 
-    Rows are generated inside the tasks; the same seed and number of partitions give the
-    same rows.
+    Rows are generated inside the tasks. Every row is a function of the seed and its number, so
+    partitioning and repeated tasks change nothing. ``ids`` is a table whose column ``id`` has
+    the numbers to use, from 0; numbers beyond the last cluster are left out.
     """
     a, b = cluster_sizes(n, k)
     if k > n:
@@ -38,8 +60,12 @@ def synth_points(spark: SparkSession, n: int, k: int, seed: int = 1, partitions:
     if a == 0:
         warnings.warn("clusters too small to hold points of group A", stacklevel=2)
     per = a + b
-    rows = spark.range(0, k * per, 1, partitions) if partitions else spark.range(k * per)
+    if ids is not None:
+        rows = ids.where((F.col("id") >= 0) & (F.col("id") < k * per))
+    else:
+        rows = spark.range(0, k * per, 1, partitions) if partitions else spark.range(k * per)
     placed = rows.select(
+        "id",
         F.floor(F.col("id") / F.lit(per)).cast("int").alias("cluster_id"),
         (F.col("id") % F.lit(per) >= a).alias("is_b"),
     )
@@ -50,7 +76,7 @@ def synth_points(spark: SparkSession, n: int, k: int, seed: int = 1, partitions:
         side = F.get(
             F.array(*[F.lit(float(d[axis])) for d in DIRECTIONS]), F.col("cluster_id") % len(DIRECTIONS)
         )
-        return side * reach + F.randn(seed * 2 + axis) * F.lit(SPREAD)
+        return side * reach + gaussian_noise(seed, F.col("id"), axis) * F.lit(SPREAD)
 
     return placed.select(
         "cluster_id",

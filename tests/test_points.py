@@ -81,3 +81,17 @@ def test_write_and_read(spark, tmp_path):
     ]
     back = {r.grp: r.features for r in read_points(spark, path, dim=2).collect()}
     assert back == {"A": [1.235, -2.0], "B": [1000000.5, 0.001]}
+
+
+def test_all_coordinates_are_written(spark, tmp_path):
+    points = spark.createDataFrame([([1.0, 2.0, 3.0], "A"), ([5.0], "B"), ([], "C")], "place array<double>, side string")
+    write_points(points, str(tmp_path / "p"), features="place", grp="side")
+    back = {r.grp: list(r.features) for r in read_points(spark, str(tmp_path / "p")).collect()}
+    assert back == {"A": [1.0, 2.0, 3.0], "B": [5.0], "C": []}
+
+
+@pytest.mark.parametrize("row", [([1.0, 2.0], None), ([1.0, None], "A"), (None, "A")])
+def test_missing_parts_raise(spark, tmp_path, row):
+    points = spark.createDataFrame([row], "features array<double>, grp string")
+    with pytest.raises(Exception, match="missing coordinate or label"):
+        write_points(points, str(tmp_path / "p"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+import numpy as np
 from fairtally import synth_points
 from fairtally.sources.synthetic import cluster_sizes
 from pyspark.sql import functions as F
@@ -34,3 +35,23 @@ def test_places(spark):
             assert 3 < row.s < 7
     again = synth_points(spark, 5000, 5, seed=2)
     assert points.exceptAll(again).isEmpty() and not points.exceptAll(synth_points(spark, 5000, 5, seed=3)).isEmpty()
+
+
+def test_noise_is_a_function_of_the_row(spark):
+    few, many = (sorted(map(str, synth_points(spark, 2000, 4, seed=3, partitions=p).collect())) for p in (1, 7))
+    assert few == many
+    other = sorted(map(str, synth_points(spark, 2000, 4, seed=4, partitions=7).collect()))
+    assert not set(few) & set(other)
+
+
+def test_axes_and_seeds_are_uncorrelated(spark):
+    def noise(seed):
+        rows = synth_points(spark, 4000, 1, seed=seed, partitions=4).where("grp = 'A'").collect()
+        xy = np.array([r.features for r in rows])
+        return xy - xy.mean(axis=0)
+
+    one, two = noise(1), noise(2)
+    for shift in (0, 1, 900, 1000, 1001):
+        assert abs(np.corrcoef(one[shift:, 0], one[: len(one) - shift, 1])[0, 1]) < 0.06
+        assert abs(np.corrcoef(one[shift:, 0], two[: len(two) - shift, 1])[0, 1]) < 0.06
+    assert one.std(axis=0) == pytest.approx([5, 5], rel=0.05)
