@@ -53,3 +53,36 @@ def nearest_in_batch(columns: np.ndarray, centers: np.ndarray) -> tuple[np.ndarr
     if not np.isfinite(best).all():
         raise ValueError(BAD_POINT)
     return index, best
+
+
+def merged_moments(x: tuple, y: tuple) -> tuple:
+    """(n, mean, ss) of two disjoint sets of points together; no difference of large sums."""
+    n = x[0] + y[0]
+    apart = y[1] - x[1]
+    mean = x[1] + apart * (y[0] / n)
+    return n, mean, x[2] + y[2] + float(apart @ apart) * (x[0] * y[0] / n)
+
+
+def add_moments(n: np.ndarray, mean: np.ndarray, ss: np.ndarray, slot: np.ndarray, x: np.ndarray) -> None:
+    """Merges the points of a batch (d x points, each with a slot) into count, mean and scatter per slot."""
+    slots = len(n)
+    own = np.bincount(slot, minlength=slots)
+    used = np.flatnonzero(own)
+    # Shifted by a point of the slot, so that sums stay small for points far from the origin.
+    first = np.full(slots, -1)
+    first[slot[::-1]] = np.arange(len(slot))[::-1]
+    origin = np.zeros((slots, len(x)))
+    origin[used] = x[:, first[used]].T
+    center = origin.copy()
+    for j, column in enumerate(x):
+        shifted = np.bincount(slot, weights=column - origin[slot, j], minlength=slots)
+        center[used, j] += shifted[used] / own[used]
+    scatter = np.zeros(slots)
+    for j, column in enumerate(x):
+        scatter += np.bincount(slot, weights=(column - center[slot, j]) ** 2, minlength=slots)
+    total = n + own
+    apart = center - mean
+    share = np.divide(own, total, out=np.zeros(slots), where=total > 0)
+    ss += scatter + (apart**2).sum(axis=1) * n * share
+    mean += apart * share[:, None]
+    n += own

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def as_centers(centers: Sequence[Sequence[float]] | np.ndarray) -> np.ndarray:
@@ -19,12 +19,10 @@ def as_centers(centers: Sequence[Sequence[float]] | np.ndarray) -> np.ndarray:
     return table
 
 
-def center_of(centers: Sequence[Sequence[float]] | np.ndarray, cluster_id: Column) -> Column:
-    """The center with that index, as ``array<double>``."""
-    return F.get(F.array(*[F.lit(c) for c in as_centers(centers)]), cluster_id)
-
-
 def centers_frame(spark: SparkSession, centers: Sequence[Sequence[float]] | np.ndarray) -> DataFrame:
     """(cluster_id int, center array<double>), one row per center."""
-    ids = spark.range(0, len(centers), 1, 1).select(F.col("id").cast("int").alias("cluster_id"))
-    return ids.withColumn("center", center_of(centers, F.col("cluster_id")))
+    table = as_centers(centers)
+    rows = pa.table(
+        {"cluster_id": pa.array(range(len(table)), pa.int32()), "center": pa.array(list(table), pa.list_(pa.float64()))}
+    )
+    return spark.createDataFrame(rows)

@@ -35,6 +35,8 @@ class HashFamily:
             raise ValueError("a sketch needs at least one row and one column")
         if not depth == len(self.b) == len(self.sign_a) == len(self.sign_b):
             raise ValueError("every row needs all four coefficients")
+        if self.width > self.p:
+            raise ValueError("columns beyond the modulus would never be used")
         if not 1 < self.p <= MAX_MODULUS:
             raise ValueError(f"modulus must lie in 2..{MAX_MODULUS}")
         if any(not 1 <= v < self.p for v in (*self.a, *self.sign_a)):

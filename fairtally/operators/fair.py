@@ -123,12 +123,13 @@ def fair_kmeans(
         raise ValueError("k must be positive and max_iter not negative")
     needed = points.select(features, grp)
     held = cache and not points.is_cached
+    if needed.limit(k).count() < k:
+        warnings.warn(f"fewer points than k = {k}", stacklevel=2)
+    # Spark ML holds its own copy of the vectors during the start: ours comes after it.
+    centers = as_centers(init) if init is not None else initial_centers(needed, k, seed, features)
     if held:
         needed = needed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if needed.limit(k).count() < k:
-            warnings.warn(f"fewer points than k = {k}", stacklevel=2)
-        centers = as_centers(init) if init is not None else initial_centers(needed, k, seed, features)
         for _ in range(max_iter):
             centers = fair_step(needed, centers, groups, features, grp).centers
         return centers

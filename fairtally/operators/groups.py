@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairtally.functions.arrays import group_index, sqdist
-from fairtally.functions.batches import coordinates, nearest_in_batch
-from fairtally.functions.centers import as_centers, center_of
+from fairtally.functions.batches import add_moments, coordinates, merged_moments, nearest_in_batch
+from fairtally.functions.centers import as_centers
 from fairtally.operators.nearest import python_columns, unrolls, with_nearest
 from fairtally.operators.objectives import TWO_GROUPS, Centers
 
+# Groups of the first of two rounds that merge the rows of all tasks.
+MERGE_PARTS = 64
+
 
 def group_stats(
     points: DataFrame,
@@ -59,62 +62,56 @@ def _stats_columns(labelled: DataFrame, centers: np.ndarray) -> DataFrame:
     )
 
 
+def _merge_moments(rows: pa.Table) -> pa.Table:
+    """One row for all partial rows (n, mean, ss) of a cluster and group, merged pairwise."""
+    parts = list(zip(rows.column("n").to_pylist(), map(np.array, rows.column("mean").to_pylist()), rows.column("ss").to_pylist()))
+    while len(parts) > 1:
+        merged = [merged_moments(x, y) for x, y in zip(parts[::2], parts[1::2])]
+        parts = merged + parts[len(merged) * 2 :]
+    n, mean, ss = parts[0]
+    return pa.table(
+        {
+            "cluster_id": rows.column("cluster_id")[:1],
+            "g": rows.column("g")[:1],
+            "n": pa.array([n], pa.int64()),
+            "mean": pa.array([mean], pa.list_(pa.float64())),
+            "ss": pa.array([ss], pa.float64()),
+        }
+    )
+
+
 def _stats_arrow(labelled: DataFrame, centers: np.ndarray, n_groups: int) -> DataFrame:
     k, d = centers.shape
 
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per task: counts and sums of (x - center), one row per cluster and group."""
+        """Per task: count, mean and scatter around the task's own mean, one row per cluster and group."""
         slots = k * n_groups
         n = np.zeros(slots, dtype=np.int64)
-        q = np.zeros(slots)
-        s = np.zeros((d, slots))
+        mean = np.zeros((slots, d))
+        ss = np.zeros(slots)
         for batch in batches:
             x = coordinates(batch.columns[1:], d)
-            index, dist = nearest_in_batch(x, centers)
+            index, _ = nearest_in_batch(x, centers)
             slot = index.astype(np.intp) * n_groups + batch.column(0).to_numpy(zero_copy_only=False)
-            n += np.bincount(slot, minlength=slots)
-            q += np.bincount(slot, weights=dist, minlength=slots)
-            for j in range(d):
-                s[j] += np.bincount(slot, weights=x[j] - centers[index, j], minlength=slots)
+            add_moments(n, mean, ss, slot, x)
         used = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array((used // n_groups).astype(np.int32)),
                 pa.array((used % n_groups).astype(np.int32)),
                 pa.array(n[used]),
-                pa.array(q[used]),
-                pa.array(list(s[:, used].T), type=pa.list_(pa.float64())),
+                pa.array(list(mean[used]), type=pa.list_(pa.float64())),
+                pa.array(ss[used]),
             ],
-            names=["cluster_id", "g", "n", "q", "s"],
+            names=["cluster_id", "g", "n", "mean", "ss"],
         )
 
     sent = labelled.select("g", *[c.alias(f"x{j}") for j, c in enumerate(python_columns("features", d))])
-    rows = sent.mapInArrow(partials, "cluster_id int, g int, n bigint, q double, s array<double>")
-    # n and q belong to the row, s to its coordinates: they travel with coordinate 0 only.
-    flat = rows.select("cluster_id", "g", "n", "q", F.posexplode("s").alias("j", "s"))
-    first = F.col("j") == 0
-    per_coordinate = flat.groupBy("cluster_id", "g", "j").agg(
-        F.sum("s").alias("s"),
-        F.sum(F.when(first, F.col("n"))).alias("n"),
-        F.sum(F.when(first, F.col("q"))).alias("q"),
-    )
-    # d rows per cluster and group from here on.
-    merged = per_coordinate.groupBy("cluster_id", "g").agg(
-        F.max("n").alias("n"),
-        F.max("q").alias("q"),
-        F.transform(F.array_sort(F.collect_list(F.struct("j", "s"))), lambda e: e["s"]).alias("s"),
-    )
-    center = center_of(centers, F.col("cluster_id"))
-    offset = F.transform("s", lambda v: v / F.col("n"))
-    # Shifted identity: sum |x - mean|^2 = sum |x - c|^2 - n |mean - c|^2.
-    drift = F.aggregate(offset, F.lit(0.0), lambda t, v: t + v * v)
-    return merged.select(
-        "cluster_id",
-        "g",
-        "n",
-        F.zip_with(center, offset, lambda c, o: c + o).alias("mean"),
-        F.greatest(F.col("q") - F.col("n") * drift, F.lit(0.0)).alias("ss"),
-    )
+    schema = "cluster_id int, g int, n bigint, mean array<double>, ss double"
+    rows = sent.mapInArrow(partials, schema)
+    # One row per task, cluster and group: two rounds keep a group small with very many tasks.
+    some = rows.withColumn("part", F.spark_partition_id() % F.lit(MERGE_PARTS)).groupBy("cluster_id", "g", "part")
+    return some.applyInArrow(_merge_moments, schema).groupBy("cluster_id", "g").applyInArrow(_merge_moments, schema)
 
 
 def align_groups(stats: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
@@ -11,17 +12,51 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairtally.functions.centers import as_centers
+from fairtally.operators.nearest import with_nearest
+
+
+def lloyd_round(points: DataFrame, centers: np.ndarray, features: str = "features") -> np.ndarray:
+    """The mean of each center's points; a center without points stays."""
+    near = with_nearest(points.select(features), centers, features)
+    vector = array_to_vector(F.col(features).cast("array<double>"))
+    moved = as_centers(centers).copy()
+    # At most k rows.
+    for row in near.groupBy("cluster_id").agg(Summarizer.mean(vector).alias("m")).collect():
+        moved[row["cluster_id"]] = row["m"].toArray()
+    return moved
+
 
 def kmeans(
-    points: DataFrame, k: int, max_iter: int, seed: int = 1, features: str = "features", tol: float = 1e-4
+    points: DataFrame,
+    k: int,
+    max_iter: int,
+    seed: int = 1,
+    features: str = "features",
+    tol: float = 1e-4,
+    init: Sequence[Sequence[float]] | np.ndarray | None = None,
 ) -> np.ndarray:
-    """Centers after at most ``max_iter`` Lloyd rounds from a k-means|| start.
+    """Centers after at most ``max_iter`` Lloyd rounds from a k-means|| start, or from ``init``.
 
-    There may be fewer than ``k`` centers when the points have few distinct values.
+    There may be fewer than ``k`` centers when the points have few distinct values. Rounds end
+    early when no center moves by more than ``tol``.
     """
     if k < 1 or max_iter < 0:
         raise ValueError("k must be positive and max_iter not negative")
     vectors = points.select(array_to_vector(F.col(features).cast("array<double>")).alias("vec"))
+    if init is not None:
+        centers = as_centers(init)
+        for _ in range(max_iter):
+            before, centers = centers, lloyd_round(points, centers, features)
+            if (((centers - before) ** 2).sum(axis=1) <= tol**2).all():
+                break
+        return centers
+    if k == 1 and max_iter == 0:
+        # The point with the smallest seeded hash; equal points are one.
+        first = points.select(F.col(features).cast("array<double>").alias("x")).agg(
+            F.min(F.struct(F.xxhash64("x", F.lit(seed)).alias("h"), "x")).alias("m")
+        )
+        return np.array([first.first()["m"]["x"]])
     if k == 1:
         # Spark ML asks for two clusters at least; the optimum of one is the mean.
         mean = vectors.agg(Summarizer.mean(F.col("vec")).alias("m")).first()["m"]

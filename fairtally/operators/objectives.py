@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairtally.functions.arrays import group_index
-from fairtally.functions.centers import center_of
+from fairtally.functions.centers import centers_frame
 from fairtally.operators.nearest import with_nearest
 
 Centers = Sequence[Sequence[float]] | np.ndarray
@@ -140,10 +140,9 @@ def report_of(
         _mean_or_fail(F.col("dist"), F.col("n"), "the input").alias("delta"),
         _largest(deltas).alias("phi"),
     )
-    lines = _sizes(summary, centers, groups).select(
-        F.col("cluster_id").alias("i"), center_of(centers, F.col("cluster_id")).alias("center"), *names
-    )
-    lines = lines.orderBy("i")
+    # K rows on either side.
+    placed = _sizes(summary, centers, groups).join(centers_frame(summary.sparkSession, centers), "cluster_id")
+    lines = placed.select(F.col("cluster_id").alias("i"), "center", *names).orderBy("i")
     return totals, lines
 
 
