@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from fairtally.operators.objectives import TWO_GROUPS, Centers, clustering_report
 from fairtally.operators.sketch import Sketch, heavy_hitters, sketch_report
 
-# Fixed value: single heavy hitters are listed up to this k.
-LISTED_K = 10
+# The wording of the lines is a fixed output format.
 
 
 def _lines(row: DataFrame, lines: list[Column]) -> DataFrame:
@@ -39,9 +38,9 @@ def clustering_lines(
     return head.unionByName(body).orderBy("line_no")
 
 
-def stream_lines(freq: DataFrame, sketch: Sketch, k: int) -> DataFrame:
-    """(line_no, line): length, distinct items, heavy hitters and errors; for small k also
-    every heavy hitter, by item."""
+def stream_lines(freq: DataFrame, sketch: Sketch, k: int, list_items: bool = True) -> DataFrame:
+    """(line_no, line): length, distinct items, heavy hitters and errors, then every heavy
+    hitter by item unless ``list_items`` is off."""
     head = _lines(
         sketch_report(freq, sketch, k),
         [
@@ -52,7 +51,7 @@ def stream_lines(freq: DataFrame, sketch: Sketch, k: int) -> DataFrame:
             F.format_string("Avg Relative Error for Top-K Heavy Hitters with CS = %.6f", "err_cs"),
         ],
     ).select("line_no", F.lit(None).cast("bigint").alias("item"), "line")
-    if k > LISTED_K:
+    if not list_items:
         return head.orderBy("line_no").drop("item")
     text = F.format_string("Item %d True Frequency = %d Estimated Frequency with CM = %d", "item", "cnt", "cm_est")
     body = heavy_hitters(freq, sketch, k).select(F.lit(5).alias("line_no"), "item", text.alias("line"))

@@ -16,10 +16,6 @@ from fairtally.functions.arrays import middle
 from fairtally.functions.hashing import HashFamily
 from fairtally.operators.frequency import required_item, top_k_with_ties
 
-# Up to this many cells the counters are read from one array (16 MB for both kinds) that
-# Spark hands to every task; larger sketches are joined with a shuffle.
-MAX_DENSE_CELLS = 1 << 20
-
 
 @dataclass(frozen=True)
 class Sketch:
@@ -66,63 +62,28 @@ def merge_sketches(*sketches: Sketch) -> Sketch:
 
 
 def with_estimates(items: DataFrame, sketch: Sketch, item: str = "item") -> DataFrame:
-    """Add cm_est, the smallest cell of the item, and cs_est, the median of its signed cells."""
-    if sketch.hashes.cells <= MAX_DENSE_CELLS:
-        return _estimates_by_lookup(items, sketch, item)
-    return _estimates_by_join(items, sketch, item)
-
-
-def _dense(sketch: Sketch) -> DataFrame:
-    """One row with all counters of each kind in row-major order, zeros included."""
-    hashes = sketch.hashes
-    width = F.lit(hashes.width)
-    spot = F.col("id").cast("int")
-    zeros = sketch.cells.sparkSession.range(0, hashes.cells, 1, 1).select(
-        F.floor(spot / width).cast("int").alias("r"),
-        (spot % width).alias("c"),
-        F.lit(0).cast("bigint").alias("cm"),
-        F.lit(0).cast("bigint").alias("cs"),
-    )
-    full = add_cells(sketch.cells.select("r", "c", "cm", "cs").unionByName(zeros))
-    # depth * width structs, at most MAX_DENSE_CELLS.
-    ordered = full.agg(F.array_sort(F.collect_list(F.struct("r", "c", "cm", "cs"))).alias("cells"))
-    return ordered.select(F.struct(F.col("cells.cm").alias("cm"), F.col("cells.cs").alias("cs")).alias("table"))
-
-
-def _estimates_by_lookup(items: DataFrame, sketch: Sketch, item: str) -> DataFrame:
-    """Array reads only: no shuffle and no join on the side of the items."""
-    hashes = sketch.hashes
-    rows = range(hashes.depth)
-    probed = items.select("*", _dense(sketch).scalar().alias("__table"))
-
-    def counter(kind: str, r: int) -> Column:
-        return F.get(F.col(f"__table.{kind}"), F.lit(r * hashes.width) + hashes.bucket(F.col(item), r))
-
-    low = [counter("cm", r) for r in rows]
-    signed = [counter("cs", r) * hashes.sign(F.col(item), r) for r in rows]
-    return probed.select(
-        *items.columns,
-        (F.least(*low) if len(low) > 1 else low[0]).alias("cm_est"),
-        middle(signed).alias("cs_est"),
-    )
-
-
-def _estimates_by_join(items: DataFrame, sketch: Sketch, item: str) -> DataFrame:
-    depth = sketch.hashes.depth
-    wanted = items.select(F.col(item).cast("bigint").alias("__item")).distinct()
-    probes = wanted.select("__item", F.inline(sketch.hashes.probes(F.col("__item"))))
-    hit = probes.join(sketch.cells, ["r", "c"], "left").select(
-        "__item",
-        F.coalesce("cm", F.lit(0)).alias("cm"),
-        (F.col("sign") * F.coalesce("cs", F.lit(0))).alias("cs"),
-    )
-    # depth values per item.
-    per_item = hit.groupBy("__item").agg(F.min("cm").alias("cm_est"), F.collect_list("cs").alias("signed"))
-    middle_cs = middle([F.get("signed", F.lit(i)) for i in range(depth)])
-    found = per_item.select("__item", "cm_est", middle_cs.alias("cs_est"))
-    return items.join(found, items[item].cast("bigint") == found["__item"], "left").select(
-        *[items[c] for c in items.columns], "cm_est", "cs_est"
+    """Add cm_est, the smallest cell of the item, and cs_est, the median of its signed cells.
+
+    One join of the items' cells with the sketch, whose form Spark picks from the real sizes. All
+    columns of the items are group keys: counts stay in the plan, so that items and sketch made
+    from the same counts share their one shuffle. Equal rows come back as often as they came.
+    """
+    depth, columns = sketch.hashes.depth, items.columns
+    probes = items.select(*[F.col(c).alias(f"__{c}") for c in columns], F.inline(sketch.hashes.probes(F.col(item))))
+    hit = probes.join(sketch.cells.select("r", "c", "cm", "cs"), ["r", "c"], "left")
+    signed = F.col("sign") * F.coalesce("cs", F.lit(0))
+    per_row = hit.groupBy(*[f"__{c}" for c in columns]).agg(
+        F.min(F.coalesce("cm", F.lit(0))).alias("cm_est"),
+        *[F.max(F.when(F.col("r") == i, signed)).alias(f"__s{i}") for i in range(depth)],
+        F.count(F.lit(1)).alias("__n"),
     )
+    copies = F.explode(F.sequence(F.lit(1), (F.col("__n") / depth).cast("int")))
+    return per_row.select(
+        *[F.col(f"__{c}").alias(c) for c in columns],
+        "cm_est",
+        middle([F.col(f"__s{i}") for i in range(depth)]).alias("cs_est"),
+        copies.alias("__copy"),
+    ).drop("__copy")
 
 
 def estimate_cm(items: DataFrame, sketch: Sketch, item: str = "item") -> DataFrame:

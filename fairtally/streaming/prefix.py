@@ -17,9 +17,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from fairtally.functions.hashing import HashFamily
 from fairtally.operators.frequency import item_frequencies, merge_frequencies
-from fairtally.operators.sketch import MAX_DENSE_CELLS, Sketch, add_cells, sketch_cells, sketch_report
+from fairtally.operators.sketch import Sketch, add_cells, sketch_cells, sketch_report
 from fairtally.streaming.running import CELL_SCHEMA, FREQ_SCHEMA
-from fairtally.streaming.tables import read_batches, write_batch
+from fairtally.streaming.tables import DEFAULT_TRIGGER, read_batches, write_batch
 
 
 def _freq_table(out_dir: str) -> str:
@@ -40,27 +40,43 @@ def accepted_batches(lengths: DataFrame, threshold: int) -> DataFrame:
     """(batch_id, n, before): the shortest prefix of batches that reaches the threshold."""
     if threshold < 1:
         raise ValueError("threshold must be positive")
-    # One row per batch, so the running total may use a single task.
+    # One row per batch, and writing stops at the threshold: a single task may add them up.
     earlier = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
     running = lengths.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     return running.where(F.col("before") < threshold)
 
 
+@dataclass
+class Arrived:
+    """Items of all batches, and of the newest one, which may run again. Batches come in order."""
+
+    last: int = -1
+    total: int = 0
+    newest: int = 0
+
+    def before(self, batch_id: int) -> int:
+        return self.total - self.newest if batch_id == self.last else self.total
+
+    def add(self, batch_id: int, n: int) -> None:
+        self.total = self.before(batch_id) + n
+        self.last, self.newest = batch_id, n
+
+
 @dataclass(frozen=True)
 class PrefixStream:
-    """A running query and the lengths of the batches it has written.
+    """A running query and the number of items it has written.
 
-    ``lengths`` only tells when to stop and spares work on batches that cannot count; the
+    ``arrived`` only tells when to stop and spares work on batches that cannot count; the
     tables stay the authority, also for the lengths themselves after a restart.
     """
 
     query: StreamingQuery
     threshold: int
-    lengths: dict[int, int]
+    arrived: Arrived
 
     @property
     def reached(self) -> bool:
-        return sum(list(self.lengths.values())) >= self.threshold
+        return self.arrived.total >= self.threshold
 
     def await_threshold(self, poll_seconds: float = 0.2) -> None:
         """Block until enough items came or the stream ends, then stop the query."""
@@ -75,31 +91,29 @@ def start_prefix_stream(
     items: DataFrame, hashes: HashFamily, threshold: int, out_dir: str, checkpoint: str, **trigger
 ) -> PrefixStream:
     """Start writing the partial tables of a stream of (item)."""
-    lengths = {row.batch_id: row.n for row in batch_lengths(items.sparkSession, out_dir).collect()}
+    known = batch_lengths(items.sparkSession, out_dir).agg(F.sum("n"), F.max(F.struct("batch_id", "n"))).first()
+    arrived = Arrived(known[1].batch_id, known[0], known[1].n) if known[1] else Arrived()
     freq_table, cell_table = _freq_table(out_dir), _cell_table(out_dir)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        before = sum(n for b, n in lengths.items() if b < batch_id)
-        if before >= threshold or batch.isEmpty():
+        if arrived.before(batch_id) >= threshold or batch.isEmpty():
             return
         session = batch.sparkSession
         write_batch(item_frequencies(batch), freq_table, batch_id)
         # Sketches are linear: build the cells from the counts, not from the items again.
         counts = session.read.schema(FREQ_SCHEMA).parquet(f"{freq_table}/batch_id={batch_id}")
         rows = sketch_cells(counts, hashes, weight="cnt")
-        if hashes.cells <= MAX_DENSE_CELLS:
-            rows = rows.repartition(1)  # one small file per batch; the sums are done by then
         write_batch(rows, cell_table, batch_id)
         cells = session.read.schema(CELL_SCHEMA).parquet(f"{cell_table}/batch_id={batch_id}")
-        lengths[batch_id] = cells.where("r = 0").agg(F.sum("cm")).first()[0]
+        arrived.add(batch_id, cells.where("r = 0").agg(F.sum("cm")).first()[0])
 
     query = (
         items.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
+        .trigger(**(trigger or DEFAULT_TRIGGER))
         .foreachBatch(process)
         .start()
     )
-    return PrefixStream(query, threshold, lengths)
+    return PrefixStream(query, threshold, arrived)
 
 
 def _accepted(spark: SparkSession, table: str, schema: str, out_dir: str, threshold: int) -> DataFrame:

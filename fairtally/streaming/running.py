@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -11,13 +12,16 @@ from pyspark.sql.streaming.query import StreamingQuery
 from fairtally.functions.hashing import HashFamily
 from fairtally.operators.frequency import item_frequencies
 from fairtally.operators.sketch import Sketch, sketch_cells
-from fairtally.streaming.tables import latest_rows, read_batches, write_batch
+from fairtally.streaming.tables import DEFAULT_TRIGGER, compact, read_latest, write_batch
 
 FREQ_SCHEMA = "item bigint, cnt bigint"
 CELL_SCHEMA = "r int, c int, cm bigint, cs bigint"
+FREQ_COLUMNS = (["item"], ["cnt"])
+CELL_COLUMNS = (["r", "c"], ["cm", "cs"])
 
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_starting = threading.RLock()
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -26,9 +30,14 @@ def state_on_disk(spark: SparkSession) -> Iterator[None]:
     """Queries started inside keep large state on local disk instead of on the heap.
 
     A query copies the session settings when it starts, and a restarted one keeps those of
-    its checkpoint, so the setting is put back right away. A provider that the user chose
-    stays.
+    its checkpoint, so the setting is put back right away; a lock keeps two starts apart. A
+    provider that the user chose stays.
     """
+    with _starting:
+        yield from _with_provider(spark)
+
+
+def _with_provider(spark: SparkSession) -> Iterator[None]:
     old = spark.conf.get(STATE_PROVIDER)
     chosen = "HDFSBackedStateStoreProvider" not in old
     if not chosen:
@@ -54,17 +63,27 @@ def _start(running: DataFrame, table: str, checkpoint: str, trigger: dict) -> St
 def start_frequencies(items: DataFrame, table: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Count a stream of items; the state grows with the number of distinct items."""
     with state_on_disk(items.sparkSession):
-        return _start(item_frequencies(items), table, checkpoint, trigger or {"processingTime": "100 milliseconds"})
+        return _start(item_frequencies(items), table, checkpoint, trigger or DEFAULT_TRIGGER)
 
 
 def read_frequencies(spark: SparkSession, table: str) -> DataFrame:
-    return latest_rows(read_batches(spark, table, FREQ_SCHEMA), ["item"], ["cnt"])
+    return read_latest(spark, table, FREQ_SCHEMA, *FREQ_COLUMNS)
+
+
+def compact_frequencies(spark: SparkSession, table: str) -> int | None:
+    """Fold finished batches into a snapshot, see ``compact``; the stream may go on meanwhile."""
+    return compact(spark, table, FREQ_SCHEMA, *FREQ_COLUMNS)
 
 
 def start_sketch(items: DataFrame, hashes: HashFamily, table: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Sketch a stream of items; the state never exceeds depth * width cells."""
-    return _start(sketch_cells(items, hashes), table, checkpoint, trigger or {"processingTime": "100 milliseconds"})
+    with state_on_disk(items.sparkSession):
+        return _start(sketch_cells(items, hashes), table, checkpoint, trigger or DEFAULT_TRIGGER)
 
 
 def read_sketch(spark: SparkSession, table: str, hashes: HashFamily) -> Sketch:
-    return Sketch(latest_rows(read_batches(spark, table, CELL_SCHEMA), ["r", "c"], ["cm", "cs"]), hashes)
+    return Sketch(read_latest(spark, table, CELL_SCHEMA, *CELL_COLUMNS), hashes)
+
+
+def compact_sketch(spark: SparkSession, table: str) -> int | None:
+    return compact(spark, table, CELL_SCHEMA, *CELL_COLUMNS)

@@ -1,7 +1,8 @@
 """Batch-numbered tables that a stream writes and batch queries read.
 
 Every micro-batch owns the folder ``batch_id=<n>`` and overwrites it as a whole, so a batch
-that runs again after a failure replaces its rows instead of adding them twice.
+that runs again after a failure replaces its rows instead of adding them twice. Snapshots in
+the folder beside it hold the latest rows of all batches up to a number.
 """
 
 from __future__ import annotations
@@ -10,9 +11,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Micro-batches of a running stream, unless the caller asks for others.
+DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+
 
 def write_batch(rows: DataFrame, table: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    """As few files as the size of the batch asks for, whatever the number of its partitions."""
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
 
 def read_batches(spark: SparkSession, table: str, schema: str) -> DataFrame:
@@ -30,3 +35,59 @@ def latest_rows(batches: DataFrame, keys: list[str], values: list[str]) -> DataF
     """For an update-mode table: the values of each key from the last batch that changed it."""
     last = batches.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v"))
     return last.select(*keys, *[F.col(f"v.{v}").alias(v) for v in values])
+
+
+def _numbered(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the finished folders ``<prefix>=<n>``: those with a success mark."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith(f"{prefix}=")]
+    done = [p for p in names if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName().split("=")[1]) for p in done)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def read_latest(spark: SparkSession, table: str, schema: str, keys: list[str], values: list[str]) -> DataFrame:
+    """The latest values of each key: the last finished snapshot and the batches after it."""
+    snapshots = _numbered(spark, f"{table}.snapshots", "through")
+    batches = read_batches(spark, table, schema)
+    if snapshots:
+        through = snapshots[-1]
+        old = spark.read.schema(schema).parquet(f"{table}.snapshots/through={through}")
+        newer = batches.where(F.col("batch_id") > through)
+        batches = newer.unionByName(old.withColumn("batch_id", F.lit(through).cast("bigint")))
+    return latest_rows(batches, keys, values)
+
+
+def compact(spark: SparkSession, table: str, schema: str, keys: list[str], values: list[str]) -> int | None:
+    """Folds all batches but the newest, which may run again, into one snapshot; its number, if there is one.
+
+    A snapshot counts once it is finished; only then the folders that it holds and older snapshots
+    go. Whatever step fails, readers see the same rows, and the next call completes the work.
+    """
+    batches = _numbered(spark, table, "batch_id")
+    snapshots = _numbered(spark, f"{table}.snapshots", "through")
+    through = batches[-2] if len(batches) > 1 else None
+    if through is not None and (not snapshots or through > snapshots[-1]):
+        settled = read_batches(spark, table, schema).where(F.col("batch_id") <= through)
+        if snapshots:
+            old = spark.read.schema(schema).parquet(f"{table}.snapshots/through={snapshots[-1]}")
+            settled = settled.where(F.col("batch_id") > snapshots[-1])
+            settled = settled.unionByName(old.withColumn("batch_id", F.lit(snapshots[-1]).cast("bigint")))
+        rows = latest_rows(settled, keys, values).hint("rebalance")
+        rows.write.mode("overwrite").parquet(f"{table}.snapshots/through={through}")
+        snapshots.append(through)
+    if not snapshots:
+        return None
+    for number in batches:
+        if number <= snapshots[-1]:
+            _delete(spark, f"{table}/batch_id={number}")
+    for number in snapshots[:-1]:
+        _delete(spark, f"{table}.snapshots/through={number}")
+    return snapshots[-1]

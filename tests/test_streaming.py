@@ -126,3 +126,57 @@ def test_writing_a_batch_twice_replaces_it(spark, tmp_path):
 def test_socket_source_is_a_stream_of_items(spark):
     items = socket_items(spark, "localhost", 9999)  # nothing connects before the query starts
     assert items.isStreaming and items.dtypes == [("item", "bigint")]
+
+
+def files_of(path):
+    return [p for p in path.rglob("part-*") if ".crc" not in p.name]
+
+
+def test_few_files_and_compaction(spark, tmp_path):
+    table = f"{tmp_path}/t"
+    for b in range(5):
+        rows = spark.createDataFrame([(i, 10 * b + i) for i in range(b, 60)], "item bigint, cnt bigint").repartition(40)
+        tables.write_batch(rows, table, b)
+        assert len(files_of(tmp_path / f"t/batch_id={b}")) <= 2
+    before = sorted(map(tuple, running.read_frequencies(spark, table).collect()))
+    assert before == [(i, 10 * min(i, 4) + i) for i in range(60)]
+    assert running.compact_frequencies(spark, table) == 3
+    assert sorted(p.name for p in (tmp_path / "t").glob("batch_id=*")) == ["batch_id=4"]
+    assert sorted(map(tuple, running.read_frequencies(spark, table).collect())) == before
+    # The newest batch may run again, and more may follow.
+    tables.write_batch(spark.createDataFrame([(0, 999)], "item bigint, cnt bigint"), table, 4)
+    tables.write_batch(spark.createDataFrame([(1, 7)], "item bigint, cnt bigint"), table, 5)
+    after = dict(map(tuple, running.read_frequencies(spark, table).collect()))
+    assert (after[0], after[1], after[59]) == (999, 7, 89)
+    assert running.compact_frequencies(spark, table) == 4
+    assert dict(map(tuple, running.read_frequencies(spark, table).collect())) == after
+    assert [p.name for p in (tmp_path / "t.snapshots").glob("through=*")] == ["through=4"]
+
+
+@pytest.mark.parametrize("step", ["write", "delete"])
+def test_compaction_that_fails_changes_nothing(spark, tmp_path, monkeypatch, step):
+    table = f"{tmp_path}/t"
+    for b in range(4):
+        tables.write_batch(spark.createDataFrame([(b, b), (9, b)], "item bigint, cnt bigint"), table, b)
+    before = sorted(map(tuple, running.read_frequencies(spark, table).collect()))
+    if step == "write":  # a snapshot that was not finished has no success mark
+        left = tmp_path / "t.snapshots/through=2"
+        left.mkdir(parents=True)
+        (left / "part-00000.parquet").write_bytes(b"half")
+    else:
+        with monkeypatch.context() as m:
+            m.setattr(tables, "_delete", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError, match="lost"):
+                running.compact_frequencies(spark, table)
+    assert sorted(map(tuple, running.read_frequencies(spark, table).collect())) == before
+    assert running.compact_frequencies(spark, table) == 2
+    assert sorted(map(tuple, running.read_frequencies(spark, table).collect())) == before
+    assert len(list((tmp_path / "t").glob("batch_id=*"))) == 1
+
+
+def test_arrived_counts_a_repeated_batch_once():
+    arrived = prefix.Arrived()
+    arrived.add(0, 10)
+    arrived.add(1, 5)
+    arrived.add(1, 5)
+    assert (arrived.before(1), arrived.before(2), arrived.total) == (10, 15, 15)

@@ -40,3 +40,10 @@ def test_bad_arguments(docs):
         word_counts(docs, salt=0)
     with pytest.raises(ValueError):
         word_counts(docs, salt=2, by_partition=True)
+
+
+def test_counts_per_partition_cost_one_shuffle(spark):
+    docs = spark.createDataFrame([("a b a",), ("b",)], "value string")
+    plan = word_counts(docs, by_partition=True)._jdf.queryExecution().sparkPlan().toString()
+    executed = word_counts(docs, by_partition=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and executed.count("Exchange hashpartitioning") == 1
