@@ -8,21 +8,41 @@ from fairtally.functions.hashing import HashFamily
 from fairtally.operators.fair import fair_kmeans, fair_step
 from fairtally.operators.frequency import item_frequencies, merge_frequencies, top_k_with_ties
 from fairtally.operators.groups import align_groups, fixed_terms, group_fractions, group_stats
-from fairtally.operators.kmeans import initial_centers, kmeans
+from fairtally.operators.kmeans import initial_centers, kmeans, lloyd_round
 from fairtally.operators.nearest import with_nearest
 from fairtally.operators.objectives import (
     cluster_group_sizes,
+    clustering_report,
     compare_centers,
     fair_objective,
     group_counts,
     point_dimensions,
     standard_objective,
 )
-from fairtally.operators.sketch import Sketch, build_sketch, merge_sketches, sketch_report, topk_error
-from fairtally.operators.words import average_word_length, word_counts
+from fairtally.operators.sketch import (
+    Sketch,
+    build_sketch,
+    estimate_cm,
+    estimate_cs,
+    heavy_hitters,
+    merge_sketches,
+    sketch_report,
+    topk_error,
+    with_estimates,
+)
+from fairtally.operators.words import average_word_length, distinct_words, document_count, word_counts
 from fairtally.sources.items import file_items, parse_items, socket_items
 from fairtally.sources.points import parse_points, read_lines, read_points, write_points
 from fairtally.sources.synthetic import synth_points
+from fairtally.streaming.prefix import prefix_frequencies, prefix_report, prefix_sketch, start_prefix_stream
+from fairtally.streaming.running import (
+    compact_frequencies,
+    compact_sketch,
+    read_frequencies,
+    read_sketch,
+    start_frequencies,
+    start_sketch,
+)
 
 __all__ = [
     "HashFamily",
@@ -31,7 +51,14 @@ __all__ = [
     "average_word_length",
     "build_sketch",
     "cluster_group_sizes",
+    "clustering_report",
+    "compact_frequencies",
+    "compact_sketch",
     "compare_centers",
+    "distinct_words",
+    "document_count",
+    "estimate_cm",
+    "estimate_cs",
     "fair_kmeans",
     "fair_objective",
     "fair_step",
@@ -40,22 +67,33 @@ __all__ = [
     "group_counts",
     "group_fractions",
     "group_stats",
+    "heavy_hitters",
     "initial_centers",
     "item_frequencies",
     "kmeans",
+    "lloyd_round",
     "merge_frequencies",
     "merge_sketches",
     "parse_items",
     "parse_points",
     "point_dimensions",
+    "prefix_frequencies",
+    "prefix_report",
+    "prefix_sketch",
+    "read_frequencies",
     "read_lines",
     "read_points",
+    "read_sketch",
     "sketch_report",
     "socket_items",
     "standard_objective",
+    "start_frequencies",
+    "start_prefix_stream",
+    "start_sketch",
     "synth_points",
     "top_k_with_ties",
     "topk_error",
+    "with_estimates",
     "with_nearest",
     "word_counts",
     "write_points",

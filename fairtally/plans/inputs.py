@@ -17,6 +17,9 @@ EVEN_HASHES = HashFamily(
 TOP_K = 5
 STREAM_CHUNKS = 4
 VECTOR_CENTERS = 4
+# Line numbers of lineitem.
+SEPARATE_GROUPS = 7
+SYNTH_SEED = 42
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +35,14 @@ def line_points(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     )
 
 
+def separate_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem: line numbers far apart, so the best clusters are known: the rows of each line number."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.array(F.col("l_linenumber") * 1000 + F.col("l_quantity"), F.col("l_extendedprice") / 1000).alias("features"),
+        F.when(F.col("l_linestatus") == "F", "A").otherwise("B").alias("grp"),
+    )
+
+
 def order_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders: one coordinate; pending orders (P) are in neither group."""
     status = F.col("o_orderstatus")

@@ -13,6 +13,7 @@ from fairtally.plans.inputs import (
     GRID,
     HASHES,
     STREAM_CHUNKS,
+    SYNTH_SEED,
     TOP_K,
     VECTOR_CENTERS,
 )
@@ -87,11 +88,12 @@ def _move(r: int) -> str:
     return f"""c{r + 1} AS MATERIALIZED (
   SELECT cluster_id, CASE WHEN k.ell > 0 THEN ((k.ell - v.x) * max_ + v.x * mbx_) / k.ell ELSE max_ END AS cx,
          CASE WHEN k.ell > 0 THEN ((k.ell - v.x) * may_ + v.x * mby_) / k.ell ELSE may_ END AS cy
-  FROM k{r} k JOIN v{r}_10 v USING (cluster_id))"""
+  FROM k{r} k JOIN v{r}_10 v USING (cluster_id)
+  UNION ALL SELECT cluster_id, cx, cy FROM c{r} WHERE cluster_id NOT IN (SELECT cluster_id FROM k{r}))"""
 
 
-def _lloyd(rounds: int) -> str:
-    parts = [FIXED]
+def _lloyd(rounds: int, start: str = FIXED) -> str:
+    parts = [start]
     for r in range(rounds):
         if r:
             parts.append(_assigned(f"n{r}", f"c{r}"))
@@ -103,6 +105,19 @@ def _phi(near: str) -> str:
     return f"(SELECT max(d) FROM (SELECT avg(dist) AS d FROM {near} GROUP BY g))"
 
 
+# Separate groups: the nearest center of a row is that of its line number.
+SEPARATE = """WITH p AS MATERIALIZED (
+  SELECT 1000 * l_linenumber + l_quantity AS x, l_extendedprice / 1000 AS y, l_linenumber - 1 AS cluster_id,
+         CASE WHEN l_linestatus = 'F' THEN 'A' ELSE 'B' END AS g FROM lineitem),
+u AS MATERIALIZED (SELECT cluster_id, avg(x) AS cx, avg(y) AS cy FROM p GROUP BY cluster_id)"""
+APART = f"{SEPARATE}, n0 AS MATERIALIZED (SELECT * FROM p), c0 AS (SELECT * FROM u), {_stats(0)}, {_search(0)}, {_move(0)}"
+
+
+def _apart_phi(centers: str) -> str:
+    return f"""(SELECT max(d) FROM (SELECT avg((x - cx) * (x - cx) + (y - cy) * (y - cy)) AS d
+  FROM p JOIN {centers} USING (cluster_id) GROUP BY g))"""
+
+
 # --- vectors ------------------------------------------------------------------------------
 
 VECTORS = f"""WITH u AS MATERIALIZED (
@@ -120,9 +135,11 @@ s AS (SELECT cluster_id, g, sum((x - m) * (x - m)) AS ss FROM q JOIN m USING (cl
 e AS (SELECT cluster_id, j, max(m) FILTER (g = 'A') AS ma, max(m) FILTER (g = 'B') AS mb,
              max(n) FILTER (g = 'A') AS na, max(n) FILTER (g = 'B') AS nb FROM m GROUP BY ALL),
 l AS (SELECT cluster_id, coalesce(max(na), 0) AS n_a, coalesce(max(nb), 0) AS n_b,
-             sqrt(sum((coalesce(ma, mb) - coalesce(mb, ma)) * (coalesce(ma, mb) - coalesce(mb, ma)))) AS ell
+             sqrt(sum((coalesce(ma, mb) - coalesce(mb, ma)) * (coalesce(ma, mb) - coalesce(mb, ma)))) AS ell,
+             round(max(coalesce(ma, mb)) FILTER (j = 0), 6) AS mean_a_first, round(sum(coalesce(ma, mb)), 6) AS mean_a_sum,
+             round(max(coalesce(mb, ma)) FILTER (j = 0), 6) AS mean_b_first, round(sum(coalesce(mb, ma)), 6) AS mean_b_sum
       FROM e GROUP BY ALL)
-SELECT l.cluster_id, n_a, n_b, round(coalesce(a.ss, 0), 6) AS ss_a, round(coalesce(b.ss, 0), 6) AS ss_b,
+SELECT l.cluster_id, n_a, n_b, mean_a_first, mean_a_sum, mean_b_first, mean_b_sum, round(coalesce(a.ss, 0), 6) AS ss_a, round(coalesce(b.ss, 0), 6) AS ss_b,
        round(ell, 6) AS ell
 FROM l LEFT JOIN (SELECT * FROM s WHERE g = 'A') a USING (cluster_id)
        LEFT JOIN (SELECT * FROM s WHERE g = 'B') b USING (cluster_id)"""
@@ -186,6 +203,24 @@ b AS (SELECT k, size, greatest(1, CAST(floor(size * 0.1 + 0.5) AS BIGINT)) AS nb
 SELECT CAST(unnest(range(k)) AS INTEGER) AS cluster_id, greatest(size - nb, 0) AS na, nb FROM b"""
 
 
+def _noise(axis: int) -> str:
+    digest = f"md5('{SYNTH_SEED}|' || id || '|{axis}')"
+    uniform = lambda start: f"((CAST('0x' || substr({digest}, {start}, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+    return f"sqrt(-2 * ln({uniform(1)})) * cos(2 * pi() * {uniform(17)})"
+
+
+SYNTHETIC = f"""WITH s AS (SELECT (SELECT count(*) FROM nation) AS k,
+  (SELECT count(*) FROM orders) // (SELECT count(*) FROM nation) AS size),
+b AS (SELECT k, greatest(1, CAST(floor(size * 0.1 + 0.5) AS BIGINT)) AS nb, size FROM s),
+c AS (SELECT k, greatest(size - nb, 0) AS na, greatest(size - nb, 0) + nb AS per FROM b),
+r AS (SELECT o_orderkey AS id, o_orderkey // per AS cl, o_orderkey % per >= na AS is_b FROM orders CROSS JOIN c
+  WHERE o_orderkey >= 0 AND o_orderkey < k * per),
+q AS (SELECT *, 1000.0 + cl * 25000.0 + CASE WHEN is_b THEN 1050.0 ELSE 0.0 END AS reach FROM r)
+SELECT CAST(printf('%.3f', [1, 1, -1, -1][cl % 4 + 1] * reach + {_noise(0)} * 5.0) AS DOUBLE) AS x,
+  CAST(printf('%.3f', [1, -1, -1, 1][cl % 4 + 1] * reach + {_noise(1)} * 5.0) AS DOUBLE) AS y,
+  CASE WHEN is_b THEN 'B' ELSE 'A' END AS grp FROM q"""
+
+
 ORACLES: dict[str, str] = {
     "pt_parse": f"WITH {POINTS} SELECT l_orderkey, l_linenumber, x, y, g AS grp FROM p",
     "pt_parse_any_dim": """SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim, CAST(embedding[1] AS DOUBLE) AS first,
@@ -193,6 +228,10 @@ ORACLES: dict[str, str] = {
     "pt_text_roundtrip": f"""WITH {POINTS} SELECT g AS grp, count(*) AS n,
   CAST(sum(round(CAST(x AS DECIMAL(18, 5)), 3)) AS DOUBLE) AS sum_x,
   CAST(sum(round(CAST(y AS DECIMAL(18, 5)), 3)) AS DOUBLE) AS sum_y FROM p GROUP BY g""",
+    "pt_text_roundtrip_vec": """WITH u AS (SELECT vec_id, CASE WHEN label < 8 THEN 'A' ELSE 'B' END AS g, len(embedding) AS d,
+    unnest(range(len(embedding))) AS j, CAST(printf('%.3f', CAST(unnest(embedding) AS DOUBLE)) AS DOUBLE) AS x FROM embeddings)
+SELECT g AS grp, count(DISTINCT vec_id) AS n, CAST(min(d) AS INTEGER) AS dim, round(sum(x), 3) AS total,
+  round(sum(x) FILTER (j = d - 1), 3) AS last FROM u GROUP BY g""",
     "pt_counts": """SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS na,
   count(*) FILTER (o_orderstatus = 'O') AS nb FROM orders""",
     "pt_dim": """SELECT CAST(min(len(embedding)) AS INTEGER) AS min_dim,
@@ -220,8 +259,12 @@ SELECT CAST(0 AS INTEGER) AS line_no, printf('N = %d, NA = %d, NB = %d', count(*
 UNION ALL SELECT 1, printf('Delta(U,C) = %.6f', avg(dist)) FROM n0
 UNION ALL SELECT 2, printf('Phi(A,B,C) = %.6f', {_phi('n0')})
 UNION ALL SELECT i + 3, printf('i = %d, center = (%.6f,%.6f), NA%d = %d, NB%d = %d', i, cx, cy, i, na, i, nb) FROM s""",
-    "cl_init": "SELECT CAST(4 AS BIGINT) AS n_centers, CAST(4 AS BIGINT) AS n_inside",
-    "cl_kmeans_gain": "SELECT count(*) AS n, TRUE AS not_worse FROM lineitem",
+    "cl_init": "SELECT count(DISTINCT l_linenumber) AS n_centers, count(DISTINCT l_linenumber) AS n_groups FROM lineitem",
+    "cl_kmeans": f"""{SEPARATE} SELECT CAST(cluster_id AS INTEGER) AS cluster_id, round(any_value(cx), 6) AS cx, round(any_value(cy), 6) AS cy,
+  count(*) FILTER (g = 'A') AS na, count(*) FILTER (g = 'B') AS nb FROM p JOIN u USING (cluster_id) GROUP BY cluster_id""",
+    "cl_kmeans_gain": f"""{SEPARATE} SELECT round(avg((x - cx) * (x - cx) + (y - cy) * (y - cy)), 6) AS cost, TRUE AS not_worse
+FROM p JOIN u USING (cluster_id)""",
+    "cl_compare": f"{APART} SELECT round({_apart_phi('u')}, 6) AS phi_standard, round({_apart_phi('c1')}, 6) AS phi_fair",
     "cl_compare_fixed": f"""{_lloyd(ROUNDS)}, {_assigned('n_end', f'c{ROUNDS}')}
 SELECT round({_phi('n0')}, 6) AS phi_standard, round({_phi('n_end')}, 6) AS phi_fair""",
     "fl_cluster_stats": f"""{FIXED}, {_stats(0)} SELECT cluster_id, n_a, n_b, round(max_, 6) AS mean_a_x,
@@ -229,10 +272,12 @@ SELECT round({_phi('n0')}, 6) AS phi_standard, round({_phi('n_end')}, 6) AS phi_
     "fl_cluster_stats_vec": VECTOR_STATS,
     "fl_fractions": f"{FIXED}, {_stats(0)} SELECT cluster_id, round(alpha, 9) AS alpha, round(beta, 9) AS beta FROM k0",
     "fl_fixed_terms": f"{FIXED}, {_stats(0)} SELECT round(fixed_a, 6) AS fixed_a, round(fixed_b, 6) AS fixed_b FROM x0",
+    "fl_fixed_terms_grid": f"{GRIDDED}, {_stats(0)} SELECT round(fixed_a, 6) AS fixed_a, round(fixed_b, 6) AS fixed_b FROM x0",
     "fl_gamma": f"""{FIXED}, {_stats(0)}, {_search(0)}
 SELECT gamma, round(fa, 6) AS fa, round(fb, 6) AS fb FROM g0_10 CROSS JOIN f0_10""",
     "fl_centers": f"{_lloyd(1)} SELECT cluster_id, round(cx, 6) AS cx, round(cy, 6) AS cy FROM c1",
     "fl_lloyd": f"{_lloyd(ROUNDS)} SELECT cluster_id, round(cx, 6) AS cx, round(cy, 6) AS cy FROM c{ROUNDS}",
+    "fl_lloyd_grid": f"{_lloyd(ROUNDS, GRIDDED)} SELECT cluster_id, round(cx, 6) AS cx, round(cy, 6) AS cy FROM c{ROUNDS}",
     "sk_parse_items": """SELECT count(DISTINCT user_id) AS n_distinct, count(user_id) AS n,
   CAST(sum(user_id) AS BIGINT) AS total FROM events""",
     "sk_exact_freq": ALL_ITEMS,
@@ -267,5 +312,6 @@ UNION ALL SELECT 5, printf('Item %d True Frequency = %d Estimated Frequency with
     "wc_avg_len": f"""{TOKENS} SELECT round(sum(length(word) +
   length(regexp_replace(word, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g'))) / count(*), 9) AS avg_len
 FROM (SELECT DISTINCT word FROM t)""",
+    "syn_points": SYNTHETIC,
     "syn_counts": SIZES,
 }

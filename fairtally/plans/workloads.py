@@ -14,12 +14,15 @@ from fairtally.plans.inputs import (
     EVEN_HASHES,
     GRID,
     HASHES,
+    SEPARATE_GROUPS,
     STREAM_CHUNKS,
+    SYNTH_SEED,
     TOP_K,
     documents,
     event_items,
     line_points,
     order_points,
+    separate_points,
     table,
     vector_centers,
     vector_points,
@@ -73,6 +76,20 @@ def pt_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pt_text_roundtrip_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 64 coordinates, through other column names."""
+    path = scratch_dir(spark, "vectors")
+    renamed = vector_points(spark, sf_dir).withColumnsRenamed({"features": "place", "grp": "side"})
+    write_points(renamed, path, features="place", grp="side")
+    total = F.aggregate("features", F.lit(0.0), lambda t, v: t + v)
+    return read_points(spark, path).groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.size("features")).alias("dim"),
+        F.round(F.sum(total), 3).alias("total"),
+        F.round(F.sum(F.element_at("features", -1)), 3).alias("last"),
+    )
+
+
 def pt_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objectives.group_counts(order_points(spark, sf_dir))
 
@@ -133,43 +150,40 @@ def cl_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cl_init(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Start centers of a random method: checked by number and by lying inside the data."""
-    points = line_points(spark, sf_dir)
-    centers = centers_frame(spark, initial_centers(points, 4, seed=1)).select(_x("center").alias("x"), _y("center").alias("y"))
-    box = points.agg(
-        F.struct(F.min(_x()).alias("x0"), F.max(_x()).alias("x1"), F.min(_y()).alias("y0"), F.max(_y()).alias("y1"))
-    )
-    boxed = centers.select("x", "y", box.scalar().alias("b"))
-    inside = F.col("x").between(F.col("b.x0"), F.col("b.x1")) & F.col("y").between(F.col("b.y0"), F.col("b.y1"))
-    return boxed.agg(F.count(F.lit(1)).alias("n_centers"), F.count_if(inside).alias("n_inside"))
+    """Start centers of a random method: one in each of the separate groups."""
+    start = centers_frame(spark, initial_centers(separate_points(spark, sf_dir), SEPARATE_GROUPS, seed=1))
+    group = F.floor((_x("center") + 500) / 1000)
+    return start.agg(F.count(F.lit(1)).alias("n_centers"), F.count_distinct(group).alias("n_groups"))
 
 
 def cl_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Centers of a random start with their sizes: no SQL gives the same ones."""
-    points = line_points(spark, sf_dir)
-    centers = kmeans(points, 4, 10, seed=1)
-    sizes = objectives.cluster_group_sizes(points, centers)
-    return _center_rows(spark, centers).join(F.broadcast(sizes), "cluster_id")
+    """Centers of separate groups, in order, with their sizes: any start leads to the group means."""
+    points = separate_points(spark, sf_dir)
+    centers = kmeans(points, SEPARATE_GROUPS, 10, seed=1)
+    ordered = centers[centers[:, 0].argsort()]
+    return _center_rows(spark, ordered).join(objectives.cluster_group_sizes(points, ordered), "cluster_id")
 
 
 def cl_kmeans_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lloyd rounds never make the start worse, and every point is counted once."""
-    points = line_points(spark, sf_dir)
-    sums = []
-    for rounds in (0, 10):
-        near = with_nearest(points.select("features"), kmeans(points, 4, rounds, seed=1))
-        sums.append(near.agg(F.struct(F.sum("dist").alias("cost"), F.count(F.lit(1)).alias("n")).alias("s")))
-    both = spark.range(1).select(sums[0].scalar().alias("start"), sums[1].scalar().alias("end"))
-    return both.select(
-        F.col("end.n").alias("n"), (F.col("end.cost") <= F.col("start.cost") * (1 + 1e-9)).alias("not_worse")
+    """Lloyd rounds never make the start worse, and end at the best cost."""
+    points = separate_points(spark, sf_dir)
+    start = initial_centers(points, SEPARATE_GROUPS, seed=1)
+    row = objectives.compare_centers(
+        points.withColumn("grp", F.lit("all")), start, kmeans(points, SEPARATE_GROUPS, 10, init=start), groups=("all",)
+    )
+    return row.select(
+        F.round("phi_fair", 6).alias("cost"), (F.col("phi_fair") <= F.col("phi_standard") * (1 + 1e-9)).alias("not_worse")
     )
 
 
 def cl_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Standard and fair centers from random starts: no SQL gives the same ones."""
-    points = line_points(spark, sf_dir)
-    standard = kmeans(points, 4, 5, seed=1)
-    return objectives.compare_centers(points, standard, fair.fair_kmeans(points, 4, 5, seed=1, cache=False))
+    """Standard and fair centers of separate groups, from one random start."""
+    points = separate_points(spark, sf_dir)
+    start = initial_centers(points, SEPARATE_GROUPS, seed=1)
+    standard = kmeans(points, SEPARATE_GROUPS, 5, init=start)
+    fair_centers = fair.fair_kmeans(points, SEPARATE_GROUPS, 5, init=start, cache=False)
+    row = objectives.compare_centers(points, standard, fair_centers)
+    return row.select(F.round("phi_standard", 6).alias("phi_standard"), F.round("phi_fair", 6).alias("phi_fair"))
 
 
 def cl_compare_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,8 +212,12 @@ def fl_cluster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fl_cluster_stats_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = groups.group_stats(vector_points(spark, sf_dir), vector_centers(spark, sf_dir))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda t, v: t + v)
+    means = [
+        F.round(f(f"mean_{g}"), 6).alias(f"mean_{g}_{name}") for g in ("a", "b") for name, f in (("first", _x), ("sum", total))
+    ]
     return groups.align_groups(stats).select(
-        "cluster_id", "n_a", "n_b", *[F.round(c, 6).alias(c) for c in ("ss_a", "ss_b", "ell")]
+        "cluster_id", "n_a", "n_b", *means, *[F.round(c, 6).alias(c) for c in ("ss_a", "ss_b", "ell")]
     )
 
 
@@ -213,6 +231,11 @@ def fl_fixed_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.select(F.round("fixed_a", 6).alias("fixed_a"), F.round("fixed_b", 6).alias("fixed_b"))
 
 
+def fl_fixed_terms_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = groups.align_groups(groups.group_stats(line_points(spark, sf_dir), GRID))
+    return groups.fixed_terms(stats).select(F.round("fixed_a", 6).alias("fixed_a"), F.round("fixed_b", 6).alias("fixed_b"))
+
+
 def fl_gamma(spark: SparkSession, sf_dir: str) -> DataFrame:
     step = fair.fair_step(line_points(spark, sf_dir), CENTERS)
     return spark.range(1).select(
@@ -228,6 +251,11 @@ def fl_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _center_rows(spark, fair.fair_kmeans(line_points(spark, sf_dir), 4, 3, init=CENTERS, cache=False))
 
 
+def fl_lloyd_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    centers = fair.fair_kmeans(line_points(spark, sf_dir), len(GRID), 3, init=GRID, cache=False)
+    return _center_rows(spark, centers)
+
+
 # --- frequencies and sketches -------------------------------------------------------------
 
 
@@ -323,44 +351,47 @@ def sk_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ------------------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The file source takes folders or patterns; the pattern matches the table as a single
-    # file and as a folder of files.
-    path = f"{sf_dir}/events.parque[t]"
-    schema = table(spark, sf_dir, "events").select("user_id").schema
-    return spark.readStream.schema(schema).parquet(path).select(F.col("user_id").alias("item"))
+def _event_stream(spark: SparkSession, sf_dir: str, work: str) -> DataFrame:
+    """The events as files that arrive over several micro-batches."""
+    items = event_items(spark, sf_dir)
+    items.repartition(STREAM_CHUNKS).write.parquet(f"{work}/incoming")
+    return spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/incoming")
 
 
 def st_exact_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark, "freq")
     query = running.start_frequencies(
-        _event_stream(spark, sf_dir), f"{work}/table", f"{work}/checkpoint", availableNow=True
+        _event_stream(spark, sf_dir, work), f"{work}/table", f"{work}/checkpoint", availableNow=True
     )
     query.awaitTermination()
+    running.compact_frequencies(spark, f"{work}/table")
     return running.read_frequencies(spark, f"{work}/table")
 
 
 def st_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = scratch_dir(spark, "sketch")
     query = running.start_sketch(
-        _event_stream(spark, sf_dir), HASHES, f"{work}/table", f"{work}/checkpoint", availableNow=True
+        _event_stream(spark, sf_dir, work), HASHES, f"{work}/table", f"{work}/checkpoint", availableNow=True
     )
     query.awaitTermination()
     return running.read_sketch(spark, f"{work}/table", HASHES).cells
 
 
 def _prefix_run(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Let the events arrive in four parts by id, one micro-batch each, and stop after 11/20 of them."""
+    """Let the events arrive in four parts by id, one micro-batch each, and stop after 11/20 of them.
+
+    One pass writes all parts; events without an id come last.
+    """
     events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("item"))
     n, top = events.agg(F.count(F.lit(1)), F.max("event_id")).first()
     threshold = max(1, n * 11 // 20)
-    # First id of each part: the ids i * (top + 1) / parts, rounded up.
-    starts = [-(-i * (top + 1) // STREAM_CHUNKS) for i in range(STREAM_CHUNKS + 1)]
     work = scratch_dir(spark, "prefix")
-    for first, beyond in zip(starts, starts[1:]):
-        part = events.where((F.col("event_id") >= first) & (F.col("event_id") < beyond))
-        part.select("item").write.mode("append").parquet(f"{work}/incoming")
-        arrived = spark.readStream.schema("item bigint").parquet(f"{work}/incoming")
+    part = F.floor(F.col("event_id") * STREAM_CHUNKS / F.lit((top or 0) + 1))
+    placed = F.coalesce(F.greatest(part, F.lit(0)), F.lit(STREAM_CHUNKS - 1)).cast("int")
+    events.select("item", placed.alias("part")).write.partitionBy("part").parquet(f"{work}/incoming")
+    for last in range(STREAM_CHUNKS):
+        # The pattern lets one more folder arrive each time; the stream knows what it has read.
+        arrived = spark.readStream.schema("item bigint").parquet(f"{work}/incoming/part=[0-{last}]")
         stream = prefix.start_prefix_stream(
             arrived, HASHES, threshold, f"{work}/out", f"{work}/checkpoint", availableNow=True
         )
@@ -409,10 +440,10 @@ def wc_avg_len(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many points as there are orders, in as many clusters as there are nations."""
-    n = table(spark, sf_dir, "orders").count()
+    """A point for each order, by its key, in as many clusters as there are nations."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     k = table(spark, sf_dir, "nation").count()
-    return synth_points(spark, n, k, seed=42)
+    return synth_points(spark, orders.count(), k, seed=SYNTH_SEED, ids=orders)
 
 
 def syn_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,6 +466,7 @@ QUERIES = {
         pt_parse,
         pt_parse_any_dim,
         pt_text_roundtrip,
+        pt_text_roundtrip_vec,
         pt_counts,
         pt_dim,
         cl_assign,
@@ -456,9 +488,11 @@ QUERIES = {
         fl_cluster_stats_vec,
         fl_fractions,
         fl_fixed_terms,
+        fl_fixed_terms_grid,
         fl_gamma,
         fl_centers,
         fl_lloyd,
+        fl_lloyd_grid,
         sk_parse_items,
         sk_exact_freq,
         sk_merge_freq,
