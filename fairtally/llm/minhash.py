@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairtally.llm.common import connected_components, stored
@@ -24,7 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 COORDINATES = 64
 MATCHES = 37
 SIMILARITY_PERCENT = 80
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 CACHE_WORDS = 200_000
 
 SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, signature array<int>"
@@ -215,31 +215,54 @@ class _Links:
         far = posts.join(centers, "token").where(F.col("comp") != F.col("c.comp"))
         return far.select(F.col("c.rep").alias("a"), F.col("rep").alias("b")).distinct()
 
-    def rest_pairs(self, groups: DataFrame) -> DataFrame:
-        """All pairs of different components that share a posting and may still be similar enough.
+    def unsettled(self, groups: DataFrame) -> DataFrame:
+        """Postings of lists with several components, with the largest one (``top``)."""
+        posts = self.posted(groups)
+        sizes = posts.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
+        largest = sizes.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
+        return posts.join(largest.where("comps > 1").select("token", F.col("top.comp").alias("top")), "token")
 
-        Lists within one component make none; in other lists all but the largest component's
-        members meet all members, so a large group of near copies meets only what isn't in it.
-        Shingles that no other document of these lists has can't be common to a pair: the others,
-        s of n, bound the similarity of x and y by min(s) / (n_x + n_y - min(s)). Near copies that
-        differ too much from all others are mostly told by this bound alone.
+    def shared_shingles(self, groups: DataFrame) -> DataFrame:
+        """(rep, n, s, tokens) of what may still find a partner: s of its n shingles are shared.
+
+        Shingles that no other document of the unsettled lists has can't be common to a pair, so s
+        bounds every similarity; a document with too few shared shingles is left out.
         """
-        posts = self.posted(groups)
-        sizes = posts.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
-        unsettled = stored(posts.join(largest.select("token", F.col("top.comp").alias("top")), "token"), "unsettled")
-        wanted = unsettled.select("rep").distinct()
+        wanted = self.unsettled(groups).select("rep").distinct()
         rows = self.blobs.join(wanted, "rep", "left_semi").mapInArrow(single_shingles, "rep bigint, shingle bigint")
         common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("shingle")
         shared = rows.join(common, "shingle", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("s"))
-        facts = shared.join(self.signatures.select("rep", F.col("n_shingles").alias("n")), "rep")
-        known = stored(facts.where(F.col("s") * 100 >= F.col("n") * self.percent), "shared-shingles")
-        able = unsettled.join(known, "rep")
-        few = able.where("comp != top").select("token", *[F.col(c).alias(f"{c}_x") for c in ("rep", "comp", "n", "s")])
-        most = F.least("s", "s_x")
-        may = (F.col("comp") != F.col("comp_x")) & (most * 100 >= (F.col("n") + F.col("n_x") - most) * self.percent)
-        met = few.join(able, "token").where(may)
-        return met.select(F.least("rep_x", "rep").alias("a"), F.greatest("rep_x", "rep").alias("b")).distinct()
+        sized = shared.join(self.signatures.select("rep", F.col("n_shingles").alias("n")), "rep")
+        lists = self.prefix.groupBy("rep").agg(F.collect_list("token").alias("tokens"))  # at most one per coordinate
+        return sized.where(F.col("s") * 100 >= F.col("n") * self.percent).join(lists, "rep")
+
+    def _may(self, x: str, y: str) -> Column:
+        """Whether the similarity bound min(s) / (n_x + n_y - min(s)) reaches the threshold."""
+        least = F.least(F.col(f"{x}s"), F.col(f"{y}s"))
+        return least * 100 >= (F.col(f"{x}n") + F.col(f"{y}n") - least) * self.percent
+
+    def hub_pairs(self, groups: DataFrame, facts: DataFrame) -> DataFrame:
+        """As star_pairs, where the center of a list is what shares the most: it is like most others."""
+        posts = self.unsettled(groups).join(facts.drop("tokens"), "rep")
+        order = F.struct((F.col("s") / F.col("n")).alias("share"), (-F.col("rep")).alias("o"), "rep", "comp", "n", "s")
+        far = posts.join(posts.groupBy("token").agg(F.max(order).alias("c")), "token")
+        far = far.where((F.col("comp") != F.col("c.comp")) & self._may("", "c."))
+        return far.select(F.col("c.rep").alias("a"), F.col("rep").alias("b")).distinct()
+
+    def rest_pairs(self, groups: DataFrame, facts: DataFrame) -> DataFrame:
+        """All pairs of different components that share a posting and may be similar enough, each once.
+
+        Lists within one component make none; in other lists all but the largest component's
+        members meet all members, so a large group of near copies meets only what isn't in it.
+        """
+        able = self.unsettled(groups).join(facts, "rep")
+        few = able.where("comp != top").select("token", *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "n", "s", "tokens")])
+        # Of the lists that a pair shares, the one with the least token speaks for it. At least one
+        # side is outside of its largest component; if both are, the smaller asks.
+        speaks = F.array_min(F.array_intersect("tokens", "x_tokens")) == F.col("token")
+        once = (F.col("comp") == F.col("top")) | (F.col("x_rep") < F.col("rep"))
+        met = few.join(able, "token").where((F.col("comp") != F.col("x_comp")) & once & self._may("", "x_") & speaks)
+        return met.select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
 
 
 def _at(groups: DataFrame, end: str) -> DataFrame:
@@ -265,8 +288,12 @@ def _merged(groups: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
     return stored(old.union(fresh), "near-groups"), True
 
 
-def _best(near: DataFrame) -> DataFrame:
-    return near.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+def _best(near: DataFrame, most: int = 1) -> DataFrame:
+    """The ``most`` pairs of each b with the most matches; later steps still see all others."""
+    if most == 1:
+        return near.groupBy("b").agg(F.max(F.struct("matches", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    ranked = near.groupBy("b").agg(F.sort_array(F.collect_list(F.struct("matches", "a")), asc=False).alias("m"))
+    return ranked.select("b", F.explode(F.slice("m", 1, most)).alias("m")).select(F.col("m.a").alias("a"), "b")
 
 
 def near_duplicates(
@@ -280,9 +307,9 @@ def near_duplicates(
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable), kept.
 
     Reads ``doc_id`` and ``text``; other columns don't matter. Equal sets are one representative,
-    so copies never meet. In each round every posting meets one center of its list and confirms its
-    best match; then all pairs of different components left are counted and confirmed too: no list
-    is cut. Null or empty texts have no shingles and are linked with nothing; a null doc_id is
+    so copies never meet. In a star round every posting meets one center of its list and confirms its
+    best match, then one whose center shares the most; last, all pairs of different components
+    that a bound does not exclude are counted and confirmed too: no list is cut. Null or empty texts have no shingles and are linked with nothing; a null doc_id is
     linked with nothing and has no component (kept is false); rows with the same doc_id are
     one document.
     """
@@ -304,11 +331,15 @@ def near_duplicates(
     links = _Links(docs, reps, shingle, percent, matches, coordinates)
     groups = spark.createDataFrame([], "node bigint, component bigint")
     for turn in range(star_rounds):
-        groups, more = _merged(groups, links.confirmed(_best(links.matched(links.star_pairs(groups, turn)))))
+        near = links.matched(links.star_pairs(groups, turn))
+        groups, more = _merged(groups, links.confirmed(_best(near)))
         if not more:
             break
-    left = stored(links.matched(links.rest_pairs(groups)), "candidates")
-    groups, _ = _merged(groups, links.confirmed(_best(left)))
+    facts = stored(links.shared_shingles(groups), "shared-shingles")
+    near = links.matched(links.hub_pairs(groups, facts))
+    groups, _ = _merged(groups, links.confirmed(_best(near, 4)))
+    left = stored(links.matched(links.rest_pairs(groups, facts)), "candidates")
+    groups, _ = _merged(groups, links.confirmed(_best(left, 4)))
     groups, _ = _merged(groups, links.confirmed(_between(groups, left)))
 
     placed = members.join(groups, F.col("rep") == F.col("node"), "left").select(
