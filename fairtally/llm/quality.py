@@ -23,14 +23,16 @@ SMOOTH = 1.0
 MOST_BLAME, START_BLAME = 0.001, 0.3
 
 
-def text_stats(documents: DataFrame, text: str = "text") -> DataFrame:
+def text_stats(documents: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """The rows (all columns, repeated rows too) as struct ``row``, with the statistics of their whole text.
+    Without ``keep_text`` the text is not in ``row``.
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_ends, n_upper,
     n_shouts: all long; a null text has none of anything.
     """
-    t = F.coalesce(F.col(f"row.{text}"), F.lit(""))
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    kept = [F.col(f"`{c}`") for c in documents.columns if keep_text or c != text]
+    rows = documents.select(F.struct(*kept).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    t = F.col("_text")
     # Splitting at one plain character is far cheaper than at a pattern.
     words = F.array_remove(F.split(F.regexp_replace(t, r"[\x09-\x0D]", " "), " "), "")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -56,7 +58,7 @@ def text_stats(documents: DataFrame, text: str = "text") -> DataFrame:
     )
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     order = F.when(repeats, F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("p")))))
-    a = with_computed(a.drop("words", "lines"), order=order).drop("windows")
+    a = with_computed(a.drop("_text", "words", "lines"), order=order).drop("windows")
     near = lambda x, i: F.coalesce(x["h"] == F.get("order", i)["h"], F.lit(False))
     found = F.array_sort(F.transform(F.filter("order", lambda x, i: near(x, i - 1) | near(x, i + 1)), lambda x: x["p"]))
     a = with_computed(a, places=found).drop("order")
@@ -186,9 +188,9 @@ def judge_quality(documents: DataFrame, least: float = 0.5, text: str = "text",
     With ``keep_row`` the texts are read twice, once for the votes of the whole corpus and once to
     judge; otherwise the statistics are written once, and ``row`` loses its text.
     """
-    stats = text_stats(documents, text)
+    stats = text_stats(documents, text, keep_text=keep_row)
     if not keep_row:
-        stats = stored(stats.withColumn("row", F.col("row").dropFields(text)), "quality")
+        stats = stored(stats, "quality")
     votes = stats.where(~base_failed()).select(*[v.alias(r) for r, v in rule_votes().items()])
     model = fit_label_model(votes, list(rule_votes()))
     judged = stats.withColumn("quality", posterior(model, rule_votes())).withColumn("base_failed", base_failed())
