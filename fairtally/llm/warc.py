@@ -82,7 +82,7 @@ def write_archives(folder: str, most_bytes: int = ARCHIVE_BYTES):
                 *head, html = (v.as_py() for v in row)
                 if out is None:
                     path, count, size = f"{root}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = store.open_output_stream(path)
+                    out = store.open_output_stream(path, compression=None)
                 data = _record(*head, (html or "").encode("utf-8", "surrogatepass"))
                 out.write(data)
                 count, size = count + 1, size + len(data)
@@ -156,7 +156,7 @@ def read_archives(with_payload: bool):
             for path in batch.column("path").to_pylist():
                 store, name = fs.FileSystem.from_uri(path)
                 rows, size = [], 0
-                with store.open_input_stream(name) as stream:
+                with store.open_input_stream(name, compression=None) as stream:
                     for member in members(stream):
                         row = parse_record(member)
                         if not with_payload:
