@@ -94,7 +94,7 @@ def filter_urls(
     judged = parts.drop("u").withColumn("own", decide(F.col("host"), F.col("path"), rules))
     edges = page_links(pages, url, html)
     if redirects is not None:
-        edges = edges.union(redirects.select(url_node(F.col("a")), url_node(F.col("b"))).dropna())
+        edges = edges.union(redirects.select(url_node(F.col("a")).alias("a"), url_node(F.col("b")).alias("b")).dropna())
     groups = connected_components(edges)
     if groups is None:
         own = F.coalesce("own.verdict", F.lit("allow"))
