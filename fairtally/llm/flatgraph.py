@@ -3,8 +3,10 @@
 Vectors of one label are cut into overlapping cluster shards of bounded size. Each shard builds a
 pruned neighbour graph; the adjacency lists of a vector's shards are united. In its home shard each
 vector then is a query: a greedy search from the medoids, which expands over the range once it is
-reached. Every link is verified in double precision; recall is audited against brute force, and
-the index is built wider where it falls short.
+reached. Where united edges of nodes in range lead to other shards, the query goes on there, in
+rounds, until no edge leads to a shard it has not seen. Every link is verified in double precision;
+recall is audited against brute force, the index is built wider where it falls short, and where the
+widest one does, all shards of a label are compared with each other.
 """
 
 from __future__ import annotations
@@ -31,7 +33,11 @@ SPLIT_SAMPLE = 4000
 SPLIT_LEVELS = 6
 ALPHA = 1.2
 AUDIT_QUERIES = 1000
+#: Queries that one task takes to a shard.
+VISIT_QUERIES = 8000
 LEAST_RECALL = 0.98
+#: How far below the range a search still follows edges.
+SLACK = 0.03
 
 
 @dataclass(frozen=True)
@@ -181,29 +187,41 @@ def medoids(x: np.ndarray, count: int = 8) -> np.ndarray:
     return np.unique(chosen)
 
 
-def _build(degree: int):
+def _build(degree: int, least: float):
+    """Adjacency lists, and the home shards to which edges lead that a search over the range can use."""
+    # Two vectors further apart are not both in (slack) range of one query.
+    reach = np.cos(np.arccos(least) + np.arccos(max(least - SLACK, -1.0))) - 1e-9
+
     def run(shard: pa.Table) -> pa.Table:
-        reps = shard.column("rep").to_numpy()
-        lists = pruned_neighbours(unit(matrix(shard.column("v"))), degree)
-        return pa.table({"rep": reps, "near": pa.array([reps[a] for a in lists], pa.list_(pa.int64()))})
+        reps, x = shard.column("rep").to_numpy(), unit(matrix(shard.column("v")))
+        homes = np.array(shard.column("home_grp").to_pylist(), object)
+        lists = pruned_neighbours(x, degree)
+        exits = [sorted(set(homes[a[x[a] @ x[i] >= reach]].tolist()) - {homes[i]}) for i, a in enumerate(lists)]
+        return pa.table(
+            {
+                "rep": reps,
+                "near": pa.array([reps[a] for a in lists], pa.list_(pa.int64())),
+                "exits": pa.array(exits, pa.list_(pa.string())),
+            }
+        )
 
     return run
 
 
 def range_search(x: np.ndarray, query: int, graph: list[np.ndarray], starts: np.ndarray, beam: int, least: float) -> np.ndarray:
-    """Nodes with a similarity of at least ``least``: greedy search, then expansion over the range."""
+    """Nodes with a similarity of at least ``least`` - SLACK: greedy search, then expansion over the range."""
     q, seen = x[query], np.zeros(len(x), bool)
     seen[starts] = True
     nodes, scores = starts, x[starts] @ q
     expanded = np.zeros(len(nodes), bool)
-    slack = least - 0.03
+    slack = least - SLACK
     while True:
         order = np.argsort(-scores, kind="stable")
         nodes, scores, expanded = nodes[order], scores[order], expanded[order]
         # The best of the beam, and everything that is in range or close to it.
         waiting = np.flatnonzero(~expanded & ((np.arange(len(nodes)) < beam) | (scores >= slack)))
         if not len(waiting):
-            return nodes[scores >= least]
+            return nodes[scores >= slack]
         turn = waiting[scores[waiting] >= slack] if scores[waiting[0]] >= slack else waiting[:4]
         expanded[turn] = True
         fresh = np.unique(np.concatenate([graph[i] for i in nodes[turn]]))
@@ -224,8 +242,9 @@ def _search(beam: int, least: float, audited: bool):
         home = shard.column("home").to_numpy(zero_copy_only=False)
         asks = shard.column("ask").to_numpy(zero_copy_only=False)
         place = {r: i for i, r in enumerate(reps.tolist())}
-        # United lists name vectors of other shards too; those are searched there.
+        # United lists name vectors of other shards too; the query goes on there by the exits.
         graph = [np.array(sorted(place[r] for r in near if r in place), np.int64) for near in shard.column("near").to_pylist()]
+        exits = shard.column("exits").to_pylist()
         starts, root = medoids(x), list(range(len(reps)))
 
         def find(i: int) -> int:
@@ -234,20 +253,24 @@ def _search(beam: int, least: float, audited: bool):
                 i = root[i]
             return i
 
-        a, b, links = [], [], []
+        a, b, links, go = [], [], [], []
         for i in np.flatnonzero(asks if audited else home).tolist():
             found = range_search(x, i, graph, starts, beam, least - 1e-9)
+            leads = sorted({e for j in {i, *found.tolist()} for e in exits[j]})
             found = found[found != i]
             exact = raw[found] @ raw[i] / (norm[found] * norm[i])
-            found = found[exact >= least]
+            # Only what this shard is home of counts here; the rest counts at its own home.
+            found = found[(exact >= least) & home[found]]
+            a.append(reps[i])
+            b.append(None)
+            links.append(int(weight[found].sum()))
+            go.append(leads)
             if audited:
                 a += [reps[i]] * len(found)
                 b += reps[found].tolist()
-                links += [0] * len(found)
+                links += [None] * len(found)
+                go += [None] * len(found)
                 continue
-            a.append(reps[i])
-            b.append(None)
-            links.append(int(weight[found].sum()))
             for j in found.tolist():
                 r, s = find(i), find(j)
                 if r != s:
@@ -255,11 +278,99 @@ def _search(beam: int, least: float, audited: bool):
                     a.append(reps[i])
                     b.append(reps[j])
                     links.append(None)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "links": pa.array(links, pa.int64())})
+                    go.append(None)
+        return _found(a, b, links, go)
+
+    return run
+
+
+FOUND = "a bigint, b bigint, links bigint, go array<string>"
+
+
+def _found(a: list, b: list, links: list, go: list) -> pa.Table:
+    return pa.table(
+        {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "links": pa.array(links, pa.int64()), "go": pa.array(go, pa.list_(pa.string()))}
+    )
+
+
+def _visit(least: float, audited: bool):
+    """Queries from elsewhere against all vectors of which a shard is the home, as ``_search`` gives it."""
+
+    def run(asked: pa.Table, shard: pa.Table) -> pa.Table:
+        a, b, links, go = [], [], [], []
+        if asked.num_rows and shard.num_rows:
+            raw, reps = matrix(shard.column("v")), shard.column("rep").to_numpy()
+            norm, weight = np.linalg.norm(raw, axis=1), shard.column("weight").to_numpy()
+            exits = shard.column("exits").to_pylist()
+            ids, queries = asked.column("q").to_numpy(), matrix(asked.column("qv"))
+            label = np.arange(len(reps))
+            for start in range(0, len(ids), 512):
+                q = queries[start : start + 512]
+                cosine = q @ raw.T / (np.linalg.norm(q, axis=1)[:, None] * norm)
+                for i, own in zip(ids[start : start + 512].tolist(), cosine):
+                    # Blocks of one group are shards that a query visits together with its own.
+                    own[reps == i] = -2
+                    found = np.flatnonzero(own >= least)
+                    leads = {e for j in np.flatnonzero(own >= least - SLACK).tolist() for e in exits[j]}
+                    a.append(i)
+                    b.append(None)
+                    links.append(int(weight[found].sum()))
+                    go.append(sorted(leads))
+                    if audited:
+                        ends = found
+                    else:  # one link to each of the trees that the query connects
+                        trees, at = np.unique(label[found], return_index=True)
+                        ends = found[at]
+                        if len(trees) > 1:
+                            label[np.isin(label, trees)] = trees[0]
+                    a += [i] * len(ends)
+                    b += reps[ends].tolist()
+                    links += [None] * len(ends)
+                    go += [None] * len(ends)
+        return _found(a, b, links, go)
 
     return run
 
 
+def _searched(index: DataFrame, asked, width: Width, least: float, audited: bool, everywhere: bool = False) -> DataFrame:
+    """What the queries (home rows where ``asked``) find: per visit a row of counts, and rows of links.
+
+    The first round is the search in the home shard; each later one takes the queries to the shards
+    that the last one's edges led to. ``everywhere`` takes them to all shards of their label instead.
+    """
+    homes = index.where("home")
+    queries = homes.where(asked).select(F.col("rep").alias("q"), F.col("v").alias("qv"), F.col("grp").alias("from"))
+    seen = queries.select("q", F.col("from").alias("to"))
+    first = index.withColumn("ask", F.col("home") & asked).groupBy("grp").applyInArrow(_search(width.beam, least, audited), FOUND)
+    found = stored(first, "links")
+    total, leads = found, found.where("b IS NULL").select(F.col("a").alias("q"), F.explode("go").alias("to"))
+    root = lambda c: F.regexp_extract(c, r"^([^/#]*)", 1)
+    shards = homes.groupBy(F.col("grp").alias("to")).agg(F.count(F.lit(1)).alias("n"))
+    family = shards.where("to LIKE '%#%'").select(F.col("to").alias("block"), F.substring_index("to", "#", 1).alias("of"))
+    while True:
+        if everywhere:
+            leads = queries.join(shards, root("from") == root("to")).select("q", "to")
+        else:
+            # One block of a group stands for all of them.
+            reached = leads.union(seen).where("to LIKE '%#%'").select("q", F.substring_index("to", "#", 1).alias("of")).distinct()
+            leads = leads.union(reached.join(family, "of").select("q", F.col("block").alias("to")))
+        fresh = stored(leads.distinct().join(seen, ["q", "to"], "left_anti"), "visits")
+        if fresh.isEmpty():
+            return total
+        parts = fresh.groupBy("to").agg(F.ceil(F.count(F.lit(1)) / VISIT_QUERIES).alias("parts"))
+        part = F.pmod(F.xxhash64("q"), F.col("parts")).alias("part")
+        asking = fresh.join(parts, "to").select("q", "to", part).join(queries.select("q", "qv"), "q")
+        answering = homes.join(parts, F.col("grp") == F.col("to")).select(
+            F.col("grp").alias("at"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "rep", "v", "weight", "exits"
+        )
+        more = asking.groupBy("to", "part").cogroup(answering.groupBy("at", "part")).applyInArrow(_visit(least, audited), FOUND)
+        more = stored(more, "links")
+        total, seen = total.union(more), seen.union(fresh)
+        if everywhere:
+            return total
+        leads = more.where("b IS NULL").select(F.col("a").alias("q"), F.explode("go").alias("to"))
+
+
 def _brute(ids: np.ndarray, groups: np.ndarray, queries: np.ndarray, least: float):
     """Links of a bounded set of queries with every row, block by block."""
 
@@ -279,12 +390,14 @@ def _brute(ids: np.ndarray, groups: np.ndarray, queries: np.ndarray, least: floa
     return run
 
 
-def _indexed(vectors: DataFrame, width: Width, most: int) -> DataFrame:
-    """Shards with the united adjacency list of each vector."""
+def _indexed(vectors: DataFrame, width: Width, most: int, least: float = LEAST_COSINE) -> DataFrame:
+    """Shards with the united adjacency list of each vector, and the shards where its edges lead."""
     shards = overlapping_shards(vectors, width, most)
-    lists = shards.groupBy("grp").applyInArrow(_build(width.degree), "rep bigint, near array<bigint>")
+    homes = shards.where("home").select("rep", F.col("grp").alias("home_grp"))
+    built = shards.join(homes, "rep").groupBy("grp").applyInArrow(_build(width.degree, least), "rep bigint, near array<bigint>, exits array<string>")
     # At most the lists of the shards that a vector is in.
-    united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    lists = [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "exits")]
+    united = built.groupBy("rep").agg(*lists)
     return stored(shards.join(united, "rep"), "graph")
 
 
@@ -298,8 +411,7 @@ def audit(index: DataFrame, vectors: DataFrame, width: Width, least: float, quer
     for k, r in enumerate(asked):
         vectors_of[k] = np.array(r["v"])
     true = vectors.select("rep", "grp", "v").mapInArrow(_brute(ids, groups, vectors_of, least), "a bigint, b bigint")
-    ask = F.col("home") & F.col("rep").isin(ids.tolist())
-    found = index.withColumn("ask", ask).groupBy("grp").applyInArrow(_search(width.beam, least, True), "a bigint, b bigint, links bigint")
+    found = _searched(index, F.col("rep").isin(ids.tolist()), width, least, True).where("b IS NOT NULL")
     hit = true.join(found.select("a", "b", F.lit(1).alias("hit")).distinct(), ["a", "b"], "left")
     n, hits = hit.agg(F.count(F.lit(1)), F.count("hit")).first()
     return hits / n if n else 1.0
@@ -320,15 +432,15 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE, most: int =
     members = stored(able.join(classes.withColumnRenamed("v", "w"), (able.grp == classes.grp) & (able.v == F.col("w"))).select("vec_id", "rep", "weight"), "vector-members")
     nodes = stored(classes, "vectors")
     for width in WIDTHS:
-        index = _indexed(nodes, width, most)
+        index = _indexed(nodes, width, most, least)
         recall = audit(index, nodes, width, least)
         if recall >= least_recall:
             break
     else:
-        warnings.warn(f"recall {recall:.3f} at the greatest width", stacklevel=2)
-    searched = index.withColumn("ask", F.col("home")).groupBy("grp").applyInArrow(_search(width.beam, least, False), "a bigint, b bigint, links bigint")
-    found = stored(searched, "links")
-    counts = found.where("b IS NULL").groupBy("a").agg(F.max("links").alias("links"))
+        warnings.warn(f"recall {recall:.3f} at the greatest width: all shards of a label are compared", stacklevel=2)
+    found = _searched(index, F.lit(True), width, least, False, everywhere=recall < least_recall)
+    # Every vector has one home, where alone it is counted.
+    counts = found.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
     groups = connected_components(found.where("b IS NOT NULL").select("a", "b"), "vector-groups")
     if groups is None:
         groups = embeddings.sparkSession.createDataFrame([], "node bigint, component bigint")

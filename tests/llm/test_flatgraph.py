@@ -92,3 +92,23 @@ def test_audit_counts_what_is_missed(spark):
     index = flatgraph._indexed(nodes, width, 100)
     assert flatgraph.audit(index, nodes, width, 0.93) == 1.0
     assert flatgraph.audit(index.where("rep < 3"), nodes, width, 0.93) < 0.5
+
+
+def test_links_of_a_dense_group_reach_beyond_the_shard(spark):
+    rng = np.random.default_rng(3)
+    center = rng.normal(size=16)
+    rows = [(i, (center + rng.normal(size=16) * 0.1).tolist(), 1) for i in range(300)]
+    rows += [(300 + i, rng.normal(size=16).tolist(), 1) for i in range(100)]
+    found, want = run(spark, rows, most=60), brute(rows, 0.93)
+    assert max(n for n, _, _ in want.values()) > 250
+    assert sum(v[0] for v in found.values()) >= 0.98 * sum(v[0] for v in want.values())
+    assert all(found[i][0] <= want[i][0] for i in want)
+
+
+def test_counts_exactly_where_the_widest_index_misses_too_much(spark, monkeypatch):
+    monkeypatch.setattr(flatgraph, "audit", lambda *_: 0.5)
+    rng = np.random.default_rng(5)
+    center = rng.normal(size=8)
+    rows = [(i, (center + rng.normal(size=8) * 0.2).tolist(), 1) for i in range(120)]
+    with pytest.warns(UserWarning, match="recall 0.500"):
+        assert run(spark, rows, most=40) == brute(rows, 0.93)
