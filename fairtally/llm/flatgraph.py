@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairtally.llm.common import connected_components, stored
+from fairtally.llm.common import connected_components, stored, with_computed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -86,6 +86,15 @@ def _split(sample: pa.Table) -> pa.Table:
     return pa.table({"grp": [sample.column("grp")[0].as_py()], "centers": pa.array([centers.ravel()], pa.list_(pa.float64()))})
 
 
+def _direction(v):
+    """The vector over its greatest absolute component.
+
+    Quotients are correctly rounded, so exact multiples of a vector give equal arrays; and equal
+    arrays are one direction but for the last bit of a component.
+    """
+    return F.transform(v, lambda x: x / F.col("top"))
+
+
 def _assign(overlap: int):
     def run(rows: pa.Table, split: pa.Table) -> pa.Table:
         x = unit(matrix(rows.column("v")))
@@ -108,6 +117,12 @@ def _assign(overlap: int):
     return run
 
 
+def _blocks(sized: DataFrame, most: int) -> DataFrame:
+    """Rows of groups of ``n`` above ``most`` dealt by hash into blocks of about 4/5 of it."""
+    block = F.pmod(F.xxhash64(F.lit("block"), "rep"), F.ceil(F.col("n") * 5 / (4 * most)))
+    return sized.withColumn("grp", F.when(F.col("n") > most, F.concat_ws("#", "grp", block.cast("string"))).otherwise(F.col("grp")))
+
+
 SHARDED = "rep bigint, v array<double>, weight bigint, grp string, home boolean"
 
 
@@ -115,12 +130,20 @@ def overlapping_shards(vectors: DataFrame, width: Width, most: int = MAX_SHARD)
     """Vectors (rep, v, weight, grp) in shards; the one with ``home`` asks for the vector's links.
 
     A group above ``most`` is split by centers that are fitted on a bounded sample of it, and every
-    vector goes to its nearest center and to the next ones (``overlap``), until all shards are small
-    or SPLIT_LEVELS splits are made (vectors that no center tells apart stay together).
+    vector goes to its nearest center and to the next ones (``overlap``), until all shards are small.
+    What a split leaves with more than half of its group, or SPLIT_LEVELS splits leave above
+    ``most``, no center tells apart: it is dealt into blocks ``group#i``, and a search visits all of them.
     """
     done, left = [], vectors.withColumn("home", F.lit(True)).select("rep", "v", "weight", "grp", "home")
     for level in range(SPLIT_LEVELS):
         sizes = left.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+        if level:
+            parent = F.substring_index("grp", "/", level)
+            stuck = sizes.join(before.withColumnsRenamed({"grp": "parent", "n": "of"}), parent == F.col("parent"))
+            stuck = stuck.where((F.col("n") > most) & (F.col("n") * 2 > F.col("of"))).select("grp", "n")
+            done.append(_blocks(left.join(stuck, "grp"), most).select(*left.columns))
+            sizes = sizes.join(stuck, "grp", "left_anti")
+        before = sizes
         sized = left.join(sizes, "grp")
         done.append(sized.where(F.col("n") <= most).select(*left.columns))
         big = sized.where(F.col("n") > most)
@@ -141,7 +164,8 @@ def overlapping_shards(vectors: DataFrame, width: Width, most: int = MAX_SHARD)
         )
         left = stored(dealt, "shards")
     else:
-        done.append(left)
+        sizes = left.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+        done.append(_blocks(left.join(sizes, "grp"), most).select(*left.columns))
     shards = done[0]
     for more in done[1:]:
         shards = shards.union(more)
@@ -421,13 +445,15 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE, most: int =
     """Per row: vec_id, n_links, component_id (the smallest vec_id reachable), kept.
 
     Vectors link when their labels are equal and not null, they have as many components, and their
-    cosine is at least ``least``. Unusable vectors link with nothing. Equal vectors are one node of
-    the graph with their number as its weight, and link with each other. A null vec_id has no
+    cosine is at least ``least``. Unusable vectors link with nothing. Equal vectors, and vectors that
+    differ in length only, are one node of the graph with their number as its weight, and link with each other. A null vec_id has no
     component and links with nothing; rows with the same vec_id are vectors of their own that share an id.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("v"))
     grp = F.concat_ws("|", F.col("label").cast("string"), F.size("v").cast("string"))
     able = rows.where(usable("v") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()).select("vec_id", grp.alias("grp"), "v")
+    able = with_computed(able, top=F.array_max(F.transform("v", F.abs)))
+    able = with_computed(able.select("vec_id", "grp", _direction("v").alias("w")), v=F.col("w")).drop("w")
     classes = able.groupBy("grp", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     members = stored(able.join(classes.withColumnRenamed("v", "w"), (able.grp == classes.grp) & (able.v == F.col("w"))).select("vec_id", "rep", "weight"), "vector-members")
     nodes = stored(classes, "vectors")

@@ -105,6 +105,26 @@ def test_links_of_a_dense_group_reach_beyond_the_shard(spark):
     assert all(found[i][0] <= want[i][0] for i in want)
 
 
+def test_vectors_that_no_center_tells_apart_are_dealt_into_blocks(spark):
+    rng = np.random.default_rng(4)
+    one = rng.normal(size=8)
+    rows = [(i, (one * (1 + i / 7)).astype(np.float32).tolist(), 1) for i in range(200)]
+    rows += [(200 + i, rng.normal(size=8).astype(np.float32).tolist(), 1) for i in range(100)]
+    assert run(spark, rows, most=40) == brute(rows, 0.93)
+    nodes = spark.createDataFrame([(i, v, 1, "1|8") for i, v, _ in rows], "rep bigint, v array<double>, weight bigint, grp string")
+    shards = flatgraph.overlapping_shards(nodes, flatgraph.WIDTHS[0], 40)
+    assert shards.where("home").count() == 300
+    assert max(r["count"] for r in shards.groupBy("grp").count().collect()) <= 60
+
+
+def test_vectors_that_differ_in_length_only_are_one_node(spark, monkeypatch):
+    sizes, indexed = [], flatgraph._indexed
+    monkeypatch.setattr(flatgraph, "_indexed", lambda nodes, *more: sizes.append(nodes.count()) or indexed(nodes, *more))
+    rows = [(i, [3.0 * i, 1.0 * i, -7.0 * i], 1) for i in range(1, 30)]
+    assert run(spark, rows) == brute(rows, 0.93)
+    assert sizes == [1]
+
+
 def test_counts_exactly_where_the_widest_index_misses_too_much(spark, monkeypatch):
     monkeypatch.setattr(flatgraph, "audit", lambda *_: 0.5)
     rng = np.random.default_rng(5)
