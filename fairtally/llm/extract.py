@@ -39,6 +39,8 @@ ASIDE_WORDS = frozenset(
     "form header menu modal nav navbar navigation newsletter notice notices popup promo promoted related replies search share "
     "sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary dialog alert".split()
 )
+#: What may stand beside them in a name: comment-list, but not entry-header or has-sidebar.
+BESIDE_WORDS = frozenset("list box bar banner wrap wrapper container block area section inner outer item items link links left right top bottom site slot unit".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr br".split()
 )
@@ -70,10 +72,14 @@ def _set_aside(name: str, attributes: str, in_main: bool) -> bool:
         return False
     if HIDDEN.search(attributes):
         return True
+    if name in MAIN:
+        return False
     for found in NAMES.finditer(attributes):
-        words = re.split(r"[^a-z0-9]+", (found[1] or found[2] or found[3] or "").lower())
-        if not ASIDE_WORDS.isdisjoint(words):
-            return True
+        for token in (found[1] or found[2] or found[3] or "").lower().split():
+            words = set(filter(None, re.split(r"[^a-z0-9]+", token)))
+            says = words & ASIDE_WORDS
+            if says and words <= ASIDE_WORDS | BESIDE_WORDS and not (in_main and says == {"header"}):
+                return True
     return False
 
 

@@ -86,3 +86,16 @@ def test_odd_rows(spark):
     assert by[3][2].count("\n") == 19_999 and by[3][3] == len(by[3][2])
     assert by[4][2] == "same words here"
     assert run(spark, []) == []
+
+
+@pytest.mark.parametrize(
+    ("source", "blocks"),
+    [
+        ("<article class='post has-sidebar'><p>a</article>", ["a"]),
+        ("<main class='no-sidebar'><p>a</main>", ["a"]),
+        ("<article class='widget'><div class='entry-header'><h1>t</h1></div><div class='sidebar left'>s</div><p>a</article>", ["t", "a"]),
+        ("<div id='content' class='share-enabled'><p>a</div><div class='site-footer'>f</div>", ["a"]),
+    ],
+)
+def test_names_set_aside_as_whole_tokens(source, blocks):
+    assert text(source) == blocks
