@@ -25,6 +25,8 @@ from fairtally.llm.urls import url_parts
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MIN_RUN = 8
+#: Tokens of a run that only one other page shares, before it counts as boilerplate and no quotation.
+QUOTE_RUN = 15
 SHARD_PAGES = 20_000
 PART_BYTES = 4 << 20
 
@@ -61,6 +63,7 @@ HIDDEN = re.compile(r"(?i)(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?
 class Page:
     article: list[str] = field(default_factory=list)  # blocks of the article
     plain: list[str] = field(default_factory=list)  # blocks in no marked region
+    spots: list[int] = field(default_factory=list)  # of each of these, the article's blocks before it
     aside: list[str] = field(default_factory=list)  # blocks of menus, footers and the like
     has_article: bool = False
 
@@ -99,6 +102,8 @@ def parse_page(source: str | None) -> Page:
             if block:
                 _, silent, aside, main = open_[-1]
                 if not silent:
+                    if not (aside or main):
+                        page.spots.append(len(page.article))
                     (page.aside if aside else page.article if main else page.plain).append(block)
 
     def close(name: str) -> None:
@@ -162,7 +167,16 @@ def parse_page(source: str | None) -> Page:
     return page
 
 
-PARSED = "row_id bigint, page_id bigint, url string, host string, has_article boolean, text string, plain array<string>, aside array<string>"
+PARSED = (
+    "same bigint, page_id bigint, url string, host string, has_article boolean, article array<string>, "
+    "plain array<string>, spots array<int>, aside array<string>"
+)
+
+
+def _same(page: Page) -> int:
+    """A number that pages with equal blocks share."""
+    parts = (page.article, page.plain, page.aside)
+    return xxhash.xxh3_64_intdigest("\2".join("\1".join(p) for p in parts).encode("utf-8", "surrogatepass")) - 2**63
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,13 +185,14 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pages = [parse_page(v.as_py()) for v in part.column("html")]
             yield pa.record_batch(
                 {
-                    "row_id": part.column("row_id"),
+                    "same": pa.array([_same(p) for p in pages], pa.int64()),
                     "page_id": part.column("page_id"),
                     "url": part.column("url"),
                     "host": part.column("host"),
                     "has_article": pa.array([p.has_article for p in pages], pa.bool_()),
-                    "text": pa.array(["\n".join(p.article) if p.has_article else "" for p in pages], pa.string()),
+                    "article": pa.array([p.article for p in pages], pa.list_(pa.string())),
                     "plain": pa.array([p.plain for p in pages], pa.list_(pa.string())),
+                    "spots": pa.array([p.spots for p in pages], pa.list_(pa.int32())),
                     "aside": pa.array([p.aside for p in pages], pa.list_(pa.string())),
                 }
             )
@@ -199,21 +214,26 @@ def window_ranks(tokens: np.ndarray, width: int) -> np.ndarray:
     return rank
 
 
-def repeated_windows(tokens: np.ndarray, pages: np.ndarray, width: int) -> np.ndarray:
-    """Whether the window from each position occurs in another page too."""
+def page_counts(tokens: np.ndarray, pages: np.ndarray, width: int) -> np.ndarray:
+    """In how many pages the window from each position occurs."""
     if not len(tokens):
-        return np.zeros(0, bool)
+        return np.zeros(0, np.int64)
     rank = window_ranks(tokens, width)
     order = np.argsort(rank, kind="stable")  # the suffix array; equal windows are neighbours in page order
     sorted_rank, sorted_page = rank[order], pages[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_rank[1:] != sorted_rank[:-1]]))
-    ends = np.concatenate([starts[1:], [len(order)]]) - 1
-    shared = sorted_page[starts] != sorted_page[ends]
-    found = np.zeros(len(tokens), bool)
-    found[order] = np.repeat(shared, ends - starts + 1)
+    new = np.concatenate([[True], sorted_rank[1:] != sorted_rank[:-1]])
+    other = np.concatenate([[True], sorted_page[1:] != sorted_page[:-1]]) | new
+    starts = np.flatnonzero(new)
+    found = np.zeros(len(tokens), np.int64)
+    found[order] = np.repeat(np.add.reduceat(other.astype(np.int64), starts), np.diff(np.append(starts, len(order))))
     return found
 
 
+def repeated_windows(tokens: np.ndarray, pages: np.ndarray, width: int) -> np.ndarray:
+    """Whether the window from each position occurs in another page too."""
+    return page_counts(tokens, pages, width) > 1
+
+
 def cover(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Positions inside a window that begins at one of ``starts``."""
     edge = np.zeros(n + width + 1, np.int64)
@@ -222,14 +242,25 @@ def cover(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(edge)[:n] > 0
 
 
-SHARED = "row_id bigint, host string, at int, mark bigint, n int"
+def boilerplate(starts: np.ndarray, counts: np.ndarray, width: int, n: int) -> np.ndarray:
+    """Positions in windows of three pages or more, or in a run of QUOTE_RUN tokens that two pages share."""
+    starts, at = np.unique(starts, return_index=True)
+    often = counts[at] > 2
+    gone = cover(starts[often], width, n)
+    runs = np.split(starts, np.flatnonzero(np.diff(starts) != 1) + 1)
+    long = [r for r in runs if len(r) + width - 1 >= QUOTE_RUN]
+    return gone | cover(np.concatenate(long), width, n) if long else gone
+
+
+SHARED = "same bigint, host string, at int, mark bigint, n int"
 
 
 def _host_suffixes(width: int):
     """Of one shard of a host: the windows of its pages' outer text, as rows to add up over shards.
 
-    A shared window is one row that counts two pages, any other a row of one page. Windows of pages
-    without an article also come with their place, for that page's own decision.
+    A window's first row counts its pages in the shard. Windows of blocks in no marked region also come
+    with their place, for that page's own decision; so do, by a negative place, whole blocks that are
+    shorter than a window beside an article.
     """
 
     def run(shard: pa.Table) -> pa.Table:
@@ -249,34 +280,41 @@ def _host_suffixes(width: int):
                 places.append((i, -1))
                 owner.append(i)
         tokens, pages = np.array(stream, np.int64), np.array(owner, np.int64)
-        shared = repeated_windows(tokens, pages, width)
+        within = page_counts(tokens, pages, width)
         # Windows that hold a separator are none.
         ends = np.cumsum(np.concatenate([[0], tokens < 0]))
         whole = np.zeros(len(tokens), bool)
         if len(tokens) >= width:
             whole[: len(tokens) - width + 1] = ends[width:] == ends[: len(tokens) - width + 1]
         told: set[int] = set()
-        rows: dict[str, list] = {"row_id": [], "at": [], "mark": [], "n": []}
-        ids = shard.column("row_id").to_pylist()
+        rows: dict[str, list] = {"same": [], "at": [], "mark": [], "n": []}
+        ids = shard.column("same").to_pylist()
         has_article = shard.column("has_article").to_pylist()
-        once: set[tuple[int, int]] = set()
         for p in np.flatnonzero(whole).tolist():
             mark = xxhash.xxh3_64_intdigest("\0".join(hashes[p : p + width])) - 2**63
             i, k = places[p]
-            own = k >= 0 and not has_article[i]
-            first = mark not in told if shared[p] else (i, mark) not in once
-            if not own and not first:
+            if k < 0 and mark in told:
                 continue
-            told.add(mark)
-            once.add((i, mark))
-            rows["row_id"].append(ids[i] if own else None)
-            rows["at"].append(k if own else None)
+            rows["same"].append(ids[i] if k >= 0 else None)
+            rows["at"].append(k if k >= 0 else None)
             rows["mark"].append(mark)
-            rows["n"].append((2 if shared[p] else 1) if first else 0)
+            rows["n"].append(int(within[p]) if mark not in told else 0)
+            told.add(mark)
+        for i, (plain, aside) in enumerate(zip(shard.column("plain").to_pylist(), shard.column("aside").to_pylist())):
+            once: set[int] = set()
+            for k, block in enumerate([*plain, *aside]):
+                if len(block.split()) < width:
+                    mark = xxhash.xxh3_64_intdigest("\0\0" + block) - 2**63
+                    own = has_article[i] and k < len(plain)
+                    rows["same"].append(ids[i] if own else None)
+                    rows["at"].append(-k - 1 if own else None)
+                    rows["mark"].append(mark)
+                    rows["n"].append(0 if mark in once else 1)
+                    once.add(mark)
         host = shard.column("host")[0].as_py()
         return pa.table(
             {
-                "row_id": pa.array(rows["row_id"], pa.int64()),
+                "same": pa.array(rows["same"], pa.int64()),
                 "host": pa.array([host] * len(rows["mark"]), pa.string()),
                 "at": pa.array(rows["at"], pa.int32()),
                 "mark": pa.array(rows["mark"], pa.int64()),
@@ -287,23 +325,29 @@ def _host_suffixes(width: int):
     return run
 
 
-def _unique_runs(width: int):
-    """The text of pages without an article: their blocks without the covered tokens."""
+def _texts(width: int):
+    """The article's blocks and, in their places, the blocks in no marked region without boilerplate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for blocks, starts in zip(batch.column("plain").to_pylist(), batch.column("starts").to_pylist()):
-                words = [b.split() for b in blocks or []]
+            columns = (batch.column(c).to_pylist() for c in ("article", "plain", "spots", "starts"))
+            for article, blocks, spots, found in zip(*columns):
+                words = [b.split() for b in blocks]
                 n = sum(map(len, words))
-                gone = cover(np.array(starts or [], np.int64), width, n)
-                kept, at = [], 0
-                for w in words:
+                starts = np.array([(f["at"], f["n"]) for f in found or []], np.int64).reshape(-1, 2)
+                short, starts = starts[starts[:, 0] < 0], starts[starts[:, 0] >= 0]
+                gone = boilerplate(starts[:, 0], starts[:, 1], width, n)
+                repeated = set((-short[:, 0] - 1).tolist())
+                kept, at, before = [], 0, 0
+                for k, (w, spot) in enumerate(zip(words, spots)):
                     left = " ".join(t for t, g in zip(w, gone[at : at + len(w)]) if not g)
                     at += len(w)
-                    if left:
+                    kept += article[before:spot]
+                    before = spot
+                    if left and k not in repeated:
                         kept.append(left)
-                texts.append("\n".join(kept))
+                texts.append("\n".join(kept + article[before:]))
             yield pa.record_batch(
                 {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string())}
             )
@@ -316,28 +360,33 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, shard_pages: int = SH
 
     The text is the blocks of ``article`` or ``main`` elements without the menus, notices, adverts,
     forms, comments and the like in them, joined by line ends; nothing in an article is dropped for
-    being repeated. A page without such an element gives the blocks outside of its menus and
-    the like, less the runs of ``min_run`` or more tokens that another page of the host has outside
-    of its article too. Hosts of any size are cut into shards; windows are then added up over
+    being repeated. Blocks outside of articles and of menus and the like stay in their places, less
+    the runs of ``min_run`` or more tokens that two other pages of the host have outside of their
+    articles too, or QUOTE_RUN or more that one other has; beside an article, shorter blocks go if
+    another page has them. Hosts of any size are cut into shards; windows are then added up over
     the shards of a host, so the cut changes nothing. Null or empty html gives an empty text; pages
-    with null urls are one host; repeated rows count as distinct pages.
+    with null urls are one host; rows with equal blocks count as one page and get equal texts.
     """
     host, _ = url_parts(F.col("url"))
     source = pages.select(
-        F.monotonically_increasing_id().alias("row_id"),
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.col("html").cast("string").alias("html"),
     )
-    parsed = stored(with_computed(source, host=host).select("row_id", "page_id", "url", "host", "html").mapInArrow(_parse, PARSED), "parsed")
-    sizes = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    outer = parsed.select("row_id", "host", "has_article", "plain", "aside").join(sizes, "host")
-    shards = F.pmod(F.xxhash64("row_id"), F.ceil(F.col("pages") / shard_pages))
-    windows = stored(outer.withColumn("shard", shards).groupBy("host", "shard").applyInArrow(_host_suffixes(min_run), SHARED), "windows")
-    common = windows.groupBy("host", "mark").agg(F.sum("n").alias("n")).where("n > 1").select("host", "mark")
-    own = windows.where("row_id IS NOT NULL").join(common, ["host", "mark"])
-    starts = own.groupBy("row_id").agg(F.collect_list("at").alias("starts"))  # at most one per token of the page
-    bare = parsed.where("NOT has_article").select("row_id", "page_id", "url", "plain").join(starts, "row_id", "left")
-    unmarked = bare.select("page_id", "url", "plain", "starts").mapInArrow(_unique_runs(min_run), "page_id bigint, url string, text string")
-    marked = parsed.where("has_article").select("page_id", "url", "text")
-    return marked.union(unmarked).withColumn("n_chars", F.char_length("text").cast("long"))
+    parsed = stored(with_computed(source, host=host).select("page_id", "url", "host", "html").mapInArrow(_parse, PARSED), "parsed")
+    distinct = parsed.select("same", "host", "has_article", "plain", "aside").dropDuplicates(["host", "same"])
+    sizes = parsed.groupBy("host").agg(F.count_distinct("same").alias("pages"))
+    shards = F.pmod(F.xxhash64("same"), F.ceil(F.col("pages") / shard_pages))
+    outer = distinct.join(sizes, "host").withColumn("shard", shards)
+    windows = stored(outer.groupBy("host", "shard").applyInArrow(_host_suffixes(min_run), SHARED), "windows")
+    common = windows.groupBy("host", "mark").agg(F.sum("n").alias("pages")).where("pages > 1")
+    own = windows.where("same IS NOT NULL").join(common, ["host", "mark"])
+    place = F.struct("at", F.col("pages").alias("n"))
+    starts = own.groupBy("host", "same").agg(F.collect_list(place).alias("starts"))  # at most two per token of the page
+    # Pages without unmarked blocks have nothing to decide and are not moved.
+    columns = ["page_id", "url", "article", "plain", "spots", "starts"]
+    decided = parsed.where("size(plain) > 0").join(starts, ["host", "same"], "left").select(*columns)
+    whole = parsed.where("size(plain) = 0").withColumn("starts", F.lit(None).cast(starts.schema["starts"].dataType)).select(*columns)
+    rows = whole.union(decided)
+    texts = rows.mapInArrow(_texts(min_run), "page_id bigint, url string, text string")
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -99,3 +99,24 @@ def test_odd_rows(spark):
 )
 def test_names_set_aside_as_whole_tokens(source, blocks):
     assert text(source) == blocks
+
+
+def test_unmarked_blocks_beside_articles_stay_if_unique(spark):
+    rng = random.Random(3)
+    body, notice = " ".join(words(rng, 30)), " ".join(words(rng, 12))
+    outer = f"<div>{notice}</div><div>Share this</div>"
+    rows = [(i, f"http://h.org/{i}", f"<article><p>a{i}</article>{outer}") for i in range(3)]
+    rows.append((9, "http://h.org/9", f"<article></article><div><p>{body}</p></div>{outer}"))
+    rows.append((8, "http://h.org/8", f"<div>before it</div><article>card</article><p>{body[::-1]}</p>{outer}"))
+    got = {r[0]: r[2] for r in run(spark, rows)}
+    assert got == {0: "a0", 1: "a1", 2: "a2", 9: body, 8: f"before it\ncard\n{body[::-1]}"}
+
+
+def test_copies_and_quotations_stay(spark):
+    rng = random.Random(4)
+    page, other, quote = (" ".join(words(rng, n)) for n in (40, 40, 9))
+    rows = [(i, "http://h.org/1", f"<p>{page}") for i in range(3)] + [(3, "http://h.org/2", f"<p>{page}")]
+    rows += [(4, "http://q.org/1", f"<p>{page} {quote}"), (5, "http://q.org/2", f"<p>{other} {quote}")]
+    got = {r[0]: r[2] for r in run(spark, rows)}
+    assert [got[i] for i in range(4)] == [page] * 4
+    assert got[4] == f"{page} {quote}" and got[5] == f"{other} {quote}"
