@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -20,3 +20,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="fairtally-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once below the shared folder and read back: lineage ends here."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
