@@ -60,4 +60,73 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
-ORACLES = {"op2_url_filters": OP2, "op4_warc": OP4}
+# crc32 by its definition, bit by bit: the reversed polynomial is the fixed value 0xEDB88320.
+_CRC_TABLE = """crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+  FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text; the table is the only row of ``crc``."""
+    codes = f"list_transform(CASE WHEN {text} = '' THEN [] ELSE string_split({text}, '') END, lambda c: ascii(c)::BIGINT)"
+    step = "lambda a, b: xor(a >> 8, crc.t[xor(a, b) % 256 + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {step}), 4294967295)"
+
+
+def _framed(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _merkle(levels: int = 6, top_levels: int = 4) -> str:
+    """All nodes of a level from those below; then every leaf climbs level by level. 16 ** levels rows at most."""
+    leaf = lambda text: "sha256(" + " || ".join(_framed(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        _CRC_TABLE,
+        f"""d AS MATERIALIZED (SELECT doc_id, source, {leaf("text")} AS leaf,
+  CASE WHEN {_crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} % 5 = 0 THEN {leaf(low)} END AS tampered FROM documents, crc)""",
+        """l AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM d)""",
+        "n0 AS (SELECT tree, idx, n, leaf AS digest FROM l)",
+    ]
+
+    def climb(name: str, count: int) -> None:
+        for k in range(count):
+            parts.append(
+                f"""{name}r{k} AS MATERIALIZED (SELECT tree, idx // 16 AS up, n, string_agg(digest, '' ORDER BY idx) AS run
+  FROM {name}{k} GROUP BY tree, idx // 16, n)"""
+            )
+            parts.append(
+                f"""{name}{k + 1} AS MATERIALIZED (SELECT tree, up AS idx, (n + 15) // 16 AS n,
+  CASE WHEN n > 1 THEN sha256(run) ELSE run END AS digest FROM {name}r{k})"""
+            )
+
+    climb("n", levels)
+    parts.append(f"t0 AS (SELECT 0 AS tree, tree AS idx, count(*) OVER () AS n, digest FROM n{levels})")
+    climb("t", top_levels)
+    parts.append(f"""w0 AS (SELECT l.doc_id, l.leaf, l.tree, l.idx, coalesce(l.tampered, l.leaf) AS f, '' AS sib,
+  s.digest AS subroot, r.digest AS root FROM l JOIN n{levels} s ON s.tree = l.tree CROSS JOIN t{top_levels} r)""")
+    done = 0
+
+    def fold(name: str, count: int, tree: str, at: str) -> None:
+        nonlocal done
+        for k in range(count):
+            i = f"(({at}) // {16**k})"
+            before, after = f"substr(r.run, 1, 64 * ({i} % 16))", f"substr(r.run, 64 * ({i} % 16) + 65)"
+            parts.append(
+                f"""w{done + 1} AS (SELECT w.* REPLACE (CASE WHEN r.n > 1 THEN sha256({before} || w.f || {after}) ELSE w.f END AS f,
+  w.sib || {before} || {after} AS sib) FROM w{done} w JOIN {name}r{k} r ON r.tree = {tree} AND r.up = {i} // 16)"""
+            )
+            done += 1
+
+    fold("n", levels, "w.tree", "w.idx")
+    fold("t", top_levels, "0", "w.tree")
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, leaf, subroot, root, sha256(sib) AS proof_sha256, f AS folded_root, f = root AS verified FROM w{done}"
+    )
+
+
+OP12 = _merkle()
+
+ORACLES = {"op2_url_filters": OP2, "op4_warc": OP4, "op12_merkle": OP12}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import extract, flatgraph, langid, lm, minhash, mixing, packing, quality, urls, warc
-from fairtally.llm.common import remainder, table
+from fairtally.llm import extract, flatgraph, langid, lm, merkle, minhash, mixing, packing, quality, toxicity, urls, warc
+from fairtally.llm.common import ascii_lower, remainder, table
 from fairtally.llm.oracles import ORACLES
 
 URL_RULES = [
@@ -76,6 +76,33 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatgraph.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    values = {c: F.col(c) for c in merkle.COLUMNS}
+    tampered = F.when(
+        remainder("doc_id", 5) == 0, merkle.leaf_digest(values | {"text": ascii_lower(F.col("text").cast("string"))})
+    )
+    proved = merkle.proofs(merkle.build_manifest(docs, carry={"tampered": tampered}))
+    folded = merkle.fold(F.coalesce("carried.tampered", "leaf"), F.col("path"))
+    return proved.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
+    scored = toxicity.score_documents(docs, toxicity.fit(sample))
+    return scored.select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
-QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op5_html_extraction, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules, op10_embedding_near_dedup)}
+QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op5_html_extraction, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules, op10_embedding_near_dedup, op12_merkle, op13_toxicity)}
