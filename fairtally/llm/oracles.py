@@ -129,4 +129,69 @@ def _merkle(levels: int = 6, top_levels: int = 4) -> str:
 
 OP12 = _merkle()
 
-ORACLES = {"op2_url_filters": OP2, "op4_warc": OP4, "op12_merkle": OP12}
+
+def _repair() -> str:
+    """All states of all conversations row by row: the least (cost, audit) by dynamic programming.
+
+    A state is a struct (c: cost, a: audit, t: repaired lines), null where it can't be reached.
+    """
+    fault = _crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')") + " % 20"
+    go = lambda s, c, e, line: (
+        f"CASE WHEN {s} IS NOT NULL THEN {{'c': {s}.c + {c}, 'a': {s}.a || '{e}', 't': {s}.t || {line}}} END"
+    )
+    gone = lambda s: go(s, 2, "D", "[]::VARCHAR[]")
+    extra = "CASE WHEN r.truncated THEN 5 ELSE 0 END"
+
+    def row(s: str, initial: str, role: str) -> str:
+        """Keep or rerole after state s."""
+        kept = f"CASE WHEN r.i = '{initial}' THEN {go(s, extra, 'K', "[r.role || ':' || r.text]")} END"
+        return f"CASE WHEN NOT r.gone THEN list_min([{kept}, {go(s, f'1 + {extra}', 'R', f"['{role}:' || r.text]")}]) END"
+
+    first = f"CASE WHEN NOT r.gone AND r.i = 's' THEN {go('f.z', extra, 'K', "[r.role || ':' || r.text]")} END"
+    step = {
+        "z": gone("f.z"),
+        "s": f"list_min([{gone('f.s')}, {first}])",
+        "u": f"list_min([{gone('f.u')}, {row('f.z', 'u', 'user')}, {row('f.s', 'u', 'user')}, {row('f.a', 'u', 'user')}])",
+        "a": f"list_min([{gone('f.a')}, {row('f.u', 'a', 'assistant')}])",
+    }
+    # One insertion after a row, then one more; a third would come back to where it was.
+    insert_u = lambda t: f"list_min([{t}.u, {go(f'{t}.z', 5, 'I', "['user:']")}, {go(f'{t}.s', 5, 'I', "['user:']")}, {go(f'{t}.a', 5, 'I', "['user:']")}])"
+    insert_a = lambda t: f"list_min([{t}.a, {go(f'{t}.u', 5, 'I', "['assistant:']")}])"
+    null = "CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]))"
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+raw AS MATERIALIZED (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {fault} AS v FROM conversations, crc),
+bad AS (SELECT conv_id, turn, CASE WHEN v = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN v = 1 THEN '' WHEN v = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN v = 3 THEN [1, 2] ELSE [1] END) AS copy FROM raw WHERE v <> 0),
+placed AS (SELECT *, left(role, 1) AS i,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(role || ':' || text), copy) AS k FROM bad),
+marked AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS again,
+    NOT regexp_matches(text, '(?s)[.!?][\x20\x09-\x0D]*$') AS cut,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY k) || i AS pair FROM placed),
+r AS MATERIALIZED (SELECT *, blank OR again AS gone, NOT blank AND NOT again AND cut AS truncated FROM marked),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+f AS (
+  SELECT conv_id, 0::BIGINT AS k, CAST({{'c': 0, 'a': '', 't': []}} AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])) AS z, {null} AS s,
+    CAST({{'c': 5, 'a': 'I', 't': ['user:']}} AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])) AS u,
+    CAST({{'c': 10, 'a': 'II', 't': ['user:', 'assistant:']}} AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])) AS a FROM facts
+  UNION ALL
+  SELECT conv_id, k, z, s, u, {insert_a("q")} AS a FROM (
+    SELECT conv_id, k, z, s, {insert_u("p")} AS u, a FROM (
+      SELECT f.conv_id, f.k + 1 AS k, {step["z"]} AS z, {step["s"]} AS s, {step["u"]} AS u, {step["a"]} AS a
+      FROM f JOIN r ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND r.k = f.k + 1) p) q),
+ends AS (SELECT f.conv_id, list_min([f.z, f.a]) AS best FROM f JOIN facts ON facts.conv_id IS NOT DISTINCT FROM f.conv_id AND f.k = facts.n),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+
+OP11 = _repair()
+
+ORACLES = {"op2_url_filters": OP2, "op4_warc": OP4, "op11_structure_repair": OP11, "op12_merkle": OP12}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.llm import extract, flatgraph, langid, lm, merkle, minhash, mixing, packing, quality, toxicity, urls, warc
+from fairtally.llm import extract, flatgraph, langid, lm, merkle, minhash, mixing, packing, quality, repair, toxicity, urls, warc
 from fairtally.llm.common import ascii_lower, remainder, table
 from fairtally.llm.oracles import ORACLES
 
@@ -76,6 +76,11 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatgraph.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repair_conversations(rows, present=F.col("present"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     values = {c: F.col(c) for c in merkle.COLUMNS}
@@ -105,4 +110,4 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["ORACLES", "QUERIES"]
 
-QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op5_html_extraction, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules, op10_embedding_near_dedup, op12_merkle, op13_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_mixing, op2_url_filters, op3_lm_scoring, op4_warc, op5_html_extraction, op6_best_fit_packing, op7_language_id, op8_minhash_near_dedup, op9_quality_rules, op10_embedding_near_dedup, op11_structure_repair, op12_merkle, op13_toxicity)}
