@@ -28,7 +28,8 @@ GRAM = 5
 MOST_LABELLED = 20_000
 #: Toxic documents that must have a 5-gram, those looked at at most, and those kept in the model at most.
 LEAST_TOXIC, MOST_CANDIDATES, MOST_FEATURES = 3, 65_536, 4_096
-LEAST_Z = 3.0
+#: A kept 5-gram is surely (deviations) and clearly (log odds) more frequent among toxic documents.
+LEAST_Z, LEAST_ODDS = 3.0, 1.0
 ROUNDS, RATE, RIDGE = 400, 0.1, 1e-3
 PIECE = 1 << 18
 SENTENCE_ENDS = ".!?\n"
@@ -144,8 +145,8 @@ def _bags(features: np.ndarray):
                 {
                     "toxic": batch.column("toxic"),
                     "n": pa.array([f[0] for f in found], pa.int64()),
-                    "sentence": pa.array([f[1] for f in found], pa.list_(pa.int64())),
-                    "feature": pa.array([f[2] for f in found], pa.list_(pa.int64())),
+                    "sentence": pa.array([f[1].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                    "feature": pa.array([f[2].astype(np.int32) for f in found], pa.list_(pa.int32())),
                 }
             )
 
@@ -172,7 +173,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, train: Column | Non
 
 
 def _select(sample: DataFrame) -> np.ndarray:
-    """5-grams that speak for toxic documents: log odds of their document shares above LEAST_Z deviations."""
+    """5-grams that speak for toxic documents, by the log odds of their document shares."""
     counted = sample.where("toxic").select("text").mapInArrow(_toxic_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
     often = counted.where(F.col("n") >= LEAST_TOXIC).orderBy(F.desc("n"), "gram").limit(MOST_CANDIDATES).collect()
     grams = np.array([r["gram"] for r in often], np.int64).view(np.uint64)
@@ -186,8 +187,9 @@ def _select(sample: DataFrame) -> np.ndarray:
     n_toxic = sample.where("toxic").count()
     odds = np.log((toxic + 0.5) / (n_toxic - toxic + 0.5)) - np.log((clean + 0.5) / (n_clean - clean + 0.5))
     z = odds / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-    best = np.lexsort((grams, -z))[:MOST_FEATURES]
-    return np.sort(grams[best[z[best] > LEAST_Z]])
+    best = np.lexsort((grams, -z))
+    best = best[(z[best] > LEAST_Z) & (odds[best] > LEAST_ODDS)]
+    return np.sort(grams[best[:MOST_FEATURES]])
 
 
 def fit_bags(toxic: np.ndarray, plain: np.ndarray, doc: np.ndarray, sentence: np.ndarray, feature: np.ndarray, n_features: int):
@@ -229,7 +231,7 @@ def fit(sample: DataFrame) -> ToxicityModel:
     apart: the model has no features and its leak is the smoothed share of toxic rows.
     """
     features = _select(sample)
-    rows = sample.mapInArrow(_bags(features), "toxic boolean, n bigint, sentence array<bigint>, feature array<bigint>").toArrow()
+    rows = sample.mapInArrow(_bags(features), "toxic boolean, n bigint, sentence array<int>, feature array<int>").toArrow()
     toxic = rows["toxic"].to_numpy().astype(bool)
     if not len(features) or toxic.all() or not toxic.any():
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), -60.0, float((toxic.sum() + 0.5) / (len(toxic) + 1)))
