@@ -99,12 +99,11 @@ def start_prefix_stream(
         if arrived.before(batch_id) >= threshold or batch.isEmpty():
             return
         session = batch.sparkSession
-        write_batch(item_frequencies(batch), freq_table, batch_id)
+        counted = write_batch(item_frequencies(batch), freq_table, batch_id)
         # Sketches are linear: build the cells from the counts, not from the items again.
-        counts = session.read.schema(FREQ_SCHEMA).parquet(f"{freq_table}/batch_id={batch_id}")
-        rows = sketch_cells(counts, hashes, weight="cnt")
-        write_batch(rows, cell_table, batch_id)
-        cells = session.read.schema(CELL_SCHEMA).parquet(f"{cell_table}/batch_id={batch_id}")
+        counts = session.read.schema(FREQ_SCHEMA).parquet(counted)
+        written = write_batch(sketch_cells(counts, hashes, weight="cnt"), cell_table, batch_id)
+        cells = session.read.schema(CELL_SCHEMA).parquet(written)
         arrived.add(batch_id, cells.where("r = 0").agg(F.sum("cm")).first()[0])
 
     query = (
@@ -118,7 +117,7 @@ def start_prefix_stream(
 
 def _accepted(spark: SparkSession, table: str, schema: str, out_dir: str, threshold: int) -> DataFrame:
     last = accepted_batches(batch_lengths(spark, out_dir), threshold).agg(F.max("batch_id").alias("last"))
-    # Accepted batches are a prefix: comparing the partition column prunes the folders.
+    # Accepted batches are a prefix of the batches: comparing their number prunes the folders.
     return read_batches(spark, table, schema).where(F.col("batch_id") <= last.scalar())
 
 

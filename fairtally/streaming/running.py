@@ -71,7 +71,7 @@ def read_frequencies(spark: SparkSession, table: str) -> DataFrame:
 
 
 def compact_frequencies(spark: SparkSession, table: str) -> int | None:
-    """Fold finished batches into a snapshot, see ``compact``; the stream may go on meanwhile."""
+    """Fold finished batches into one, see ``compact``; the stream and readers may go on meanwhile."""
     return compact(spark, table, FREQ_SCHEMA, *FREQ_COLUMNS)
 
 

@@ -62,7 +62,7 @@ def test_failure_between_the_two_writes(spark, tmp_path, monkeypatch):
         if table.endswith("cells") and not failed:
             failed.append(batch_id)
             raise RuntimeError("lost")
-        write(rows, table, batch_id)
+        return write(rows, table, batch_id)
 
     monkeypatch.setattr(prefix, "write_batch", failing)
     with pytest.raises(Exception, match="lost"):
@@ -132,46 +132,134 @@ def files_of(path):
     return [p for p in path.rglob("part-*") if ".crc" not in p.name]
 
 
+FREQ = "item bigint, cnt bigint"
+
+
+def put(spark, table, batch_id, rows):
+    return tables.write_batch(spark.createDataFrame(rows, FREQ), table, batch_id)
+
+
+def latest(spark, table):
+    return dict(map(tuple, running.read_frequencies(spark, table).collect()))
+
+
 def test_few_files_and_compaction(spark, tmp_path):
     table = f"{tmp_path}/t"
     for b in range(5):
-        rows = spark.createDataFrame([(i, 10 * b + i) for i in range(b, 60)], "item bigint, cnt bigint").repartition(40)
+        rows = spark.createDataFrame([(i, 10 * b + i) for i in range(b, 60)], FREQ).repartition(40)
         tables.write_batch(rows, table, b)
         assert len(files_of(tmp_path / f"t/batch_id={b}")) <= 2
-    before = sorted(map(tuple, running.read_frequencies(spark, table).collect()))
-    assert before == [(i, 10 * min(i, 4) + i) for i in range(60)]
+    before = latest(spark, table)
+    assert before == {i: 10 * min(i, 4) + i for i in range(60)}
     assert running.compact_frequencies(spark, table) == 3
-    assert sorted(p.name for p in (tmp_path / "t").glob("batch_id=*")) == ["batch_id=4"]
-    assert sorted(map(tuple, running.read_frequencies(spark, table).collect())) == before
+    assert sorted(tables.read_listing(spark, table).live) == [3, 4]
+    assert latest(spark, table) == before
+    assert len(tables.vacuum(spark, table, 0)) == 4
+    assert sorted(p.name for p in (tmp_path / "t").glob("batch_id=*")) == ["batch_id=3", "batch_id=4"]
     # The newest batch may run again, and more may follow.
-    tables.write_batch(spark.createDataFrame([(0, 999)], "item bigint, cnt bigint"), table, 4)
-    tables.write_batch(spark.createDataFrame([(1, 7)], "item bigint, cnt bigint"), table, 5)
-    after = dict(map(tuple, running.read_frequencies(spark, table).collect()))
+    put(spark, table, 4, [(0, 999)])
+    put(spark, table, 5, [(1, 7)])
+    after = latest(spark, table)
     assert (after[0], after[1], after[59]) == (999, 7, 89)
     assert running.compact_frequencies(spark, table) == 4
-    assert dict(map(tuple, running.read_frequencies(spark, table).collect())) == after
-    assert [p.name for p in (tmp_path / "t.snapshots").glob("through=*")] == ["through=4"]
+    assert latest(spark, table) == after
+    tables.vacuum(spark, table, 0)
+    assert latest(spark, table) == after and tables.vacuum(spark, table, 0) == []
 
 
-@pytest.mark.parametrize("step", ["write", "delete"])
-def test_compaction_that_fails_changes_nothing(spark, tmp_path, monkeypatch, step):
+@pytest.mark.parametrize("between", ["listing and batches", "plan and rows"])
+def test_reader_beside_the_first_compaction_gets_all_rows(spark, tmp_path, monkeypatch, between):
     table = f"{tmp_path}/t"
     for b in range(4):
-        tables.write_batch(spark.createDataFrame([(b, b), (9, b)], "item bigint, cnt bigint"), table, b)
-    before = sorted(map(tuple, running.read_frequencies(spark, table).collect()))
-    if step == "write":  # a snapshot that was not finished has no success mark
-        left = tmp_path / "t.snapshots/through=2"
-        left.mkdir(parents=True)
-        (left / "part-00000.parquet").write_bytes(b"half")
+        put(spark, table, b, [(b, 10 + b)])
+    want = {b: 10 + b for b in range(4)}
+    if between == "listing and batches":
+        listing = tables.read_listing
+
+        def slow(*args):
+            found = listing(*args)
+            monkeypatch.setattr(tables, "read_listing", listing)
+            assert running.compact_frequencies(spark, table) == 2
+            return found
+
+        monkeypatch.setattr(tables, "read_listing", slow)
+        reader = running.read_frequencies(spark, table)
     else:
-        with monkeypatch.context() as m:
-            m.setattr(tables, "_delete", lambda *_: (_ for _ in ()).throw(OSError("lost")))
-            with pytest.raises(OSError, match="lost"):
-                running.compact_frequencies(spark, table)
-    assert sorted(map(tuple, running.read_frequencies(spark, table).collect())) == before
+        reader = running.read_frequencies(spark, table)
+        assert running.compact_frequencies(spark, table) == 2
+    put(spark, table, 4, [(0, 99)])
+    assert dict(map(tuple, reader.collect())) == want
+    late = running.read_frequencies(spark, table)
+    assert dict(map(tuple, late.collect())) == want | {0: 99}
+    # Folders that went too early are an error, not fewer rows.
+    stale = running.read_frequencies(spark, table)
+    running.compact_frequencies(spark, table)
+    tables.vacuum(spark, table, 0)
+    with pytest.raises(Exception, match="(?i)not.?exist|not found"):
+        stale.collect()
+
+
+def test_rewrite_of_a_folded_batch_wins_over_the_fold(spark, tmp_path, monkeypatch):
+    table = f"{tmp_path}/t"
+    for b in range(4):
+        put(spark, table, b, [(b, b)])
+    write = tables._write
+
+    def slow(rows, where, batch_id):
+        folder = write(rows, where, batch_id)
+        monkeypatch.setattr(tables, "_write", write)
+        put(spark, table, 1, [(1, 50)])
+        return folder
+
+    monkeypatch.setattr(tables, "_write", slow)
+    assert running.compact_frequencies(spark, table) is None
+    assert latest(spark, table) == {0: 0, 1: 50, 2: 2, 3: 3}
     assert running.compact_frequencies(spark, table) == 2
-    assert sorted(map(tuple, running.read_frequencies(spark, table).collect())) == before
-    assert len(list((tmp_path / "t").glob("batch_id=*"))) == 1
+    assert latest(spark, table) == {0: 0, 1: 50, 2: 2, 3: 3}
+    assert len(tables.vacuum(spark, table, 0)) == 5  # three folded, one replaced, one never counted
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    """The slower one starts again from the version of the faster."""
+    table = f"{tmp_path}/t"
+    put(spark, table, 0, [(0, 0)])
+    files, beaten = tables._Files.put, []
+
+    def beat(self, name, text):
+        if not beaten:
+            beaten.append(name)
+            put(spark, table, 7, [(7, 7)])
+        files(self, name, text)
+
+    monkeypatch.setattr(tables._Files, "put", beat)
+    put(spark, table, 1, [(1, 1)])
+    assert latest(spark, table) == {0: 0, 1: 1, 7: 7}
+    assert tables.read_listing(spark, table).number == 2
+
+
+def test_write_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    table = f"{tmp_path}/t"
+    for b in range(4):
+        put(spark, table, b, [(b, b), (9, b)])
+    before, old = latest(spark, table), tables.read_listing(spark, table)
+    with monkeypatch.context() as m:
+        m.setattr(tables._Files, "put", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            running.compact_frequencies(spark, table)
+    assert latest(spark, table) == before and tables.read_listing(spark, table) == old
+    # A try that was not listed goes with the next vacuum, not before its delay.
+    assert tables.vacuum(spark, table) == [] and len(tables.vacuum(spark, table, 0)) == 1
+    assert running.compact_frequencies(spark, table) == 2
+    assert latest(spark, table) == before
+
+
+def test_old_lists_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "KEEP_LISTS", 3)
+    table = f"{tmp_path}/t"
+    for b in range(6):
+        put(spark, table, b, [(b, b)])
+    assert len([p for p in (tmp_path / "t/_lists").iterdir() if p.name.isdigit()]) == 3
+    assert latest(spark, table) == {b: b for b in range(6)}
 
 
 def test_arrived_counts_a_repeated_batch_once():
