@@ -8,16 +8,17 @@ most 2K rows of statistics.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.storagelevel import StorageLevel
 
 from fairtally.functions.centers import as_centers
 from fairtally.operators.groups import group_stats
-from fairtally.operators.kmeans import initial_centers
 from fairtally.operators.objectives import TWO_GROUPS, Centers
+from fairtally.operators.start import start_centers
+from fairtally.storage import held
 
 # The search starts at weight 1/2, its first move is 1/4, every further move
 # is half of the one before, and it looks at ten weights.
@@ -112,6 +113,7 @@ def fair_kmeans(
     features: str = "features",
     grp: str = "grp",
     cache: bool = True,
+    ids: Sequence[str] | None = None,
 ) -> np.ndarray:
     """Fair centers after exactly ``max_iter`` rounds.
 
@@ -121,18 +123,11 @@ def fair_kmeans(
     """
     if k < 1 or max_iter < 0:
         raise ValueError("k must be positive and max_iter not negative")
-    needed = points.select(features, grp)
-    held = cache and not points.is_cached
+    needed = points.select(*(ids or []), features, grp)
     if needed.limit(k).count() < k:
         warnings.warn(f"fewer points than k = {k}", stacklevel=2)
-    # Spark ML holds its own copy of the vectors during the start: ours comes after it.
-    centers = as_centers(init) if init is not None else initial_centers(needed, k, seed, features)
-    if held:
-        needed = needed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(needed, cache) as rows:
+        centers = as_centers(init) if init is not None else start_centers(rows, k, seed, features, ids)
         for _ in range(max_iter):
-            centers = fair_step(needed, centers, groups, features, grp).centers
+            centers = fair_step(rows, centers, groups, features, grp).centers
         return centers
-    finally:
-        if held:
-            needed.unpersist()

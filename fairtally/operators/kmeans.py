@@ -1,12 +1,10 @@
-"""Standard k-means through Spark ML."""
+"""Standard k-means: a k-means|| start and Lloyd rounds, one scan each."""
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -14,6 +12,8 @@ from pyspark.sql import functions as F
 
 from fairtally.functions.centers import as_centers
 from fairtally.operators.nearest import with_nearest
+from fairtally.operators.start import start_centers
+from fairtally.storage import held
 
 
 def lloyd_round(points: DataFrame, centers: np.ndarray, features: str = "features") -> np.ndarray:
@@ -35,41 +35,29 @@ def kmeans(
     features: str = "features",
     tol: float = 1e-4,
     init: Sequence[Sequence[float]] | np.ndarray | None = None,
+    ids: Sequence[str] | None = None,
+    cache: bool = True,
 ) -> np.ndarray:
     """Centers after at most ``max_iter`` Lloyd rounds from a k-means|| start, or from ``init``.
 
     There may be fewer than ``k`` centers when the points have few distinct values. Rounds end
-    early when no center moves by more than ``tol``.
+    early when no center moves by more than ``tol``. ``ids`` helps the start, see ``start_centers``.
+    ``cache`` keeps the needed columns in memory and on disk over the start and the rounds.
     """
     if k < 1 or max_iter < 0:
         raise ValueError("k must be positive and max_iter not negative")
-    vectors = points.select(array_to_vector(F.col(features).cast("array<double>")).alias("vec"))
-    if init is not None:
-        centers = as_centers(init)
+    needed = points.select(*(ids or []), features)
+    with held(needed, cache and not (init is not None and max_iter < 2)) as rows:
+        centers = as_centers(init) if init is not None else start_centers(rows, k, seed, features, ids)
         for _ in range(max_iter):
-            before, centers = centers, lloyd_round(points, centers, features)
+            before, centers = centers, lloyd_round(rows, centers, features)
             if (((centers - before) ** 2).sum(axis=1) <= tol**2).all():
                 break
         return centers
-    if k == 1 and max_iter == 0:
-        # The point with the smallest seeded hash; equal points are one.
-        first = points.select(F.col(features).cast("array<double>").alias("x")).agg(
-            F.min(F.struct(F.xxhash64("x", F.lit(seed)).alias("h"), "x")).alias("m")
-        )
-        return np.array([first.first()["m"]["x"]])
-    if k == 1:
-        # Spark ML asks for two clusters at least; the optimum of one is the mean.
-        mean = vectors.agg(Summarizer.mean(F.col("vec")).alias("m")).first()["m"]
-        return np.array([mean.toArray()])
-    model = KMeans(
-        k=k, maxIter=max_iter, seed=seed, tol=tol, initMode="k-means||", featuresCol="vec"
-    ).fit(vectors)
-    centers = np.array(model.clusterCenters(), dtype=np.float64)
-    if len(centers) < k:
-        warnings.warn(f"only {len(centers)} of {k} centers found", stacklevel=2)
-    return centers
 
 
-def initial_centers(points: DataFrame, k: int, seed: int = 1, features: str = "features") -> np.ndarray:
+def initial_centers(
+    points: DataFrame, k: int, seed: int = 1, features: str = "features", ids: Sequence[str] | None = None
+) -> np.ndarray:
     """k-means|| start centers without any Lloyd round."""
-    return kmeans(points, k, 0, seed, features)
+    return kmeans(points, k, 0, seed, features, ids=ids)

@@ -17,6 +17,8 @@ EVEN_HASHES = HashFamily(
 TOP_K = 5
 STREAM_CHUNKS = 4
 VECTOR_CENTERS = 4
+LINE_KEYS = ("l_orderkey", "l_linenumber")
+START_SEED, START_PICKS = 1, 40
 # Line numbers of lineitem.
 SEPARATE_GROUPS = 7
 SYNTH_SEED = 42
@@ -35,9 +37,10 @@ def line_points(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     )
 
 
-def separate_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def separate_points(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     """lineitem: line numbers far apart, so the best clusters are known: the rows of each line number."""
     return table(spark, sf_dir, "lineitem").select(
+        *keys,
         F.array(F.col("l_linenumber") * 1000 + F.col("l_quantity"), F.col("l_extendedprice") / 1000).alias("features"),
         F.when(F.col("l_linestatus") == "F", "A").otherwise("B").alias("grp"),
     )

@@ -12,6 +12,8 @@ from fairtally.plans.inputs import (
     EVEN_HASHES,
     GRID,
     HASHES,
+    START_PICKS,
+    START_SEED,
     STREAM_CHUNKS,
     SYNTH_SEED,
     TOP_K,
@@ -187,6 +189,10 @@ REPORT = f"""SELECT (SELECT CAST(sum(cnt) AS BIGINT) FROM freq) AS n, (SELECT co
 
 CELLS = _sketch(HASHES, ALL_ITEMS)
 
+RUNNING = """WITH r AS (SELECT event_id, user_id, row_number() OVER w - 1 AS place,
+  CAST(sum(user_id) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running
+  FROM events WINDOW w AS (ORDER BY ts NULLS FIRST, event_id NULLS FIRST))"""
+
 
 # --- words --------------------------------------------------------------------------------
 
@@ -259,6 +265,10 @@ SELECT CAST(0 AS INTEGER) AS line_no, printf('N = %d, NA = %d, NB = %d', count(*
 UNION ALL SELECT 1, printf('Delta(U,C) = %.6f', avg(dist)) FROM n0
 UNION ALL SELECT 2, printf('Phi(A,B,C) = %.6f', {_phi('n0')})
 UNION ALL SELECT i + 3, printf('i = %d, center = (%.6f,%.6f), NA%d = %d, NB%d = %d', i, cx, cy, i, na, i, nb) FROM s""",
+    "cl_start_picks": f"""WITH {POINTS}, keyed AS (
+  SELECT l_orderkey || '|' || l_linenumber AS key, x, y, (x - {CENTERS[0][0]!r}) ** 2 + (y - {CENTERS[0][1]!r}) ** 2 AS dist FROM p),
+lucky AS (SELECT *, CAST('0x' || left(md5(key || ':{START_SEED}:1'), 13) AS BIGINT) / 4503599627370496.0 AS luck FROM keyed WHERE dist > 0)
+SELECT key, x, y FROM lucky ORDER BY luck / dist, key LIMIT {START_PICKS}""",
     "cl_init": "SELECT count(DISTINCT l_linenumber) AS n_centers, count(DISTINCT l_linenumber) AS n_groups FROM lineitem",
     "cl_kmeans": f"""{SEPARATE} SELECT CAST(cluster_id AS INTEGER) AS cluster_id, round(any_value(cx), 6) AS cx, round(any_value(cy), 6) AS cy,
   count(*) FILTER (g = 'A') AS na, count(*) FILTER (g = 'B') AS nb FROM p JOIN u USING (cluster_id) GROUP BY cluster_id""",
@@ -303,6 +313,11 @@ UNION ALL SELECT 5, printf('Item %d True Frequency = %d Estimated Frequency with
     "st_sketch": f"{CELLS} SELECT r, c, cm, cs FROM cell",
     "st_threshold_prefix": f"SELECT item, CAST(cnt AS BIGINT) AS cnt FROM ({ARRIVING})",
     "st_report": f"{_sketch(HASHES, ARRIVING)} {REPORT}",
+    "st_replay": ALL_ITEMS,
+    "st_compacted": ALL_ITEMS,
+    "wn_running": f"{RUNNING} SELECT event_id, place, running FROM r",
+    "wn_prefix": f"""{RUNNING} SELECT event_id, place, running FROM r
+WHERE running - coalesce(user_id, 0) < greatest(1, (SELECT coalesce(sum(user_id), 0) FROM events) // 2)""",
     "wc_num_docs": "SELECT count(*) AS n_docs FROM documents",
     "wc_counts": COUNTED,
     "wc_salted": COUNTED,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairtally.functions.centers import centers_frame
-from fairtally.operators import fair, frequency, groups, objectives, reports, sketch, words
+from fairtally.functions.centers import as_centers, centers_frame
+from fairtally.operators import fair, frequency, groups, objectives, ordering, reports, sketch, start, words
 from fairtally.operators.kmeans import initial_centers, kmeans
 from fairtally.operators.nearest import with_nearest
 from fairtally.plans.inputs import (
@@ -14,7 +14,10 @@ from fairtally.plans.inputs import (
     EVEN_HASHES,
     GRID,
     HASHES,
+    LINE_KEYS,
     SEPARATE_GROUPS,
+    START_PICKS,
+    START_SEED,
     STREAM_CHUNKS,
     SYNTH_SEED,
     TOP_K,
@@ -27,11 +30,12 @@ from fairtally.plans.inputs import (
     vector_centers,
     vector_points,
 )
+from fairtally.sources.item_table import table_items
 from fairtally.sources.items import parse_items
 from fairtally.sources.points import parse_points, read_points, write_points
 from fairtally.sources.synthetic import synth_points
-from fairtally.storage import scratch_dir
-from fairtally.streaming import prefix, running
+from fairtally.storage import held, scratch_dir
+from fairtally.streaming import prefix, running, tables
 
 
 def _x(column: str = "features") -> Column:
@@ -149,27 +153,37 @@ def cl_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- k-means ------------------------------------------------------------------------------
 
 
+def cl_start_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points that one round of the start picks, given a center."""
+    points = line_points(spark, sf_dir, *LINE_KEYS)
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in LINE_KEYS])
+    keyed = points.select(key.alias("key"), F.col("features").alias("x"), F.lit(1).cast("bigint").alias("w"))
+    picked = start.cost_picks(keyed, as_centers(CENTERS[:1]), START_PICKS, START_SEED, 1)
+    return picked.select("key", _x("x").alias("x"), _y("x").alias("y"))
+
+
 def cl_init(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start centers of a random method: one in each of the separate groups."""
-    start = centers_frame(spark, initial_centers(separate_points(spark, sf_dir), SEPARATE_GROUPS, seed=1))
+    points = separate_points(spark, sf_dir, *LINE_KEYS)
+    found = centers_frame(spark, initial_centers(points, SEPARATE_GROUPS, seed=START_SEED, ids=LINE_KEYS))
     group = F.floor((_x("center") + 500) / 1000)
-    return start.agg(F.count(F.lit(1)).alias("n_centers"), F.count_distinct(group).alias("n_groups"))
+    return found.agg(F.count(F.lit(1)).alias("n_centers"), F.count_distinct(group).alias("n_groups"))
 
 
 def cl_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centers of separate groups, in order, with their sizes: any start leads to the group means."""
-    points = separate_points(spark, sf_dir)
-    centers = kmeans(points, SEPARATE_GROUPS, 10, seed=1)
+    points = separate_points(spark, sf_dir, *LINE_KEYS)
+    centers = kmeans(points, SEPARATE_GROUPS, 10, seed=START_SEED, ids=LINE_KEYS)
     ordered = centers[centers[:, 0].argsort()]
     return _center_rows(spark, ordered).join(objectives.cluster_group_sizes(points, ordered), "cluster_id")
 
 
 def cl_kmeans_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lloyd rounds never make the start worse, and end at the best cost."""
-    points = separate_points(spark, sf_dir)
-    start = initial_centers(points, SEPARATE_GROUPS, seed=1)
+    points = separate_points(spark, sf_dir, *LINE_KEYS)
+    first = initial_centers(points, SEPARATE_GROUPS, seed=START_SEED, ids=LINE_KEYS)
     row = objectives.compare_centers(
-        points.withColumn("grp", F.lit("all")), start, kmeans(points, SEPARATE_GROUPS, 10, init=start), groups=("all",)
+        points.withColumn("grp", F.lit("all")), first, kmeans(points, SEPARATE_GROUPS, 10, init=first), groups=("all",)
     )
     return row.select(
         F.round("phi_fair", 6).alias("cost"), (F.col("phi_fair") <= F.col("phi_standard") * (1 + 1e-9)).alias("not_worse")
@@ -178,12 +192,13 @@ def cl_kmeans_gain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cl_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standard and fair centers of separate groups, from one random start."""
-    points = separate_points(spark, sf_dir)
-    start = initial_centers(points, SEPARATE_GROUPS, seed=1)
-    standard = kmeans(points, SEPARATE_GROUPS, 5, init=start)
-    fair_centers = fair.fair_kmeans(points, SEPARATE_GROUPS, 5, init=start, cache=False)
-    row = objectives.compare_centers(points, standard, fair_centers)
-    return row.select(F.round("phi_standard", 6).alias("phi_standard"), F.round("phi_fair", 6).alias("phi_fair"))
+    with held(separate_points(spark, sf_dir, *LINE_KEYS)) as points:
+        first = initial_centers(points, SEPARATE_GROUPS, seed=START_SEED, ids=LINE_KEYS)
+        standard = kmeans(points, SEPARATE_GROUPS, 5, init=first)
+        fair_centers = fair.fair_kmeans(points, SEPARATE_GROUPS, 5, init=first)
+        row = objectives.compare_centers(points, standard, fair_centers)
+        rounded = row.select(F.round("phi_standard", 6).alias("phi_standard"), F.round("phi_fair", 6).alias("phi_fair"))
+        return spark.createDataFrame(rounded.collect(), rounded.schema)  # one row
 
 
 def cl_compare_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,6 +423,58 @@ def st_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_report(prefix.prefix_report(spark, out, threshold, HASHES, TOP_K))
 
 
+def st_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events through the replayable source: every run goes on where the checkpoint of the last one stands."""
+    n = table(spark, sf_dir, "events").count()
+    work = scratch_dir(spark, "replay")
+    for _ in range(STREAM_CHUNKS):
+        items = table_items(
+            spark, f"{sf_dir}/events.parquet", f"{work}/checkpoint", "user_id", max(1, -(-n // STREAM_CHUNKS)), max(1, n // 16)
+        )
+        running.start_frequencies(items, f"{work}/table", f"{work}/checkpoint", availableNow=True).awaitTermination()
+    return running.read_frequencies(spark, f"{work}/table")
+
+
+def st_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts whose finished batches are folded while the stream goes on, folded folders removed."""
+    work = scratch_dir(spark, "compacted")
+    items = _event_stream(spark, sf_dir, work)
+    query = running.start_frequencies(items, f"{work}/table", f"{work}/checkpoint", processingTime="0 seconds")
+    try:
+        while query.isActive and len(query.recentProgress) < STREAM_CHUNKS // 2 and not query.awaitTermination(0.2):
+            pass
+        running.compact_frequencies(spark, f"{work}/table")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    running.compact_frequencies(spark, f"{work}/table")
+    tables.vacuum(spark, f"{work}/table", 0)
+    return running.read_frequencies(spark, f"{work}/table")
+
+
+# --- ordered tables -----------------------------------------------------------------------
+
+
+def _ordered_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[Column]]:
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    return events, [F.asc_nulls_first("ts"), F.asc_nulls_first("event_id")]
+
+
+def wn_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position, and the running sum of user ids, of all events by time."""
+    events, order = _ordered_events(spark, sf_dir)
+    found = ordering.running_sums(events, {"running": F.col("user_id")}, *order, blocks=16)
+    return found.select("event_id", "place", "running")
+
+
+def wn_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events by time until their user ids add up to half of all."""
+    events, order = _ordered_events(spark, sf_dir)
+    half = (events.agg(F.sum("user_id")).first()[0] or 0) // 2
+    found = ordering.prefix_reaching(events, F.col("user_id"), max(1, half), *order, blocks=16)
+    return found.select("event_id", "place", "running")
+
+
 # --- words --------------------------------------------------------------------------------
 
 
@@ -479,6 +546,7 @@ QUERIES = {
         cl_report,
         cl_report_totals,
         cl_report_text,
+        cl_start_picks,
         cl_init,
         cl_kmeans,
         cl_kmeans_gain,
@@ -510,6 +578,10 @@ QUERIES = {
         st_sketch,
         st_threshold_prefix,
         st_report,
+        st_replay,
+        st_compacted,
+        wn_running,
+        wn_prefix,
         wc_num_docs,
         wc_counts,
         wc_salted,

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -27,3 +30,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def held(df: DataFrame, cache: bool = True) -> Iterator[DataFrame]:
+    """The rows kept in memory and on disk inside the block, for jobs that read them again and again.
+
+    Rows in fewer partitions than there are cores, as of one file of one row group, are spread first.
+    Frames that the caller keeps already are left as they are; lost blocks are computed again.
+    """
+    if not cache or df.is_cached:
+        yield df
+        return
+    kept = [df.persist(StorageLevel.MEMORY_AND_DISK)]
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        df.count()
+        if df.rdd.getNumPartitions() < cores:
+            kept.append(df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
+            kept[1].count()
+            kept[0].unpersist()
+        yield kept[-1]
+    finally:
+        kept[-1].unpersist()
