@@ -42,14 +42,12 @@ def held(df: DataFrame, cache: bool = True) -> Iterator[DataFrame]:
     if not cache or df.is_cached:
         yield df
         return
-    kept = [df.persist(StorageLevel.MEMORY_AND_DISK)]
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:  # nothing has been read yet
+        rows.unpersist()
+        rows = df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        df.count()
-        if df.rdd.getNumPartitions() < cores:
-            kept.append(df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
-            kept[1].count()
-            kept[0].unpersist()
-        yield kept[-1]
+        yield rows
     finally:
-        kept[-1].unpersist()
+        rows.unpersist()
