@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from fairtally.functions.centers import as_centers
 from fairtally.operators.groups import group_stats
 from fairtally.operators.objectives import TWO_GROUPS, Centers
+from fairtally.operators.rounds import Round, RoundLog, exact_numbers
 from fairtally.operators.start import start_centers
 from fairtally.storage import held
 
@@ -114,20 +115,40 @@ def fair_kmeans(
     grp: str = "grp",
     cache: bool = True,
     ids: Sequence[str] | None = None,
+    log: str | None = None,
 ) -> np.ndarray:
     """Fair centers after exactly ``max_iter`` rounds.
 
     ``init`` gives the start centers and makes the result deterministic; otherwise a seeded
     k-means|| start is used. ``cache`` keeps the two needed columns in memory and on disk
     over the rounds; switch it off for columnar tables that are cheaper to scan again.
+
+    ``log`` names a folder where every round is written. A run that finds rounds of the same job
+    there goes on after the last of them, from the very centers; another job's log is refused.
     """
     if k < 1 or max_iter < 0:
         raise ValueError("k must be positive and max_iter not negative")
     needed = points.select(*(ids or []), features, grp)
     if needed.limit(k).count() < k:
         warnings.warn(f"fewer points than k = {k}", stacklevel=2)
+    given = None if init is None else as_centers(init)
+    rounds = None
+    if log:
+        job = {"k": k, "seed": seed, "groups": list(groups), "features": features, "grp": grp, "init": exact_numbers(given)}
+        rounds = RoundLog(points.sparkSession, log, job)
+    done = rounds.last(max_iter) if rounds else None
+    if done and done.number == max_iter:
+        return done.centers
     with held(needed, cache) as rows:
-        centers = as_centers(init) if init is not None else start_centers(rows, k, seed, features, ids)
-        for _ in range(max_iter):
-            centers = fair_step(rows, centers, groups, features, grp).centers
+        if done:
+            turn, centers = done.number, done.centers
+        else:
+            turn, centers = 0, given if given is not None else start_centers(rows, k, seed, features, ids)
+            if rounds:
+                rounds.append(Round(0, centers))
+        while turn < max_iter:
+            step = fair_step(rows, centers, groups, features, grp)
+            turn, centers = turn + 1, step.centers
+            if rounds:
+                rounds.append(Round(turn, centers, {"gamma": step.gamma, "f_a": step.f_a, "f_b": step.f_b}))
         return centers

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
@@ -51,3 +52,60 @@ def held(df: DataFrame, cache: bool = True) -> Iterator[DataFrame]:
         yield rows
     finally:
         rows.unpersist()
+
+
+class ChangedMeanwhile(RuntimeError):
+    """A file of this name was put in place first."""
+
+
+class Files:
+    """The Hadoop file system of a folder: what Spark itself writes to."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.gateway = spark.sparkContext._gateway
+        self.root = self.path(folder)
+        self.fs = self.root.getFileSystem(self.conf)
+
+    def path(self, *parts: str):
+        return self.jvm.org.apache.hadoop.fs.Path(*parts)
+
+    def names(self, *below: str) -> list[str]:
+        folder = self.path(self.root, "/".join(below)) if below else self.root
+        return [s.getPath().getName() for s in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self.path(self.root, name))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def put(self, name: str, text: str) -> None:
+        """A file that appears as a whole, or not at all if one of that name is there."""
+        target = self.path(self.root, name)
+        draft = self.path(target.getParent(), f".{uuid.uuid4().hex}")
+        stream = self.fs.create(draft, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.root.toUri(), self.conf)
+        never = self.jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        options = self.gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = never
+        try:
+            context.rename(draft, target, options)
+        except Py4JJavaError as error:
+            self.fs.delete(draft, False)
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                raise ChangedMeanwhile(name) from error
+            raise
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.path(self.root, name), True)
+
+    def newest(self, name: str) -> float:
+        """Time in seconds of the last change of a folder or a file in it."""
+        status = [self.fs.getFileStatus(self.path(self.root, name)), *self.fs.listStatus(self.path(self.root, name))]
+        return max(s.getModificationTime() for s in status) / 1000

@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from fairtally.functions.hashing import HashFamily
 from fairtally.operators.frequency import item_frequencies
+from fairtally.operators.registers import BITS, item_registers
 from fairtally.operators.sketch import Sketch, sketch_cells
 from fairtally.streaming.tables import DEFAULT_TRIGGER, compact, read_latest, write_batch
 
@@ -18,6 +19,8 @@ FREQ_SCHEMA = "item bigint, cnt bigint"
 CELL_SCHEMA = "r int, c int, cm bigint, cs bigint"
 FREQ_COLUMNS = (["item"], ["cnt"])
 CELL_COLUMNS = (["r", "c"], ["cm", "cs"])
+REGISTER_SCHEMA = "register int, rank int"
+REGISTER_COLUMNS = (["register"], ["rank"])
 
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -87,3 +90,17 @@ def read_sketch(spark: SparkSession, table: str, hashes: HashFamily) -> Sketch:
 
 def compact_sketch(spark: SparkSession, table: str) -> int | None:
     return compact(spark, table, CELL_SCHEMA, *CELL_COLUMNS)
+
+
+def start_registers(items: DataFrame, table: str, checkpoint: str, bits: int = BITS, **trigger) -> StreamingQuery:
+    """Keep the distinct-count registers of a stream; the state never exceeds 2 ** bits rows."""
+    with state_on_disk(items.sparkSession):
+        return _start(item_registers(items, bits), table, checkpoint, trigger or DEFAULT_TRIGGER)
+
+
+def read_registers(spark: SparkSession, table: str) -> DataFrame:
+    return read_latest(spark, table, REGISTER_SCHEMA, *REGISTER_COLUMNS)
+
+
+def compact_registers(spark: SparkSession, table: str) -> int | None:
+    return compact(spark, table, REGISTER_SCHEMA, *REGISTER_COLUMNS)

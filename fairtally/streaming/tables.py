@@ -20,6 +20,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fairtally.storage import ChangedMeanwhile, Files
+
 # Micro-batches of a running stream, unless the caller asks for others.
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
@@ -30,10 +32,6 @@ KEEP_SECONDS = 3600
 _changing = threading.RLock()
 
 
-class ChangedMeanwhile(RuntimeError):
-    """Another writer put this version in place first."""
-
-
 @dataclass(frozen=True)
 class Listing:
     """Version ``number`` of a table: live folder per batch, and replaced folders with the time they were replaced."""
@@ -52,65 +50,13 @@ class Listing:
         return Listing(self.number + 1, live, self.retired | {f: now for f in gone.values()})
 
 
-class _Files:
-    """The Hadoop file system of a folder: what Spark itself writes to."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        self.gateway = spark.sparkContext._gateway
-        self.root = self.path(folder)
-        self.fs = self.root.getFileSystem(self.conf)
-
-    def path(self, *parts: str):
-        return self.jvm.org.apache.hadoop.fs.Path(*parts)
-
-    def names(self, *below: str) -> list[str]:
-        folder = self.path(self.root, "/".join(below)) if below else self.root
-        return [s.getPath().getName() for s in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
-
-    def read(self, name: str) -> str:
-        stream = self.fs.open(self.path(self.root, name))
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def put(self, name: str, text: str) -> None:
-        """A file that appears as a whole, or not at all if one of that name is there."""
-        draft = self.path(self.root, f"{LISTS}/.{uuid.uuid4().hex}")
-        stream = self.fs.create(draft, False)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.root.toUri(), self.conf)
-        never = self.jvm.org.apache.hadoop.fs.Options.Rename.NONE
-        options = self.gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = never
-        try:
-            context.rename(draft, self.path(self.root, name), options)
-        except Py4JJavaError as error:
-            self.fs.delete(draft, False)
-            if "FileAlreadyExists" in error.java_exception.getClass().getName():
-                raise ChangedMeanwhile(name) from error
-            raise
-
-    def delete(self, name: str) -> None:
-        self.fs.delete(self.path(self.root, name), True)
-
-    def newest(self, name: str) -> float:
-        """Time in seconds of the last change of a folder or a file in it."""
-        status = [self.fs.getFileStatus(self.path(self.root, name)), *self.fs.listStatus(self.path(self.root, name))]
-        return max(s.getModificationTime() for s in status) / 1000
-
-
-def _versions(files: _Files) -> list[int]:
+def _versions(files: Files) -> list[int]:
     return sorted(int(n) for n in files.names(LISTS) if n.isdigit())
 
 
 def read_listing(spark: SparkSession, table: str) -> Listing:
     """The newest version; an empty one before the first write."""
-    files = _Files(spark, table)
+    files = Files(spark, table)
     while numbers := _versions(files):
         try:
             known = json.loads(files.read(f"{LISTS}/{numbers[-1]:012d}"))
@@ -124,7 +70,7 @@ def read_listing(spark: SparkSession, table: str) -> Listing:
 
 def _change(spark: SparkSession, table: str, change: Callable[[Listing], Listing | None]) -> Listing:
     """Puts the next version in place, again from the newest one when another writer was faster."""
-    files = _Files(spark, table)
+    files = Files(spark, table)
     with _changing:
         while True:
             before = read_listing(spark, table)
@@ -206,7 +152,7 @@ def vacuum(spark: SparkSession, table: str, keep_seconds: float = KEEP_SECONDS)
 
     The delay must be longer than any reader takes, and than a batch takes to be written.
     """
-    files, now = _Files(spark, table), time.time()
+    files, now = Files(spark, table), time.time()
     listing = read_listing(spark, table)
     old = {f for f, since in listing.retired.items() if now - since >= keep_seconds}
     known = {*listing.live.values(), *listing.retired}

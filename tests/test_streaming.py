@@ -223,7 +223,7 @@ def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
     """The slower one starts again from the version of the faster."""
     table = f"{tmp_path}/t"
     put(spark, table, 0, [(0, 0)])
-    files, beaten = tables._Files.put, []
+    files, beaten = tables.Files.put, []
 
     def beat(self, name, text):
         if not beaten:
@@ -231,7 +231,7 @@ def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
             put(spark, table, 7, [(7, 7)])
         files(self, name, text)
 
-    monkeypatch.setattr(tables._Files, "put", beat)
+    monkeypatch.setattr(tables.Files, "put", beat)
     put(spark, table, 1, [(1, 1)])
     assert latest(spark, table) == {0: 0, 1: 1, 7: 7}
     assert tables.read_listing(spark, table).number == 2
@@ -243,7 +243,7 @@ def test_write_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
         put(spark, table, b, [(b, b), (9, b)])
     before, old = latest(spark, table), tables.read_listing(spark, table)
     with monkeypatch.context() as m:
-        m.setattr(tables._Files, "put", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(tables.Files, "put", lambda *_: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError, match="lost"):
             running.compact_frequencies(spark, table)
     assert latest(spark, table) == before and tables.read_listing(spark, table) == old
