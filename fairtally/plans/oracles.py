@@ -107,6 +107,20 @@ def _phi(near: str) -> str:
     return f"(SELECT max(d) FROM (SELECT avg(dist) AS d FROM {near} GROUP BY g))"
 
 
+def _means(r: int) -> str:
+    """Centers after a plain Lloyd round: the means of the assigned points; centers without points stay."""
+    return f"""c{r + 1} AS MATERIALIZED (SELECT c.cluster_id, coalesce(m.x, c.cx) AS cx, coalesce(m.y, c.cy) AS cy
+  FROM c{r} c LEFT JOIN (SELECT cluster_id, avg(x) AS x, avg(y) AS y FROM n{r} GROUP BY cluster_id) m USING (cluster_id))"""
+
+
+def _registers(items: str, before: str = "WITH") -> str:
+    """The highest rank per register: 12 bits of the hash name it, 40 give the rank."""
+    start = before if before == "WITH" else f"{before},"
+    return f"""{start} hashed AS (SELECT CAST('0x' || left(md5(CAST(item AS VARCHAR)), 13) AS BIGINT) AS h FROM ({items}) WHERE item IS NOT NULL),
+g AS (SELECT CAST(h >> 40 AS INTEGER) AS register,
+  CAST(max(41 - CASE WHEN h % 1099511627776 = 0 THEN 0 ELSE length(bin(h % 1099511627776)) END) AS INTEGER) AS rank FROM hashed GROUP BY 1)"""
+
+
 # Separate groups: the nearest center of a row is that of its line number.
 SEPARATE = """WITH p AS MATERIALIZED (
   SELECT 1000 * l_linenumber + l_quantity AS x, l_extendedprice / 1000 AS y, l_linenumber - 1 AS cluster_id,
@@ -265,6 +279,19 @@ SELECT CAST(0 AS INTEGER) AS line_no, printf('N = %d, NA = %d, NB = %d', count(*
 UNION ALL SELECT 1, printf('Delta(U,C) = %.6f', avg(dist)) FROM n0
 UNION ALL SELECT 2, printf('Phi(A,B,C) = %.6f', {_phi('n0')})
 UNION ALL SELECT i + 3, printf('i = %d, center = (%.6f,%.6f), NA%d = %d, NB%d = %d', i, cx, cy, i, na, i, nb) FROM s""",
+    "cl_assign_table": f"""WITH {POINTS}, sup AS MATERIALIZED (SELECT s_suppkey AS cluster_id, CAST(s_suppkey * 7 % 51 AS DOUBLE) AS cx,
+  (s_acctbal + 1000) / 100 AS cy FROM supplier), {_assigned('n0', 'sup')} SELECT l_orderkey, l_linenumber, cluster_id FROM n0""",
+    "cl_bounded": f"""{GRIDDED}, {_means(0)}, {_assigned('n1', 'c1')}, {_means(1)}, {_assigned('n2', 'c2')}
+SELECT cluster_id, round(any_value(cx), 6) AS cx, round(any_value(cy), 6) AS cy, count(*) AS n FROM n2 JOIN c2 USING (cluster_id) GROUP BY cluster_id""",
+    "pt_rejected": """WITH r AS (SELECT CASE l_linenumber WHEN 6 THEN 'not a number' WHEN 7 THEN 'wrong number of fields' ELSE 'good' END AS reason FROM lineitem)
+SELECT reason, count(*) AS n FROM r GROUP BY reason UNION ALL SELECT 'read', count(*) FROM r""",
+    "fl_resumed": f"{_lloyd(ROUNDS)} SELECT cluster_id, round(cx, 6) AS cx, round(cy, 6) AS cy FROM c{ROUNDS}",
+    "sk_registers": f"{_registers('SELECT user_id AS item FROM events')} SELECT register, rank FROM g",
+    "st_registers": f"{_registers('SELECT user_id AS item FROM events')} SELECT register, rank FROM g",
+    "sk_distinct_approx": f"""{_registers('SELECT word AS item FROM t', TOKENS)},
+s AS (SELECT count(*) AS used, sum(2.0 ** -rank) AS mass FROM g),
+e AS (SELECT 4096 - used AS empty, 0.7213 / (1 + 1.079 / 4096.0) * 4096.0 * 4096.0 / (mass + 4096 - used) AS mean FROM s)
+SELECT round(CASE WHEN mean <= 2.5 * 4096 AND empty > 0 THEN 4096 * ln(4096.0 / empty) ELSE mean END, 4) AS n_distinct FROM e""",
     "cl_start_picks": f"""WITH {POINTS}, keyed AS (
   SELECT l_orderkey || '|' || l_linenumber AS key, x, y, (x - {CENTERS[0][0]!r}) ** 2 + (y - {CENTERS[0][1]!r}) ** 2 AS dist FROM p),
 lucky AS (SELECT *, CAST('0x' || left(md5(key || ':{START_SEED}:1'), 13) AS BIGINT) / 4503599627370496.0 AS luck FROM keyed WHERE dist > 0)

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairtally.functions.centers import as_centers, centers_frame
-from fairtally.operators import fair, frequency, groups, objectives, ordering, reports, sketch, start, words
+from fairtally.operators import fair, frequency, groups, objectives, ordering, registers, reports, sketch, start, words
+from fairtally.operators.bounds import bounded_kmeans
+from fairtally.operators.center_table import nearest_in_table
 from fairtally.operators.kmeans import initial_centers, kmeans
 from fairtally.operators.nearest import with_nearest
 from fairtally.plans.inputs import (
@@ -30,9 +32,10 @@ from fairtally.plans.inputs import (
     vector_centers,
     vector_points,
 )
+from fairtally.sources.checked import read_points_checked
 from fairtally.sources.item_table import table_items
 from fairtally.sources.items import parse_items
-from fairtally.sources.points import parse_points, read_points, write_points
+from fairtally.sources.points import format_points, parse_points, read_points, write_points
 from fairtally.sources.synthetic import synth_points
 from fairtally.storage import held, scratch_dir
 from fairtally.streaming import prefix, running, tables
@@ -94,6 +97,23 @@ def pt_text_roundtrip_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pt_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of points of which two in seven are bad, one way or another: how many of each kind were read."""
+    path = scratch_dir(spark, "mixed-lines")
+    lines = format_points(line_points(spark, sf_dir, "l_linenumber"), keep=["l_linenumber"])
+    spoiled = (
+        F.when(F.col("l_linenumber") == 6, F.concat(F.lit("?"), "value"))
+        .when(F.col("l_linenumber") == 7, F.concat("value", F.lit(",C")))
+        .otherwise(F.col("value"))
+    )
+    lines.select(spoiled.alias("value")).write.text(path)
+    found = read_points_checked(spark, path, dim=2)
+    kinds = found.rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    good = found.good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("reason"), "n")
+    read = spark.range(1).select(F.lit("read").alias("reason"), F.lit(found.n_read).cast("bigint").alias("n"))
+    return kinds.unionByName(good).unionByName(read)
+
+
 def pt_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objectives.group_counts(order_points(spark, sf_dir))
 
@@ -119,6 +139,21 @@ def cl_assign_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_nearest(vector_points(spark, sf_dir), vector_centers(spark, sf_dir)).select("vec_id", "cluster_id")
 
 
+def cl_assign_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suppliers as centers, read by the tasks block by block."""
+    place = F.array(F.col("s_suppkey") * 7 % 51, (F.col("s_acctbal") + 1000) / 100).cast("array<double>")
+    centers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("cluster_id"), place.alias("center"))
+    found = nearest_in_table(line_points(spark, sf_dir, *LINE_KEYS), centers, 2, block=64)
+    return found.select(*LINE_KEYS, "cluster_id")
+
+
+def cl_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centers after two Lloyd rounds with bounds, and the points of each."""
+    run = bounded_kmeans(line_points(spark, sf_dir), GRID, 2, tol=0.0)
+    sizes = run.state.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    return _center_rows(spark, run.centers).join(sizes, "cluster_id")
+
+
 def cl_std_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objectives.standard_objective(line_points(spark, sf_dir), CENTERS).select(F.round("delta", 6).alias("delta"))
 
@@ -266,6 +301,13 @@ def fl_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _center_rows(spark, fair.fair_kmeans(line_points(spark, sf_dir), 4, 3, init=CENTERS, cache=False))
 
 
+def fl_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of which the first is of an earlier run: the second run goes on from the log."""
+    points, log = line_points(spark, sf_dir), scratch_dir(spark, "rounds")
+    fair.fair_kmeans(points, 4, 1, init=CENTERS, cache=False, log=log)
+    return _center_rows(spark, fair.fair_kmeans(points, 4, 3, init=CENTERS, cache=False, log=log))
+
+
 def fl_lloyd_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     centers = fair.fair_kmeans(line_points(spark, sf_dir), len(GRID), 3, init=GRID, cache=False)
     return _center_rows(spark, centers)
@@ -363,6 +405,18 @@ def sk_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.stream_lines(freq, sketch.build_sketch(freq, HASHES, weight="cnt"), TOP_K)
 
 
+def sk_registers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registers.item_registers(event_items(spark, sf_dir))
+
+
+def sk_distinct_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents: how many there are, estimated from merged registers of two halves."""
+    tokens = words.words(documents(spark, sf_dir), "text").select(F.col("word").alias("item"))
+    half = F.pmod(F.xxhash64("item"), F.lit(2)) == 0
+    merged = registers.merge_registers(registers.item_registers(tokens.where(half)), registers.item_registers(tokens.where(~half)))
+    return registers.estimate_distinct(merged).select(F.round("n_distinct", 4).alias("n_distinct"))
+
+
 # --- streams ------------------------------------------------------------------------------
 
 
@@ -423,6 +477,14 @@ def st_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_report(prefix.prefix_report(spark, out, threshold, HASHES, TOP_K))
 
 
+def st_registers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = scratch_dir(spark, "registers")
+    items = _event_stream(spark, sf_dir, work)
+    running.start_registers(items, f"{work}/table", f"{work}/checkpoint", availableNow=True).awaitTermination()
+    running.compact_registers(spark, f"{work}/table")
+    return running.read_registers(spark, f"{work}/table")
+
+
 def st_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events through the replayable source: every run goes on where the checkpoint of the last one stands."""
     n = table(spark, sf_dir, "events").count()
@@ -534,11 +596,14 @@ QUERIES = {
         pt_parse_any_dim,
         pt_text_roundtrip,
         pt_text_roundtrip_vec,
+        pt_rejected,
         pt_counts,
         pt_dim,
         cl_assign,
         cl_assign_grid,
         cl_assign_vec,
+        cl_assign_table,
+        cl_bounded,
         cl_std_objective,
         cl_fair_objective,
         cl_group_sizes,
@@ -560,6 +625,7 @@ QUERIES = {
         fl_gamma,
         fl_centers,
         fl_lloyd,
+        fl_resumed,
         fl_lloyd_grid,
         sk_parse_items,
         sk_exact_freq,
@@ -574,10 +640,13 @@ QUERIES = {
         sk_topk_error,
         sk_report,
         sk_report_text,
+        sk_registers,
+        sk_distinct_approx,
         st_exact_freq,
         st_sketch,
         st_threshold_prefix,
         st_report,
+        st_registers,
         st_replay,
         st_compacted,
         wn_running,

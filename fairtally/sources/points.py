@@ -78,8 +78,8 @@ def read_points(
     return parse_points(read_lines(spark, path, partitions), dim, mode)
 
 
-def format_points(points: DataFrame, features: str = "features", grp: str = "grp") -> DataFrame:
-    """One text line per point, all coordinates with three decimals, the label last.
+def format_points(points: DataFrame, features: str = "features", grp: str = "grp", keep: list[str] | None = None) -> DataFrame:
+    """One text line per point, all coordinates with three decimals, the label last; ``keep`` names columns to keep beside.
 
     A missing point, coordinate or label raises: its line would be read back as another point.
     """
@@ -87,7 +87,7 @@ def format_points(points: DataFrame, features: str = "features", grp: str = "grp
     whole = x.isNotNull() & F.col(grp).isNotNull() & ~F.exists(x, lambda v: v.isNull())
     text = F.concat_ws(",", F.transform(x, lambda v: F.format_string("%.3f", v)), F.col(grp))
     fail = F.raise_error(F.lit("point with a missing coordinate or label")).cast("string")
-    return points.select(F.when(F.coalesce(whole, F.lit(False)), text).otherwise(fail).alias("value"))
+    return points.select(*(keep or []), F.when(F.coalesce(whole, F.lit(False)), text).otherwise(fail).alias("value"))
 
 
 def write_points(

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from fairtally import average_word_length, word_counts
+from fairtally.operators import words as words_module
 from fairtally.operators.words import distinct_words, document_count
 
 DOCS = ["la volpe è qui", "la  casa ", "", "   ", "qui\nqui", "la " * 50]
@@ -47,3 +48,16 @@ def test_counts_per_partition_cost_one_shuffle(spark):
     plan = word_counts(docs, by_partition=True)._jdf.queryExecution().sparkPlan().toString()
     executed = word_counts(docs, by_partition=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") == 2 and executed.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("most", [3, 500_000])
+def test_counts_per_partition(spark, monkeypatch, most):
+    monkeypatch.setattr(words_module, "LOCAL_WORDS", most)
+    parts = [["a b a", "c"], ["a", "b b b b "], []]
+    df = spark.sparkContext.parallelize([[(t,) for t in p] for p in parts], 3).flatMap(lambda p: p).toDF("value string")
+    local = words_module.partition_counts(df)
+    assert "Exchange" not in local._jdf.queryExecution().executedPlan().toString()
+    rows = sorted(map(tuple, local.collect()))
+    if most > 3:
+        assert rows == [("a", 1), ("a", 2), ("b", 1), ("b", 4), ("c", 1)]
+    assert dict(word_counts(df, by_partition=True).collect()) == {"a": 3, "b": 5, "c": 1}
