@@ -31,34 +31,49 @@ from fairtally.operators.sketch import (
     with_estimates,
 )
 from fairtally.operators.words import average_word_length, distinct_words, document_count, word_counts
+from fairtally.operators.bounds import bounded_kmeans
+from fairtally.operators.center_table import nearest_in_table
+from fairtally.operators.ordering import numbered, prefix_reaching, running_sums
+from fairtally.operators.registers import estimate_distinct, item_registers, merge_registers
+from fairtally.operators.start import start_centers
+from fairtally.sources.checked import read_items_checked, read_points_checked
+from fairtally.sources.item_table import table_items
 from fairtally.sources.items import file_items, parse_items, socket_items
 from fairtally.sources.points import parse_points, read_lines, read_points, write_points
 from fairtally.sources.synthetic import synth_points
+from fairtally.streaming.closing import read_until, start_until
 from fairtally.streaming.prefix import prefix_frequencies, prefix_report, prefix_sketch, start_prefix_stream
 from fairtally.streaming.running import (
     compact_frequencies,
+    compact_registers,
     compact_sketch,
     read_frequencies,
+    read_registers,
     read_sketch,
     start_frequencies,
+    start_registers,
     start_sketch,
 )
+from fairtally.streaming.tables import vacuum
 
 __all__ = [
     "HashFamily",
     "Sketch",
     "align_groups",
     "average_word_length",
+    "bounded_kmeans",
     "build_sketch",
     "cluster_group_sizes",
     "clustering_report",
     "compact_frequencies",
+    "compact_registers",
     "compact_sketch",
     "compare_centers",
     "distinct_words",
     "document_count",
     "estimate_cm",
     "estimate_cs",
+    "estimate_distinct",
     "fair_kmeans",
     "fair_objective",
     "fair_step",
@@ -70,29 +85,44 @@ __all__ = [
     "heavy_hitters",
     "initial_centers",
     "item_frequencies",
+    "item_registers",
     "kmeans",
     "lloyd_round",
     "merge_frequencies",
+    "merge_registers",
     "merge_sketches",
+    "nearest_in_table",
+    "numbered",
     "parse_items",
     "parse_points",
     "point_dimensions",
     "prefix_frequencies",
+    "prefix_reaching",
     "prefix_report",
     "prefix_sketch",
     "read_frequencies",
+    "read_items_checked",
     "read_lines",
     "read_points",
+    "read_points_checked",
+    "read_registers",
     "read_sketch",
+    "read_until",
+    "running_sums",
     "sketch_report",
     "socket_items",
     "standard_objective",
+    "start_centers",
     "start_frequencies",
     "start_prefix_stream",
+    "start_registers",
     "start_sketch",
+    "start_until",
     "synth_points",
+    "table_items",
     "top_k_with_ties",
     "topk_error",
+    "vacuum",
     "with_estimates",
     "with_nearest",
     "word_counts",

@@ -339,6 +339,7 @@ UNION ALL SELECT 5, printf('Item %d True Frequency = %d Estimated Frequency with
     "st_exact_freq": ALL_ITEMS,
     "st_sketch": f"{CELLS} SELECT r, c, cm, cs FROM cell",
     "st_threshold_prefix": f"SELECT item, CAST(cnt AS BIGINT) AS cnt FROM ({ARRIVING})",
+    "st_until": f"SELECT item, CAST(cnt AS BIGINT) AS cnt FROM ({ARRIVING})",
     "st_report": f"{_sketch(HASHES, ARRIVING)} {REPORT}",
     "st_replay": ALL_ITEMS,
     "st_compacted": ALL_ITEMS,

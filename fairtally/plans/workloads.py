@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ from fairtally.sources.items import parse_items
 from fairtally.sources.points import format_points, parse_points, read_points, write_points
 from fairtally.sources.synthetic import synth_points
 from fairtally.storage import held, scratch_dir
-from fairtally.streaming import prefix, running, tables
+from fairtally.streaming import closing, prefix, running, tables
 
 
 def _x(column: str = "features") -> Column:
@@ -446,21 +448,26 @@ def st_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running.read_sketch(spark, f"{work}/table", HASHES).cells
 
 
-def _prefix_run(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Let the events arrive in four parts by id, one micro-batch each, and stop after 11/20 of them.
+def _arriving(spark: SparkSession, sf_dir: str, work: str) -> tuple[Iterator[DataFrame], int]:
+    """Streams of the events in four parts by id, of which one more has arrived each time; 11/20 of their number.
 
     One pass writes all parts; events without an id come last.
     """
     events = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("item"))
     n, top = events.agg(F.count(F.lit(1)), F.max("event_id")).first()
-    threshold = max(1, n * 11 // 20)
-    work = scratch_dir(spark, "prefix")
     part = F.floor(F.col("event_id") * STREAM_CHUNKS / F.lit((top or 0) + 1))
     placed = F.coalesce(F.greatest(part, F.lit(0)), F.lit(STREAM_CHUNKS - 1)).cast("int")
     events.select("item", placed.alias("part")).write.partitionBy("part").parquet(f"{work}/incoming")
-    for last in range(STREAM_CHUNKS):
-        # The pattern lets one more folder arrive each time; the stream knows what it has read.
-        arrived = spark.readStream.schema("item bigint").parquet(f"{work}/incoming/part=[0-{last}]")
+    # The pattern lets one more folder arrive each time; the stream knows what it has read.
+    read = spark.readStream.schema("item bigint")
+    return (read.parquet(f"{work}/incoming/part=[0-{last}]") for last in range(STREAM_CHUNKS)), max(1, n * 11 // 20)
+
+
+def _prefix_run(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Let the events arrive, one micro-batch each part, and stop after 11/20 of them."""
+    work = scratch_dir(spark, "prefix")
+    streams, threshold = _arriving(spark, sf_dir, work)
+    for arrived in streams:
         stream = prefix.start_prefix_stream(
             arrived, HASHES, threshold, f"{work}/out", f"{work}/checkpoint", availableNow=True
         )
@@ -468,6 +475,15 @@ def _prefix_run(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     return f"{work}/out", threshold
 
 
+def st_until(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stop, decided by the state of the stream; each part is read by a query that starts again."""
+    work = scratch_dir(spark, "until")
+    streams, threshold = _arriving(spark, sf_dir, work)
+    for arrived in streams:
+        closing.start_until(arrived, threshold, f"{work}/out", f"{work}/checkpoint", availableNow=True).awaitTermination()
+    return closing.read_until(spark, f"{work}/out")
+
+
 def st_threshold_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix.prefix_frequencies(spark, *_prefix_run(spark, sf_dir))
 
@@ -645,6 +661,7 @@ QUERIES = {
         st_exact_freq,
         st_sketch,
         st_threshold_prefix,
+        st_until,
         st_report,
         st_registers,
         st_replay,
