@@ -26,6 +26,8 @@ MATCHES = 37
 SIMILARITY_PERCENT = 80
 STAR_ROUNDS = 1
 CACHE_WORDS = 200_000
+#: Shingles of at most so many unsettled documents are rare: pairs that need one meet through it.
+RARE = 16
 
 SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, signature array<int>"
 
@@ -222,46 +224,66 @@ class _Links:
         largest = sizes.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
         return posts.join(largest.where("comps > 1").select("token", F.col("top.comp").alias("top")), "token")
 
-    def shared_shingles(self, groups: DataFrame) -> DataFrame:
-        """(rep, n, s, tokens) of what may still find a partner: s of its n shingles are shared.
+    def shared_shingles(self, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """What may still find a partner, (rep, n, s, c, tokens), and the rare shingles of it, (rep, shingle).
 
+        Of n shingles s are shared with another unsettled document and c with more than RARE - 1 others.
         Shingles that no other document of the unsettled lists has can't be common to a pair, so s
-        bounds every similarity; a document with too few shared shingles is left out.
+        bounds every similarity; a document with too few shared shingles is left out. Of pairs without
+        a common rare shingle, c is a bound too.
         """
         wanted = self.unsettled(groups).select("rep").distinct()
         rows = self.blobs.join(wanted, "rep", "left_semi").mapInArrow(single_shingles, "rep bigint, shingle bigint")
-        common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("shingle")
-        shared = rows.join(common, "shingle", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("s"))
-        sized = shared.join(self.signatures.select("rep", F.col("n_shingles").alias("n")), "rep")
+        rows = stored(rows, "single-shingles")
+        common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        shared = stored(rows.join(common, "shingle"), "shared-shingles")
+        sums = shared.groupBy("rep").agg(F.count(F.lit(1)).alias("s"), F.count_if(F.col("df") > RARE).alias("c"))
+        sized = sums.join(self.signatures.select("rep", F.col("n_shingles").alias("n")), "rep")
         lists = self.prefix.groupBy("rep").agg(F.collect_list("token").alias("tokens"))  # at most one per coordinate
-        return sized.where(F.col("s") * 100 >= F.col("n") * self.percent).join(lists, "rep")
+        facts = stored(sized.where(F.col("s") * 100 >= F.col("n") * self.percent).join(lists, "rep"), "facts")
+        return facts, shared.where(F.col("df") <= RARE).select("rep", "shingle")
 
-    def _may(self, x: str, y: str) -> Column:
+    def rare_pairs(self, groups: DataFrame, facts: DataFrame, rare: DataFrame) -> DataFrame:
+        """Pairs of different components that common rare shingles could make similar enough, each once.
+
+        A list has at most RARE documents. A pair shares what its lists show and c shingles at most.
+        """
+        here = rare.join(facts.select("rep", "n", "c"), "rep").join(groups, F.col("rep") == F.col("node"), "left")
+        one = F.struct("rep", F.coalesce("component", "rep").alias("comp"), "n", "c")
+        lists = here.groupBy("shingle").agg(F.array_sort(F.collect_list(one)).alias("l"))
+        lists = lists.where(F.size(F.array_distinct("l.comp")) > 1)
+        met = lists.select("l", F.explode("l").alias("x")).select("x", F.explode("l").alias("y")).where("x.rep < y.rep AND x.comp != y.comp")
+        pairs = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("r"))
+        most = F.least("x.c", "y.c") + F.col("r")
+        fits = most * 100 >= (F.col("x.n") + F.col("y.n") - most) * self.percent
+        return pairs.where(fits).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+
+    def _may(self, x: str, y: str, shared: str = "s") -> Column:
         """Whether the similarity bound min(s) / (n_x + n_y - min(s)) reaches the threshold."""
-        least = F.least(F.col(f"{x}s"), F.col(f"{y}s"))
+        least = F.least(F.col(f"{x}{shared}"), F.col(f"{y}{shared}"))
         return least * 100 >= (F.col(f"{x}n") + F.col(f"{y}n") - least) * self.percent
 
     def hub_pairs(self, groups: DataFrame, facts: DataFrame) -> DataFrame:
         """As star_pairs, where the center of a list is what shares the most: it is like most others."""
-        posts = self.unsettled(groups).join(facts.drop("tokens"), "rep")
+        posts = self.unsettled(groups).join(facts.drop("tokens", "c"), "rep")
         order = F.struct((F.col("s") / F.col("n")).alias("share"), (-F.col("rep")).alias("o"), "rep", "comp", "n", "s")
         far = posts.join(posts.groupBy("token").agg(F.max(order).alias("c")), "token")
         far = far.where((F.col("comp") != F.col("c.comp")) & self._may("", "c."))
         return far.select(F.col("c.rep").alias("a"), F.col("rep").alias("b")).distinct()
 
     def rest_pairs(self, groups: DataFrame, facts: DataFrame) -> DataFrame:
-        """All pairs of different components that share a posting and may be similar enough, each once.
+        """All pairs of different components that share a posting and may be similar enough without rare shingles, each once.
 
         Lists within one component make none; in other lists all but the largest component's
         members meet all members, so a large group of near copies meets only what isn't in it.
         """
         able = self.unsettled(groups).join(facts, "rep")
-        few = able.where("comp != top").select("token", *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "n", "s", "tokens")])
+        few = able.where("comp != top").select("token", *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "n", "c", "tokens")])
         # Of the lists that a pair shares, the one with the least token speaks for it. At least one
         # side is outside of its largest component; if both are, the smaller asks.
         speaks = F.array_min(F.array_intersect("tokens", "x_tokens")) == F.col("token")
         once = (F.col("comp") == F.col("top")) | (F.col("x_rep") < F.col("rep"))
-        met = few.join(able, "token").where((F.col("comp") != F.col("x_comp")) & once & self._may("", "x_") & speaks)
+        met = few.join(able, "token").where((F.col("comp") != F.col("x_comp")) & once & self._may("", "x_", "c") & speaks)
         return met.select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
 
 
@@ -335,10 +357,11 @@ def near_duplicates(
         groups, more = _merged(groups, links.confirmed(_best(near)))
         if not more:
             break
-    facts = stored(links.shared_shingles(groups), "shared-shingles")
+    facts, rare = links.shared_shingles(groups)
     near = links.matched(links.hub_pairs(groups, facts))
     groups, _ = _merged(groups, links.confirmed(_best(near, 4)))
-    left = stored(links.matched(links.rest_pairs(groups, facts)), "candidates")
+    met = links.rest_pairs(groups, facts).union(links.rare_pairs(groups, facts, rare)).distinct()
+    left = stored(links.matched(met), "candidates")
     groups, _ = _merged(groups, links.confirmed(_best(left, 4)))
     groups, _ = _merged(groups, links.confirmed(_between(groups, left)))
 
@@ -355,6 +378,23 @@ def near_duplicates(
 
 
 def drop_duplicates(documents: DataFrame, shingle: int, percent: int = SIMILARITY_PERCENT) -> DataFrame:
-    """The documents (all columns) without those whose group has a smaller doc_id. A null doc_id stays."""
-    gone = near_duplicates(documents, shingle, percent).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    """One document of each group (all columns): that with the smallest doc_id.
+
+    Rows with one doc_id are one document: of repeated rows the one with the smallest hash stays. A row
+    without doc_id takes part under a number from its text, larger than any doc_id in use, so it goes where a
+    document with an id says the same, and of equal ones one stays; without words too it stays.
+    """
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    text = F.col("text").cast("string")
+    own = F.xxhash64(text).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62)
+    number = F.coalesce(F.col("doc_id").cast("long"), F.when(text.rlike(r"[^\x20\x09-\x0D]"), own))
+    rows = documents.select(F.struct(*columns).alias("row"), number.alias("_number"))
+    judged = near_duplicates(documents.select(number.alias("doc_id"), text.alias("text")), shingle, percent)
+    judged = stored(judged.where("doc_id IS NOT NULL").select("doc_id", "kept"), "judged")
+    gone = stored(judged.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    again = stored(judged.groupBy(F.col("doc_id").alias("_again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_again"), "again")
+    rest = rows.join(gone, F.col("_number") == F.col("_gone"), "left_anti")
+    once = rest.join(again, F.col("_number") == F.col("_again"), "left_anti").select("row")
+    repeated = rest.join(again, F.col("_number") == F.col("_again"), "left_semi")
+    first = repeated.groupBy("_number").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return once.union(first).select(*[F.col(f"row.`{c}`").alias(c) for c in documents.columns])

@@ -75,7 +75,45 @@ def test_odd_rows(spark):
     assert all(r.component_id is None and not r.kept for r in rows if r.doc_id is None)
     left = minhash.drop_duplicates(docs, 5)
     assert left.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 0, 1, 4, 5, 6, 7, 8, 10, 11]
+    # The row without an id that says what document 1 says goes, the one without a text stays.
+    assert sorted((r.doc_id or 0, r.text) for r in left.where("doc_id IS NULL").collect()) == [(0, None)]
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 4, 5, 6, 7, 8, 10, 11]
+
+
+@pytest.mark.parametrize("rare", [1, 4, 16])
+def test_loose_copies_make_few_pairs_and_lose_no_link(spark, monkeypatch, rare):
+    """Many near copies of a text, and outliers that are like all of them but hardly linked."""
+    monkeypatch.setattr(minhash, "RARE", rare)
+    rng = random.Random(rare)
+    base, texts = words(rng, 150, 10**6), []
+    for i in range(420):
+        copy = base[:]
+        for _ in range(rng.choice([1, 2, 3]) if i % 7 else rng.choice([5, 6, 7])):
+            copy[rng.randrange(150)] = f"w{rng.randrange(400)}"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    matched, made = minhash._Links.matched, []
+
+    def counting(self, pairs):
+        pairs = minhash.stored(pairs, "pairs")
+        made.append(pairs.count())
+        return matched(self, pairs)
+
+    monkeypatch.setattr(minhash._Links, "matched", counting)
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, 4).collect()}
+    assert found == brute(list(enumerate(texts)), 4)
+    if rare == 16:
+        assert made[-1] < 10 * len(texts)
+
+
+def test_rows_without_ids_and_repeated_rows_leave_one(spark):
+    rng = random.Random(4)
+    a, b = (" ".join(words(rng, 60)) for _ in range(2))
+    near = a.replace(a.split()[30], "changed", 1)
+    rows = [(5, a, "x"), (5, a, "x"), (5, a, "y"), (9, near, "x"), (None, a, "x"), (None, b, "x"), (None, b, "x"), (None, b.upper(), "x"), (None, " ", "x"), (None, None, "x")]
+    left = minhash.drop_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), 5).collect()
+    assert [r.doc_id for r in left].count(5) == 1 and sum(r.text is not None and r.text.lower() == b for r in left) == 1
+    assert len(left) == 4
 
 
 def test_no_documents(spark):
