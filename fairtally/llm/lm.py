@@ -25,7 +25,7 @@ from fairtally.llm.common import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ORDER = 2
+ORDER = 3
 #: Pseudo-count of the shorter context's distribution; by order of the n-gram.
 PRIOR = 200.0
 CHUNK_TOKENS = 2_000_000
