@@ -101,6 +101,8 @@ def start_centers(
     if first is None:
         raise ValueError("no points")
     found = np.array([first["x"]], dtype=np.float64)
+    if k == 1:
+        return found  # the point of least luck
     turn = 0
     while turn < rounds or len(found) < k:
         turn += 1
