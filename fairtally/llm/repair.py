@@ -432,7 +432,8 @@ def repair_conversations(rows: DataFrame, costs: Costs = Costs(), present: Colum
     again = counted.groupBy(F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("mark").alias("m")).agg(
         F.min(when).alias("first"), F.count(F.lit(1)).alias("times")
     )
-    again = again.where("times > 1").drop("times")
+    # Written, so that Spark knows its size and need not shuffle the texts where it is small.
+    again = stored(again.where("times > 1").drop("times"), "repeated-rows")
     same = counted.conv_id.eqNullSafe(again.c) & (counted.role == again.r) & (counted.mark == again.m)
     seen = F.coalesce(~F.col("turn").eqNullSafe(F.col("first.turn")) & F.col("first").isNotNull(), F.lit(False))
     flagged = counted.join(again, same, "left").select("conv_id", "turn", "role", "text", "copies", "mark", seen.alias("seen"))
