@@ -28,10 +28,11 @@ MIN_RUN = 8
 #: Tokens of a run that only one other page shares, before it counts as boilerplate and no quotation.
 QUOTE_RUN = 15
 SHARD_PAGES = 20_000
+SHARD_TOKENS = 500_000
 PART_BYTES = 4 << 20
 
 #: Elements whose content is never text of the page.
-SILENT = frozenset("script style noscript template svg math iframe object head title select option textarea button canvas audio video datalist".split())
+SILENT = frozenset("script style noscript template svg iframe object head title select option textarea button canvas audio video datalist".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 #: Elements that hold something other than the article.
 ASIDE = frozenset("nav footer aside form menu dialog".split())
@@ -41,10 +42,15 @@ ASIDE_WORDS = frozenset(
     "form header menu modal nav navbar navigation newsletter notice notices popup promo promoted related replies search share "
     "sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary dialog alert".split()
 )
-#: What may stand beside them in a name: comment-list, but not entry-header or has-sidebar.
-BESIDE_WORDS = frozenset("list box bar banner wrap wrapper container block area section inner outer item items link links left right top bottom site slot unit".split())
+#: What may stand beside them in a name, as numbers may: comment-list and ad-slot-1, but not entry-header or has-sidebar.
+BESIDE_WORDS = frozenset(
+    "list box bar banner wrap wrapper container block area section inner outer item items link links left right top bottom "
+    "site slot unit user reader content text body".split()
+)
+#: Words that say of an article element beside another one that it is not the page's article.
+OTHER_ARTICLES = frozenset("ad ads advert advertisement comment comments promo promoted related replies reply sponsored teaser teasers".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr br".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr br math".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(["article", "main"])
@@ -66,6 +72,18 @@ class Page:
     spots: list[int] = field(default_factory=list)  # of each of these, the article's blocks before it
     aside: list[str] = field(default_factory=list)  # blocks of menus, footers and the like
     has_article: bool = False
+    others: bool = False  # whether an article element is named as a comment, teaser or advert
+
+
+def _names(attributes: str) -> Iterator[set[str]]:
+    """The words of each name in class, id and role."""
+    for found in NAMES.finditer(attributes):
+        for token in (found[1] or found[2] or found[3] or "").lower().split():
+            yield {w for w in re.split(r"[^a-z0-9]+", token) if w and not w.isdigit()}
+
+
+def _other_article(attributes: str) -> bool:
+    return any(w & OTHER_ARTICLES and w <= OTHER_ARTICLES | BESIDE_WORDS for w in _names(attributes))
 
 
 def _set_aside(name: str, attributes: str, in_main: bool) -> bool:
@@ -77,99 +95,126 @@ def _set_aside(name: str, attributes: str, in_main: bool) -> bool:
         return True
     if name in MAIN:
         return False
-    for found in NAMES.finditer(attributes):
-        for token in (found[1] or found[2] or found[3] or "").lower().split():
-            words = set(filter(None, re.split(r"[^a-z0-9]+", token)))
-            says = words & ASIDE_WORDS
-            if says and words <= ASIDE_WORDS | BESIDE_WORDS and not (in_main and says == {"header"}):
-                return True
+    for words in _names(attributes):
+        says = words & ASIDE_WORDS
+        if says and words <= ASIDE_WORDS | BESIDE_WORDS and not (in_main and says == {"header"}):
+            return True
     return False
 
 
 def parse_page(source: str | None) -> Page:
-    """Blocks of a page by region; a block is what stands between two block-level tags."""
-    page, text = Page(), []
+    """Blocks of a page by region; a block is what stands between two block-level tags.
+
+    Article elements named as comments, teasers or adverts are set aside, unless no other holds text.
+    """
+    page = _parse_page(source, True)
+    return page if page.article or not page.others else _parse_page(source, False)
+
+
+def _parse_page(source: str | None, others_aside: bool) -> Page:
+    page, text, beside = Page(), [], []
     if not source:
         return page
-    # Open elements as (name, silent, aside, main): what holds for an element holds inside it.
-    open_: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    # Open elements as (name, silent, aside, main, formula): what holds for an element holds inside it.
+    open_: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
     place = 0
 
+    def taken(parts: list[str]) -> str:
+        block = " ".join("".join(parts).split())
+        parts.clear()
+        return block
+
+    def end_aside() -> None:
+        if beside and (block := taken(beside)):
+            page.aside.append(block)
+
     def end_block() -> None:
-        if text:
-            block = " ".join("".join(text).split())
-            text.clear()
-            if block:
-                _, silent, aside, main = open_[-1]
-                if not silent:
-                    if not (aside or main):
-                        page.spots.append(len(page.article))
-                    (page.aside if aside else page.article if main else page.plain).append(block)
+        # Inside of what is set aside only that text ends: an advert within a line does not end the line.
+        end_aside()
+        _, silent, aside, main, _ = open_[-1]
+        if text and not (silent or aside) and (block := taken(text)):
+            if not main:
+                page.spots.append(len(page.article))
+            (page.article if main else page.plain).append(block)
 
     def close(name: str) -> None:
         for i in range(len(open_) - 1, 0, -1):
             if open_[i][0] == name:
-                if any(o[0] not in INLINE for o in open_[i:]) or open_[i][1:] != open_[i - 1][1:]:
+                # Up to the outermost block that ends here, if it is of the text.
+                ended = next((k for k in range(i, len(open_)) if open_[k][0] not in INLINE and not (open_[k][1] or open_[k][4])), None)
+                if open_[-1][2] and not open_[i - 1][2]:
+                    end_aside()
+                if ended is not None:
+                    del open_[ended + 1 :]
                     end_block()
                 del open_[i:]
                 return
 
+    def put(part: str) -> None:
+        _, silent, aside, *_ = open_[-1]
+        if not silent:
+            (beside if aside else text).append(part)
+
     for mark in MARK.finditer(source):
         if mark.start() < place:  # inside a script or the like
             continue
         if mark.start() > place and not open_[-1][1]:
-            text.append(html.unescape(source[place : mark.start()]))
+            put(html.unescape(source[place : mark.start()]))
         place = mark.end()
         name = (mark[2] or mark[5] or "").lower()
         if not name:
             if mark[0].startswith("<![CDATA["):
-                text.append(mark[0][9:-3])
+                put(mark[0][9:-3])
             continue
         if mark[1] or mark[4]:
             if name == "p" and all(o[0] != "p" for o in open_):
-                end_block()
+                end_block()  # an end tag alone is an empty paragraph
             close(name)
             continue
         if name == "br":
-            text.append(" ")
-        if name in ENDS_P:
+            put(" ")
+        inside = open_[-1][1] or open_[-1][4]  # of what is silent, or of a formula: no block ends there
+        if name in ENDS_P and not inside:
             # An open p, with what it holds, ends here if no other block stands between.
             for i in range(len(open_) - 1, 0, -1):
                 if open_[i][0] == "p":
                     end_block()
                     del open_[i:]
                     break
-                if open_[i][0] not in INLINE:
+                if open_[i][0] not in INLINE or (open_[i][2] and not open_[i - 1][2]):
                     break
-        if name not in INLINE:
+        if name not in INLINE and name not in SILENT and not inside:
             end_block()
         if name in VOID:
             continue
         if name == "body" and any(o[1] for o in open_):  # a head without its end tag
             del open_[1:]
-        _, silent, aside, main = open_[-1]
+        _, silent, aside, main, formula = open_[-1]
         attributes = mark[3] or mark[6] or ""
         aside_now = aside or _set_aside(name, attributes, main)
-        if aside_now != aside:
-            end_block()
+        if name == "article" and not aside_now and _other_article(attributes):
+            page.others, aside_now = True, others_aside
         if name in MAIN and not aside_now and not silent:
             main = page.has_article = True
         if attributes.rstrip().endswith("/") and name not in INLINE and name not in RAW and name in ("svg", "math"):
             continue
-        open_.append((name, silent or name in SILENT, aside_now, main))
+        open_.append((name, silent or name in SILENT, aside_now, main, formula or name == "math"))
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(source, place)
             place = end.end() if end else len(source)
             open_.pop()
-    if place < len(source) and not open_[-1][1]:
-        text.append(html.unescape(source[place:]))
+    if place < len(source):
+        put(html.unescape(source[place:]))
+    close_at = next((k for k, o in enumerate(open_) if k and (o[1] or o[2])), len(open_))
+    end_aside()
+    del open_[close_at:]
     end_block()
     return page
 
 
 PARSED = (
     "same bigint, page_id bigint, url string, host string, has_article boolean, article array<string>, "
-    "plain array<string>, spots array<int>, aside array<string>"
+    "plain array<string>, spots array<int>, aside array<string>, outer bigint"
 )
 
 
@@ -194,6 +239,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "plain": pa.array([p.plain for p in pages], pa.list_(pa.string())),
                     "spots": pa.array([p.spots for p in pages], pa.list_(pa.int32())),
                     "aside": pa.array([p.aside for p in pages], pa.list_(pa.string())),
+                    "outer": pa.array([sum(b.count(" ") + 2 for b in p.plain + p.aside) for p in pages], pa.int64()),
                 }
             )
 
@@ -355,7 +401,7 @@ def _texts(width: int):
     return run
 
 
-def extract_text(pages: DataFrame, min_run: int = MIN_RUN, shard_pages: int = SHARD_PAGES) -> DataFrame:
+def extract_text(pages: DataFrame, min_run: int = MIN_RUN, shard_pages: int = SHARD_PAGES, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Per row: page_id, url, text, n_chars.
 
     The text is the blocks of ``article`` or ``main`` elements without the menus, notices, adverts,
@@ -363,7 +409,7 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, shard_pages: int = SH
     being repeated. Blocks outside of articles and of menus and the like stay in their places, less
     the runs of ``min_run`` or more tokens that two other pages of the host have outside of their
     articles too, or QUOTE_RUN or more that one other has; beside an article, shorter blocks go if
-    another page has them. Hosts of any size are cut into shards; windows are then added up over
+    another page has them. Hosts of any size are cut into shards by pages and tokens; windows are then added up over
     the shards of a host, so the cut changes nothing. Null or empty html gives an empty text; pages
     with null urls are one host; rows with equal blocks count as one page and get equal texts.
     """
@@ -375,8 +421,9 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, shard_pages: int = SH
     )
     parsed = stored(with_computed(source, host=host).select("page_id", "url", "host", "html").mapInArrow(_parse, PARSED), "parsed")
     distinct = parsed.select("same", "host", "has_article", "plain", "aside").dropDuplicates(["host", "same"])
-    sizes = parsed.groupBy("host").agg(F.count_distinct("same").alias("pages"))
-    shards = F.pmod(F.xxhash64("same"), F.ceil(F.col("pages") / shard_pages))
+    sizes = parsed.groupBy("host", "same").agg(F.max("outer").alias("outer"))
+    sizes = sizes.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("outer").alias("tokens"))
+    shards = F.pmod(F.xxhash64("same"), F.greatest(F.ceil(F.col("pages") / shard_pages), F.ceil(F.col("tokens") / shard_tokens)))
     outer = distinct.join(sizes, "host").withColumn("shard", shards)
     windows = stored(outer.groupBy("host", "shard").applyInArrow(_host_suffixes(min_run), SHARED), "windows")
     common = windows.groupBy("host", "mark").agg(F.sum("n").alias("pages")).where("pages > 1")

@@ -40,6 +40,28 @@ def test_blocks(source, blocks):
     assert text(source) == blocks
 
 
+@pytest.mark.parametrize(
+    ("source", "blocks"),
+    [
+        ("<article><p>one <script>x</script> two", ["one two"]),
+        ("<article><p>one <button class='share'><div>x</div></button> two <svg><g><text>no</text></g></svg>three</p>four", ["one two three", "four"]),
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", ["so x=1 holds"]),
+        ("<article><p>one <span class='ad'>buy</span> two <a class='share'><div>s</div></a>three</p><p>four", ["one two three", "four"]),
+        ("<article><p>one <select><option>a<option>b</p><p>two", ["one", "two"]),
+        ("<article><p>one <span class='ad'>never closed</p><p>two", ["one", "two"]),
+        ("<article><p>last <span class='ad'>ad", ["last"]),
+        ("<article><p>a</article><article class='comment'><p>c</article><article class='teaser related'><p>t</article>", ["a"]),
+        ("<article class='comment'><p>first</article><article id=main-story><p>a</article>", ["a"]),
+        ("<article class='teaser'><p>the only one</article><p>out", ["the only one"]),
+        ("<main><article class='related-item'><p>all there is</article></main>", ["all there is"]),
+        ("<article><p>a</p><div class='user-comment'>c</div><div id='ad-slot-1'>x</div><div class='sponsored-content'>s</div></article>", ["a"]),
+        ("<article><p>a</p><div class='cookie-notice-text'>c</div><div class='main-content'>b</div><div class='text-1'>d</div></article>", ["a", "b", "d"]),
+    ],
+)
+def test_blocks_end_at_blocks_only_and_other_articles_go(source, blocks):
+    assert text(source) == blocks
+
+
 def brute_repeated(streams, width):
     seen = {}
     for p, s in enumerate(streams):
@@ -61,14 +83,14 @@ def test_suffix_array_equals_brute_force(width):
     assert found == want
 
 
-@pytest.mark.parametrize("shard", [3, 20_000])
+@pytest.mark.parametrize("shard", [{"shard_pages": 3}, {"shard_tokens": 60}, {}])
 def test_boilerplate_of_a_host_goes_whatever_the_shards(spark, shard):
     rng = random.Random(1)
     notice = " ".join(words(rng, 12))
     own = [" ".join(words(rng, 15)) for _ in range(10)]
     rows = [(i, f"http://H.org/{i}", f"<p>{own[i]}</p><p>{notice}</p><p>n{i} only</p>") for i in range(10)]
     rows += [(50, "http://other.org/", f"<p>{notice}</p>"), (51, "http://h.org/a", f"<article><p>{own[0]}</p></article><p>{own[1]}")]
-    got = {r[0]: r[2] for r in run(spark, rows, shard_pages=shard)}
+    got = {r[0]: r[2] for r in run(spark, rows, **shard)}
     for i in range(10):
         assert got[i] == (f"n{i} only" if i == 1 else f"{own[i]}\nn{i} only")
     assert got[50] == notice
