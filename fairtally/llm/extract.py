@@ -27,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_RUN = 8
 #: Tokens of a run that only one other page shares, before it counts as boilerplate and no quotation.
 QUOTE_RUN = 15
-SHARD_PAGES = 20_000
+SHARD_PAGES = 2_000
 SHARD_TOKENS = 500_000
 PART_BYTES = 4 << 20
 
@@ -423,8 +423,11 @@ def extract_text(pages: DataFrame, min_run: int = MIN_RUN, shard_pages: int = SH
     distinct = parsed.select("same", "host", "has_article", "plain", "aside").dropDuplicates(["host", "same"])
     sizes = parsed.groupBy("host", "same").agg(F.max("outer").alias("outer"))
     sizes = sizes.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("outer").alias("tokens"))
-    shards = F.pmod(F.xxhash64("same"), F.greatest(F.ceil(F.col("pages") / shard_pages), F.ceil(F.col("tokens") / shard_tokens)))
-    outer = distinct.join(sizes, "host").withColumn("shard", shards)
+    needed = F.greatest(F.ceil(F.col("pages") / shard_pages), F.ceil(F.col("tokens") / shard_tokens))
+    cut = sizes.select("host", needed.alias("shards")).where("shards > 1")  # few: large hosts only
+    shards = F.pmod(F.xxhash64("same"), F.coalesce("shards", F.lit(1)))
+    # Dealt anew by shard: the join's own dealing would bring all shards of a host to one task.
+    outer = distinct.join(cut, "host", "left").withColumn("shard", shards).drop("shards").repartition("host", "shard")
     windows = stored(outer.groupBy("host", "shard").applyInArrow(_host_suffixes(min_run), SHARED), "windows")
     common = windows.groupBy("host", "mark").agg(F.sum("n").alias("pages")).where("pages > 1")
     own = windows.where("same IS NOT NULL").join(common, ["host", "mark"])
