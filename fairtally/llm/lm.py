@@ -1,7 +1,8 @@
 """Language-model scores from a weighted backoff automaton whose n-grams stay spread over the cluster.
 
 States are the known contexts, arcs the known n-grams with smoothed probabilities; a state without an
-arc for the next word fails to its shorter context at the price of a backoff weight. No task ever
+arc for the next word fails to its shorter context at the price of a backoff weight. Each text carries
+its state from word to word and adds up the weights on its way. No task ever
 holds the whole automaton. Documents are read in chunks; each chunk asks once for the counts of its
 own distinct n-grams (sorted hashes, a few bytes each) and so gets just the part of the automaton
 that its texts can traverse. The same question carries the chunk's own training counts.
@@ -31,6 +32,8 @@ PRIOR = 200.0
 CHUNK_TOKENS = 2_000_000
 BUCKET_KEYS = 3_000_000
 CACHE_WORDS = 200_000
+#: Tokens of a long text that are walked one after the other.
+SEGMENT = 1024
 
 START, END = 0x243F6A8885A308D3, 0x13198A2E03707344
 
@@ -205,32 +208,134 @@ def _content(most: int):
     return run
 
 
-def traverse(chunk: Chunk, counts: list[np.ndarray], tokens: int, words: int, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per token: log10 probability, base log10 probability, and whether the token is known.
+@dataclass
+class Automaton:
+    """The part of the backoff automaton that a chunk's texts can traverse; weights are log10.
 
-    ``counts`` has the training count of the n-gram of each level at each token. The state before a
-    token is the longest context known; it was left by the token before, so one pass from left to
-    right does, here for all tokens of the chunk at once. In a state with context count t, the arc of
-    an n-gram seen c times weighs (c + prior * shorter) / (t + prior), with the shorter context's
-    probability; where there is no arc, the failure arc weighs prior / (t + prior) and leads to the
-    shorter context. Thus the probabilities of all words, one unknown one included, add up to 1.
+    State 0 is the empty context, the others are known contexts. An arc is named by its state and
+    its word, and leads to the longest known context that its n-gram ends with. ``failure`` leads from
+    a state to its context without the first word. ``unknown`` weighs a word without an arc in state 0.
     """
-    grams = chunk.grams(len(counts))
-    first = np.zeros(len(chunk.hashes), bool)
-    first[np.cumsum(chunk.sizes) - chunk.sizes] = True
-    base = np.log10((counts[0] + 1) / (tokens + 1 * (words + 1)))
-    probability = (counts[0] + 1) / (tokens + words + 1)
+
+    order: int
+    words: int
+    arcs: np.ndarray  # state * words + word, ascending
+    weights: np.ndarray
+    targets: np.ndarray
+    failure: np.ndarray
+    failure_weights: np.ndarray
+    start: int
+    unknown: float
+
+    def walk(self, word: np.ndarray, sizes: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
+        """Per text the sum of the weights on its one way from left to right, from the start state.
+
+        The texts go side by side, a word a step, and each carries its state. Without an arc for the
+        word a text takes failure arcs until there is one, or the unknown word's weight in state 0. Texts longer than
+        ``segment`` are walked in segments, whose first ``order - 1`` words only find the state and weigh nothing.
+        """
+        per_text = -(-sizes // segment)
+        text = np.repeat(np.arange(len(sizes)), per_text)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+        warm = np.where(number > 0, self.order - 1, 0)
+        begin = number * segment - warm
+        length = np.minimum(sizes[text], (number + 1) * segment) - begin
+        by = np.argsort(-length, kind="stable")  # those still under way come first
+        at = ((np.cumsum(sizes) - sizes)[text] + begin)[by]
+        warm = warm[by]
+        under_way = np.searchsorted(-length[by], -np.arange(length.max(initial=0)), side="left")
+        state = np.where(warm > 0, 0, self.start)
+        score = np.zeros(len(by))
+        for step, n in enumerate(under_way.tolist()):
+            if step == self.order - 1:
+                score[warm > 0] = 0
+            self._step(state[:n], score[:n], word[at[:n] + step])
+        return np.bincount(text[by], weights=score, minlength=len(sizes))
+
+    def _step(self, state: np.ndarray, score: np.ndarray, word: np.ndarray) -> None:
+        seeking = np.arange(len(word))
+        while len(seeking):
+            key = state[seeking] * self.words + word[seeking]
+            place = np.searchsorted(self.arcs[:-1], key)
+            found = self.arcs[place] == key
+            score[seeking[found]] += self.weights[place[found]]
+            state[seeking[found]] = self.targets[place[found]]
+            seeking = seeking[~found]
+            empty = state[seeking] == 0
+            score[seeking[empty]] += self.unknown
+            seeking = seeking[~empty]
+            score[seeking] += self.failure_weights[state[seeking]]
+            state[seeking] = self.failure[state[seeking]]
+
+
+def counted(gram: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return np.append(count, 0)[gram]  # -1 takes the 0
+
+
+def build_automaton(chunk: Chunk, word: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]], tokens: int, words: int, prior: float) -> Automaton:
+    """States and arcs of the chunk's known n-grams.
+
+    ``word`` numbers the chunk's tokens. Each level has the number of the n-gram that ends at each
+    token (-1 where none does) and the training count of each number. In a state with context count t, the
+    arc of an n-gram seen c times weighs (c + prior * shorter) / (t + prior), with the weight of the
+    same word from the shorter context; the failure arc weighs prior / (t + prior). So the
+    probabilities of all words, one unknown one included, add up to 1.
+    """
+    order, n, numbers = len(levels), len(chunk.hashes), int(word.max(initial=0)) + 1
+    first = np.cumsum(chunk.sizes) - chunk.sizes
+    ends = chunk.hashes == np.uint64(END)
+    at = []  # a token at which each n-gram ends
+    for gram, count in levels:
+        one = np.zeros(len(count), np.int64)
+        some = np.flatnonzero(gram >= 0)
+        one[gram[some]] = some
+        at.append(one)
     # Every training text has one END and so one START.
-    texts = 0 if not len(first) else counts[0][chunk.hashes == np.uint64(END)][0]
-    context = np.empty(len(first))
-    for level in range(2, len(counts) + 1):
-        context[1:] = np.where(grams[level - 2][1][:-1], counts[level - 2][:-1], 0)
-        context[first] = texts if level == 2 else 0
-        seen = np.where(grams[level - 1][1], counts[level - 1], 0)
-        failure = prior / (context + prior)
-        # Without a known context the failure arc weighs 1: the state is the shorter context itself.
-        probability = np.where(seen > 0, (seen + prior * probability) / (context + prior), failure * probability)
-    return np.log10(probability), base, counts[0] > 0
+    texts = int(levels[0][1][levels[0][0][ends][0]]) if n else 0
+    start = 1 if order > 1 and texts else 0
+    failure, failure_weights = [np.zeros(1 + start, np.int64)], [np.zeros(1), np.full(start, np.log10(prior / (texts + prior)))]
+    states = 1 + start
+    # after[k]: the state of the k words that end at each token, -1 where they are no known context.
+    after = [np.zeros(n, np.int64)]
+    for (gram, count), one in zip(levels[:-1], at):
+        known = np.flatnonzero((count > 0) & ~ends[one])
+        state_of = np.full(len(count) + 1, -1)  # the last one stands for no n-gram
+        state_of[known] = states + np.arange(len(known))
+        failure.append(after[-1][one[known]])
+        failure_weights.append(np.log10(prior / (count[known] + prior)))
+        states += len(known)
+        after.append(state_of[gram])
+    names, weights, targets = [], [], []
+    weight = np.zeros(n)
+    for level, ((gram, count), one) in enumerate(zip(levels, at), 1):
+        seen = counted(gram, count)
+        if level == 1:
+            context = np.zeros(n, np.int64)
+            weight = (seen + 1) / (tokens + words + 1)
+        else:
+            context, total = np.full(n, -1), np.zeros(n)
+            context[1:] = after[level - 1][:-1]
+            total[1:] = counted(*levels[level - 2])[:-1]
+            context[first], total[first] = (start or -1, texts) if level == 2 else (-1, 0)
+            weight = np.where(context >= 0, (seen + prior * weight) / (total + prior), weight)
+        one = one[count > 0]
+        names.append(context[one] * numbers + word[one])
+        weights.append(np.log10(weight[one]))
+        targets.append(np.maximum(after[min(level, order - 1)][one], 0))
+    arcs = np.concatenate(names)
+    by = np.argsort(arcs)
+    end = np.array([-1])  # stands behind the last arc and equals none
+    return Automaton(
+        order,
+        numbers,
+        np.concatenate([arcs[by], end]),
+        np.concatenate(weights)[by],
+        np.concatenate(targets)[by],
+        np.concatenate(failure),
+        np.concatenate(failure_weights),
+        start,
+        float(np.log10(1 / (tokens + words + 1))),
+    )
 
 
 def _score(order: int, tokens: int, words: int, prior: float):
@@ -239,26 +344,29 @@ def _score(order: int, tokens: int, words: int, prior: float):
         for row in content.to_pylist():
             vocabulary = grown_keys(row["vocabulary"])
             sizes = np.array(row["sizes"], np.int64)
-            chunk = Chunk(row["chunk"], row["doc_ids"], row["held"], sizes, vocabulary[grown(row["tokens"], np.uint32)])
+            word = grown(row["tokens"], np.uint32).astype(np.int64)
+            chunk = Chunk(row["chunk"], row["doc_ids"], row["held"], sizes, vocabulary[word])
             own = sorted(answers.to_pylist(), key=lambda r: (r["level"], r["bucket"]))
-            counts = []
+            levels = []
             for level, (key, valid) in enumerate(chunk.grams(order), 1):
                 parts = [grown(r["counts"], np.uint64) for r in own if r["level"] == level]
                 known = np.concatenate(parts) if parts else np.empty(0, np.uint64)
                 distinct, at = np.unique(key[valid], return_inverse=True)
                 if len(distinct) != len(known):
                     raise ValueError("the documents changed while they were scored: give a stored table")
-                values = np.zeros(len(key))
-                values[valid] = known[at]
-                counts.append(values)
-            score, base, seen = traverse(chunk, counts, tokens, words, prior)
+                gram = np.full(len(key), -1)
+                gram[valid] = at
+                levels.append((gram, known.astype(np.int64)))
+            seen = levels[0][1][levels[0][0]]
+            base = np.log10((seen + 1) / (tokens + 1 * (words + 1)))
+            automaton = build_automaton(chunk, word, levels, tokens, words, prior)
             starts = np.cumsum(sizes) - sizes
             fields["doc_id"] += row["doc_ids"]
             fields["held_out"] += row["held"]
             fields["n_tokens"] += row["sizes"]
-            fields["n_known"] += np.add.reduceat(seen.astype(np.int64), starts).tolist()
+            fields["n_known"] += np.add.reduceat((seen > 0).astype(np.int64), starts).tolist()
             fields["base_score"] += np.add.reduceat(base, starts).tolist()
-            fields["score"] += np.add.reduceat(score, starts).tolist()
+            fields["score"] += automaton.walk(word, sizes).tolist()
         n = len(fields["doc_id"])
         return pa.table(
             {

@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +85,63 @@ def test_no_training_text(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     row = lm.score_documents(docs, docs.doc_id > 0).first()
     assert (row.n_known, row.train_tokens, row.score, row.base_score) == (0, 0, 0.0, 0.0)
+
+
+def walked(w, order, prior, known, total, texts):
+    """A walk over an explicit automaton: states are tuples of words, None is the end, 0 the start."""
+    count = lambda g: texts if g == (0,) else known[g]
+    distinct = sum(1 for g in known if len(g) == 1)
+
+    def arc(state, x):
+        if not state:
+            return (known[(x,)] + 1) / (total + distinct + 1)
+        return (known[(*state, x)] + prior * arc(state[1:], x)) / (count(state) + prior)
+
+    state, score, passed = (0,) if texts and order > 1 else (), 0.0, []
+    for x in w:
+        while state and not known[(*state, x)]:
+            score += math.log10(prior / (count(state) + prior))
+            state = state[1:]
+        score += math.log10(arc(state, x))
+        state = (*state, x)[-(order - 1) :] if order > 1 and known[(*state, x)] else ()
+        passed.append(len(state))
+    return score, passed
+
+
+@pytest.mark.parametrize(("order", "segment"), [(1, 5), (2, 1), (3, 4), (4, 7), (3, 1000)])
+def test_walk_carries_the_state_of_an_explicit_automaton(order, segment):
+    rng = random.Random(order * segment)
+    texts = [[rng.choice("abcde") for _ in range(rng.randint(0, 40))] for _ in range(20)]
+    held = [i % 4 == 0 for i in range(20)]
+    texts[0][:0] = ["never", "a"]
+    known = Counter()
+    for w, out in zip(texts, held):
+        if not out:
+            w = [0, *w, None]
+            for n in range(1, order + 1):
+                known.update(tuple(w[i : i + n]) for i in range(len(w) - n + 1) if w[i : i + n] != [0])
+    names = {x: i for i, x in enumerate(["a", "b", "c", "d", "e", "never"], 5)} | {None: lm.END}
+    hashes = np.array([names[x] for w in texts for x in [*w, None]], np.uint64)
+    sizes = np.array([len(w) + 1 for w in texts])
+    chunk = lm.Chunk(0, list(range(20)), held, sizes, hashes)
+    train, levels = np.repeat(~np.array(held), sizes), []
+    for key, valid in chunk.grams(order):
+        _, at = np.unique(key[valid], return_inverse=True)
+        gram = np.full(len(key), -1)
+        gram[valid] = at
+        levels.append((gram, np.bincount(at, weights=train[valid]).astype(np.int64)))
+    total, distinct = sum(n for g, n in known.items() if len(g) == 1), sum(len(g) == 1 for g in known)
+    _, word = np.unique(hashes, return_inverse=True)
+    automaton = lm.build_automaton(chunk, word, levels, total, distinct, 2.5)
+    want = [walked([*w, None], order, 2.5, known, total, 15)[0] for w in texts]
+    assert automaton.walk(word, sizes, segment).tolist() == pytest.approx(want)
+    assert (np.diff(automaton.arcs[:-1]) > 0).all()
+    contexts = {g for g in known if len(g) < order and g[-1] is not None}
+    assert len(automaton.failure) == 1 + len(contexts) + (order > 1)
+
+
+def test_texts_of_one_token(spark):
+    docs = spark.createDataFrame([(1, ""), (2, None), (8, "")], "doc_id bigint, text string")
+    rows = lm.score_documents(docs, docs.doc_id == 8, 4).collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in rows] == [(1, 1, 2)] * 3
+    assert len({r.score for r in rows}) == 1
