@@ -255,7 +255,7 @@ class Automaton:
     def _step(self, state: np.ndarray, score: np.ndarray, word: np.ndarray) -> None:
         seeking = np.arange(len(word))
         while len(seeking):
-            key = state[seeking] * self.words + word[seeking]
+            key = state[seeking].astype(np.int64) * self.words + word[seeking]
             place = np.searchsorted(self.arcs[:-1], key)
             found = self.arcs[place] == key
             score[seeking[found]] += self.weights[place[found]]
@@ -268,10 +268,6 @@ class Automaton:
             state[seeking] = self.failure[state[seeking]]
 
 
-def counted(gram: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return np.append(count, 0)[gram]  # -1 takes the 0
-
-
 def build_automaton(chunk: Chunk, word: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]], tokens: int, words: int, prior: float) -> Automaton:
     """States and arcs of the chunk's known n-grams.
 
@@ -281,56 +277,56 @@ def build_automaton(chunk: Chunk, word: np.ndarray, levels: list[tuple[np.ndarra
     same word from the shorter context; the failure arc weighs prior / (t + prior). So the
     probabilities of all words, one unknown one included, add up to 1.
     """
-    order, n, numbers = len(levels), len(chunk.hashes), int(word.max(initial=0)) + 1
-    first = np.cumsum(chunk.sizes) - chunk.sizes
+    order, numbers = len(levels), int(word.max(initial=0)) + 1
+    begins = np.zeros(len(word), bool)
+    begins[np.cumsum(chunk.sizes) - chunk.sizes] = True
     ends = chunk.hashes == np.uint64(END)
-    at = []  # a token at which each n-gram ends
-    for gram, count in levels:
-        one = np.zeros(len(count), np.int64)
-        some = np.flatnonzero(gram >= 0)
-        one[gram[some]] = some
-        at.append(one)
     # Every training text has one END and so one START.
-    texts = int(levels[0][1][levels[0][0][ends][0]]) if n else 0
+    texts = int(levels[0][1][levels[0][0][ends][0]]) if len(word) else 0
     start = 1 if order > 1 and texts else 0
-    failure, failure_weights = [np.zeros(1 + start, np.int64)], [np.zeros(1), np.full(start, np.log10(prior / (texts + prior)))]
+    failure, failure_weights = [np.zeros(1 + start, np.int32)], [np.zeros(1), np.full(start, np.log10(prior / (texts + prior)))]
     states = 1 + start
-    # after[k]: the state of the k words that end at each token, -1 where they are no known context.
-    after = [np.zeros(n, np.int64)]
-    for (gram, count), one in zip(levels[:-1], at):
-        known = np.flatnonzero((count > 0) & ~ends[one])
-        state_of = np.full(len(count) + 1, -1)  # the last one stands for no n-gram
-        state_of[known] = states + np.arange(len(known))
-        failure.append(after[-1][one[known]])
-        failure_weights.append(np.log10(prior / (count[known] + prior)))
-        states += len(known)
-        after.append(state_of[gram])
-    names, weights, targets = [], [], []
-    weight = np.zeros(n)
-    for level, ((gram, count), one) in enumerate(zip(levels, at), 1):
-        seen = counted(gram, count)
+    size = sum(int((count > 0).sum()) for _, count in levels)
+    arcs, weights, targets, filled = np.empty(size + 1, np.int64), np.empty(size), np.empty(size, np.int32), 0
+    # The state of the level's n-gram at each token, -1 where that is no known context.
+    before = after = np.zeros(len(word), np.int32)
+    for level, (gram, count) in enumerate(levels, 1):
+        known = np.flatnonzero(count > 0)
+        at = np.zeros(len(count), np.int32)  # a token at which each n-gram ends
+        some = np.flatnonzero(gram >= 0)
+        at[gram[some]] = some
+        at = at[known]
+        if level < order:
+            context = known[~ends[at]]
+            state_of = np.full(len(count) + 1, -1, np.int32)  # the last one stands for no n-gram
+            state_of[context] = states + np.arange(len(context))
+            failure.append(after[at[~ends[at]]])
+            failure_weights.append(np.log10(prior / (count[context] + prior)))
+            states += len(context)
+            before, after = after, state_of[gram]
+        else:
+            before = after
         if level == 1:
-            context = np.zeros(n, np.int64)
-            weight = (seen + 1) / (tokens + words + 1)
+            own, weight = np.zeros(len(at), np.int64), (count[known] + 1) / (tokens + words + 1)
         else:
-            context, total = np.full(n, -1), np.zeros(n)
-            context[1:] = after[level - 1][:-1]
-            total[1:] = counted(*levels[level - 2])[:-1]
-            context[first], total[first] = (start or -1, texts) if level == 2 else (-1, 0)
-            weight = np.where(context >= 0, (seen + prior * weight) / (total + prior), weight)
-        one = one[count > 0]
-        names.append(context[one] * numbers + word[one])
-        weights.append(np.log10(weight[one]))
-        targets.append(np.maximum(after[min(level, order - 1)][one], 0))
-    arcs = np.concatenate(names)
-    by = np.argsort(arcs)
-    end = np.array([-1])  # stands behind the last arc and equals none
+            shorter, shorter_count = levels[level - 2]
+            own, total = before[at - 1].astype(np.int64), shorter_count[shorter[at - 1]]
+            if level == 2:
+                own, total = np.where(begins[at], start, own), np.where(begins[at], texts, total)
+            weight = (count[known] + prior * weight_of[shorter[at]]) / (total + prior)
+        weight_of = np.zeros(len(count))
+        weight_of[known] = weight
+        part = slice(filled, filled + len(at))
+        arcs[part], weights[part], targets[part] = own * numbers + word[at], np.log10(weight), np.maximum(after[at], 0)
+        filled += len(at)
+    by = np.argsort(arcs[:-1])
+    arcs[:-1], arcs[-1] = arcs[:-1][by], -1  # what stands behind the last arc equals none
     return Automaton(
         order,
         numbers,
-        np.concatenate([arcs[by], end]),
-        np.concatenate(weights)[by],
-        np.concatenate(targets)[by],
+        arcs,
+        weights[by],
+        targets[by],
         np.concatenate(failure),
         np.concatenate(failure_weights),
         start,
@@ -344,18 +340,20 @@ def _score(order: int, tokens: int, words: int, prior: float):
         for row in content.to_pylist():
             vocabulary = grown_keys(row["vocabulary"])
             sizes = np.array(row["sizes"], np.int64)
-            word = grown(row["tokens"], np.uint32).astype(np.int64)
+            word = grown(row["tokens"], np.uint32).view(np.int32)
             chunk = Chunk(row["chunk"], row["doc_ids"], row["held"], sizes, vocabulary[word])
             own = sorted(answers.to_pylist(), key=lambda r: (r["level"], r["bucket"]))
-            levels = []
-            for level, (key, valid) in enumerate(chunk.grams(order), 1):
+            levels, grams = [], chunk.grams(order)
+            for level in range(1, order + 1):
+                key, valid = grams.pop(0)
                 parts = [grown(r["counts"], np.uint64) for r in own if r["level"] == level]
                 known = np.concatenate(parts) if parts else np.empty(0, np.uint64)
                 distinct, at = np.unique(key[valid], return_inverse=True)
                 if len(distinct) != len(known):
                     raise ValueError("the documents changed while they were scored: give a stored table")
-                gram = np.full(len(key), -1)
+                gram = np.full(len(key), -1, np.int32)
                 gram[valid] = at
+                del key, valid, distinct, at
                 levels.append((gram, known.astype(np.int64)))
             seen = levels[0][1][levels[0][0]]
             base = np.log10((seen + 1) / (tokens + 1 * (words + 1)))
