@@ -25,18 +25,36 @@ def _rest(url: str) -> str:
     return f"coalesce(regexp_extract({url}, '(?s)^.*?://(.*)$', 1), '')"
 
 
+def _joined(base: str, target: str) -> str:
+    site = f"regexp_extract({base}, '(?s)^([^:/?#]+://[^/?#]*)', 1)"
+    plain = f"regexp_extract({base}, '(?s)^([^?#]*)', 1)"
+    folder = f"coalesce(nullif(regexp_extract({plain}, '(?s)^[^:/?#]+://[^/]*(/.*/|/)', 1), ''), '/')"
+    return f"""CASE WHEN regexp_matches({target}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {target}
+    WHEN regexp_matches({target}, '^[A-Za-z][A-Za-z0-9+.-]*:|^#|^$') OR {site} = '' THEN NULL
+    WHEN starts_with({target}, '//') THEN regexp_extract({base}, '(?s)^([^:/?#]+:)//', 1) || {target}
+    WHEN starts_with({target}, '/') THEN {site} || {target} WHEN starts_with({target}, '?') THEN {plain} || {target}
+    ELSE {site} || {folder} || {target} END"""
+
+
 OP2 = f"""
 WITH RECURSIVE tags AS (
-  SELECT url AS u, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages
+  SELECT url AS u, regexp_replace(regexp_extract(html, '(?is)<base\\b[^>]*?[\\s"'']href\\s*=\\s*["'']?([^"''\\s>]+)', 1), '(?i)&amp;', '&', 'g') AS own_base,
+    unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages
   WHERE regexp_matches(html, '(?i)canonical|http-equiv')),
-raw AS (SELECT u, CASE
-    WHEN regexp_matches(tag, '(?is)^<link\\b.*\\brel\\s*=\\s*["'']?canonical\\b') THEN regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)
+raw AS (SELECT u, own_base, CASE
+    WHEN regexp_matches(tag, '(?is)^<link\\b') AND list_contains(string_split(translate(lower(
+        regexp_extract(tag, '(?is)[\\s"'']rel\\s*=\\s*("[^"]*"|''[^'']*''|[^"''\\s/>]+)', 1)), chr(9) || chr(10) || chr(13) || chr(34) || chr(39), '     '), ' '), 'canonical')
+      THEN regexp_extract(tag, '(?is)[\\s"'']href\\s*=\\s*["'']?([^"''\\s>]+)', 1)
     WHEN regexp_matches(tag, '(?is)^<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b') THEN regexp_extract(tag, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1)
     ELSE '' END AS t FROM tags),
-targets AS (SELECT u, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
-    WHEN starts_with(t, '//') THEN regexp_extract(u, '(?s)^([^:/?#]+:)//', 1) || t
-    WHEN starts_with(t, '/') THEN regexp_extract(u, '(?s)^([^:/?#]+://[^/?#]*)', 1) || t END AS target
-  FROM (SELECT u, regexp_replace(t, '(?i)&amp;', '&', 'g') AS t FROM raw WHERE t <> '')),
+based AS (SELECT u, coalesce({_joined("u", "own_base")}, u) AS base, regexp_replace(t, '(?i)&amp;', '&', 'g') AS t FROM raw WHERE t <> ''),
+dotted AS (SELECT DISTINCT u, regexp_extract(j, '(?s)^([^:/?#]+://[^/?#]*)', 1) AS site,
+    regexp_extract(j, '(?s)^[^:/?#]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(j, '(?s)^[^?#]*(.*)$', 1) AS tail
+  FROM (SELECT u, {_joined("base", "t")} AS j FROM based) WHERE j IS NOT NULL),
+shorter(u, site, path, tail) AS (SELECT * FROM dotted UNION ALL SELECT u, site, CASE WHEN regexp_matches(path, '/\\.(/|$)')
+      THEN regexp_replace(path, '/\\.(/|$)', '/') ELSE regexp_replace(path, '^/\\.\\.(/|$)|/[^/]*/\\.\\.(/|$)', '/') END, tail
+  FROM shorter WHERE regexp_matches(path, '/\\.\\.?(/|$)')),
+targets AS (SELECT u, site || path || tail AS target FROM shorter WHERE NOT regexp_matches(path, '/\\.\\.?(/|$)')),
 links AS (SELECT DISTINCT {_node("u")} AS a, {_node("target")} AS b FROM targets WHERE target IS NOT NULL AND u IS NOT NULL),
 edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(a, b) AS (SELECT a, a FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),

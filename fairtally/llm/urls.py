@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from fairtally.llm.common import LOWER, UPPER, ascii_lower, connected_components, with_computed
 
 
+SITE = r"(?s)^([^:/?#]+://[^/?#]*)"
+
+
 @dataclass(frozen=True)
 class UrlRule:
     """``verdict`` (allow or block) for a host with its subdomains, below a path."""
@@ -56,26 +59,62 @@ def url_node(url: Column) -> Column:
     return F.concat(F.translate(start, UPPER, LOWER), F.substr(plain, F.length(start) + 1))
 
 
+def without_dots(url: Column) -> Column:
+    """The url with ``.`` and ``..`` taken out of its path."""
+    site = F.regexp_extract(url, SITE, 1)
+    path = F.regexp_extract(url, r"(?s)^[^:/?#]+://[^/?#]*([^?#]*)", 1)
+    parts = F.split(path, "/")
+    folded = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        F.array(F.lit("")),
+        lambda done, x: F.when(x == ".", done)
+        .when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.array_append(done, x)),
+    )
+    closed = F.when(path.rlike(r"/\.\.?$"), F.array_append(folded, F.lit(""))).otherwise(folded)
+    tail = F.substr(url, F.length(site) + F.length(path) + 1)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(site, F.array_join(closed, "/"), tail)).otherwise(url)
+
+
+def joined(base: Column, target: Column) -> Column:
+    """``target`` as seen from ``base``, dot segments not yet taken out; null if it names no other page."""
+    site = F.regexp_extract(base, SITE, 1)
+    plain = F.regexp_extract(base, r"(?s)^([^?#]*)", 1)
+    folder = F.regexp_extract(plain, r"(?s)^[^:/?#]+://[^/]*(/.*/|/)", 1)
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:|^#|^$") | (site == ""), F.lit(None))
+        .when(target.startswith("//"), F.concat(F.regexp_extract(base, r"(?s)^([^:/?#]+:)//", 1), target))
+        .when(target.startswith("/"), F.concat(site, target))
+        .when(target.startswith("?"), F.concat(plain, target))
+        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), target))
+    )
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges (a, b) from each page's url to the targets of its canonical links and refreshes.
 
-    Targets are absolute, or start with ``//`` or ``/``; other relative ones are not edges.
+    Relative targets are joined with the page's ``base`` element, else with its url; a page whose url has
+    no ``://`` has absolute targets only. Targets of other schemes and bare fragments are no edges.
     """
+    own_base = F.regexp_extract(html, r"""(?is)<base\b[^>]*?[\s"']href\s*=\s*["']?([^"'\s>]+)""", 1)
     tag = pages.where(F.col(html).rlike(r"(?i)canonical|http-equiv")).select(
-        F.col(url).alias("u"), F.explode(F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))).alias("tag")
+        F.col(url).alias("u"),
+        own_base.alias("own_base"),
+        F.explode(F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))).alias("tag"),
+    )
+    canonical = F.col("tag").rlike(
+        r"""(?is)^<link\b.*[\s"']rel\s*=\s*(?:"(?:[^"]*\s)?canonical[\s"]|'(?:[^']*\s)?canonical[\s']|canonical[\s/>])"""
     )
-    canonical = F.col("tag").rlike(r"""(?is)^<link\b.*\brel\s*=\s*["']?canonical\b""")
     refresh = F.col("tag").rlike(r"""(?is)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b""")
-    href = F.regexp_extract("tag", r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
+    href = F.regexp_extract("tag", r"""(?is)[\s"']href\s*=\s*["']?([^"'\s>]+)""", 1)
     moved = F.regexp_extract("tag", r"""(?is)\burl\s*=\s*["']?([^"'\s>;]+)""", 1)
     raw = with_computed(tag, t=F.when(canonical, href).when(refresh, moved).otherwise("")).where("t != ''")
-    scheme = F.regexp_extract("u", r"(?s)^([^:/?#]+:)//", 1)
-    site = F.regexp_extract("u", r"(?s)^([^:/?#]+://[^/?#]*)", 1)
-    t = F.regexp_replace("t", "(?i)&amp;", "&")
-    target = F.when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), t).when(t.startswith("//"), F.concat(scheme, t)).when(
-        t.startswith("/"), F.concat(site, t)
-    )
-    return with_computed(with_computed(raw, target=target), a=url_node(F.col("u")), b=url_node(F.col("target"))).select("a", "b").dropna()
+    plain = lambda c: F.regexp_replace(c, "(?i)&amp;", "&")
+    based = with_computed(raw, base=F.coalesce(joined(F.col("u"), plain("own_base")), F.col("u")))
+    found = with_computed(based, dotted=joined(F.col("base"), plain("t")))
+    found = with_computed(found, target=without_dots(F.col("dotted")))
+    return with_computed(found, a=url_node(F.col("u")), b=url_node(F.col("target"))).select("a", "b").dropna()
 
 
 def filter_urls(
