@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairtally.llm.common import connected_components, stored, with_computed
@@ -129,7 +129,7 @@ SHARDED = "rep bigint, v array<double>, weight bigint, grp string, home boolean"
 def overlapping_shards(vectors: DataFrame, width: Width, most: int = MAX_SHARD) -> DataFrame:
     """Vectors (rep, v, weight, grp) in shards; the one with ``home`` asks for the vector's links.
 
-    A group above ``most`` is split by centers that are fitted on a bounded sample of it, and every
+    A group above ``most`` is split by centers that are fitted on about SPLIT_SAMPLE vectors of it, and every
     vector goes to its nearest center and to the next ones (``overlap``), until all shards are small.
     What a split leaves with more than half of its group, or SPLIT_LEVELS splits leave above
     ``most``, no center tells apart: it is dealt into blocks ``group#i``, and a search visits all of them.
@@ -149,9 +149,10 @@ def overlapping_shards(vectors: DataFrame, width: Width, most: int = MAX_SHARD)
         big = sized.where(F.col("n") > most)
         if level and big.isEmpty():
             break
-        ranked = big.withColumn("r", F.row_number().over(Window.partitionBy("grp").orderBy(F.xxhash64("rep"), "rep")))
+        luck = F.xxhash64("rep") / 2.0**64 + 0.5
         ways = F.least(F.lit(SPLIT_WAYS), F.ceil(F.col("n") * 3 / most)).cast("int")
-        sample = ranked.where(F.col("r") <= SPLIT_SAMPLE).select("grp", "v", ways.alias("ways"))
+        # About SPLIT_SAMPLE vectors of a group, told by each one's own hash: nothing is gathered to be ranked.
+        sample = big.where(luck * F.col("n") <= SPLIT_SAMPLE).select("grp", "v", ways.alias("ways"))
         centers = sample.groupBy("grp").applyInArrow(_split, "grp string, centers array<double>")
         salts = sizes.where(F.col("n") > most).select("grp", F.explode(F.sequence(F.lit(0), (F.col("n") / 20_000).cast("int"))).alias("salt"))
         salted = big.withColumn("salt", F.pmod(F.xxhash64("rep"), (F.col("n") / 20_000).cast("int") + 1).cast("int"))
