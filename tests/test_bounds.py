@@ -92,3 +92,40 @@ def test_center_table_refuses(spark):
         center_table.nearest_in_table(df, one, 2).collect()
     with pytest.raises(ValueError, match="no centers"):
         center_table.nearest_in_table(df, one.limit(0), 2)
+
+
+@pytest.mark.parametrize("d, grid", [(2, True), (2, False), (3, False), (40, False)])
+def test_points_skip_far_blocks_of_centers(d, grid, monkeypatch):
+    rng = np.random.default_rng(d)
+    x, centers = rng.uniform(0, 50, (d, 4000)), rng.uniform(0, 50, (3000, d))
+    if grid:
+        x, centers = np.round(x), np.round(centers)  # ties and equal centers
+    ids, tiles = rng.permutation(3000) * 3, center_table._tiles(centers.T, 64)
+    assert sorted(np.concatenate(tiles)) == list(range(3000)) and max(map(len, tiles)) <= 64
+    low, high = (np.stack([f(centers[t], axis=0) for t in tiles], axis=1) for f in (np.min, np.max))
+    pairs, nearer = [], center_table._nearer
+    monkeypatch.setattr(center_table, "_nearer", lambda x, ids, *rest: (pairs.append(x.shape[1] * len(ids)), nearer(x, ids, *rest)))
+    index, dist = center_table._search(x, low, high, lambda wanted: [(i, ids[tiles[i]], centers[tiles[i]]) for i in np.flatnonzero(wanted)])
+    by = np.argsort(ids)
+    want, want_dist = nearest_in_batch(x, centers[by])
+    assert (index == ids[by][want]).all() and (dist == want_dist).all()
+    assert d > 3 or sum(pairs) < 4000 * 3000 / 4
+
+
+def test_center_blocks_that_several_tasks_write(spark, monkeypatch):
+    monkeypatch.setattr(center_table, "PART_VALUES", 100)
+    rng = np.random.default_rng(8)
+    x, centers = rng.normal(0, 5, (500, 2)), np.round(rng.normal(0, 5, (400, 2)), 1)
+    df = spark.createDataFrame([(p.tolist(),) for p in x], "features array<double>")
+    table = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cluster_id int, center array<double>")
+    got = {tuple(r.features): (r.cluster_id, r.dist) for r in center_table.nearest_in_table(df, table, 2, block=7).collect()}
+    want = nearest_in_batch(np.ascontiguousarray(x.T), centers)
+    assert got == {tuple(p): (i, v) for p, i, v in zip(x.tolist(), *map(list, want))}
+
+
+def test_malformed_centers_are_refused(spark):
+    df = spark.createDataFrame([([1.0, 2.0],)], "features array<double>")
+    for bad in ((1, [1.0]), (1, [1.0, None]), (1, [1.0, float("nan")]), (1, None), (None, [0.0, 0.0])):
+        table = spark.createDataFrame([(0, [1.0, 2.0]), bad], "cluster_id int, center array<double>")
+        with pytest.raises(Exception, match="wrong dimension|without an id"):
+            center_table.nearest_in_table(df, table, 2).collect()
