@@ -11,11 +11,13 @@ that its texts can traverse. The same question carries the chunk's own training
 from __future__ import annotations
 
 import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext, cloudpickle
@@ -34,6 +36,8 @@ BUCKET_KEYS = 3_000_000
 CACHE_WORDS = 200_000
 #: Tokens of a long text that are walked one after the other.
 SEGMENT = 1024
+#: Arcs that are weighed at a time.
+ARCS = 1 << 18
 
 START, END = 0x243F6A8885A308D3, 0x13198A2E03707344
 
@@ -54,9 +58,12 @@ class Words(dict):
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def shrunk(values: np.ndarray) -> bytes:
@@ -79,6 +86,27 @@ def grown_keys(data: bytes) -> np.ndarray:
     return np.cumsum(grown(data, np.uint64), dtype=np.uint64)
 
 
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, the order that sorts all, and where a new key begins in that order."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first], order, first
+
+
+def added(values: np.ndarray, order: np.ndarray, first: np.ndarray, kind: type) -> np.ndarray:
+    """The sum of the values of each distinct key."""
+    return np.add.reduceat(values[order], np.flatnonzero(first), dtype=kind) if len(order) else np.empty(0, kind)
+
+
+def numbers(order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The number of each key among the distinct ones."""
+    found = np.empty(len(order), np.int32)
+    found[order] = np.cumsum(first, dtype=np.int32) - np.int32(1)
+    return found
+
+
 @dataclass
 class Chunk:
     """Whole documents one after the other: hashes of their words, each text closed by END."""
@@ -89,33 +117,35 @@ class Chunk:
     sizes: np.ndarray
     hashes: np.ndarray
 
-    def grams(self, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    def grams(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per level 1 to ``order``: the n-gram that ends at each token, and where it is one.
 
         A text starts behind START, which is part of contexts but never a token.
         """
-        at = np.arange(len(self.hashes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
-        first = at == 0
+        at = np.arange(len(self.hashes), dtype=np.int32) - np.repeat((np.cumsum(self.sizes) - self.sizes).astype(np.int32), self.sizes)
         key = mixed(self.hashes)
-        found = [(key, np.ones(len(key), bool))]
+        yield key, np.ones(len(key), bool)
         for level in range(2, order + 1):
             before = np.empty_like(key)
             before[1:] = key[:-1]
+            del key
             if level == 2:
-                before[first] = mixed(np.array([START], np.uint64))[0]
-            key = mixed(before * np.uint64(0x9E3779B97F4A7C15) + self.hashes + np.uint64(level))
-            found.append((key, at >= level - 2))
-        return found
+                before[at == 0] = mixed(np.array([START], np.uint64))[0]
+            before *= np.uint64(0x9E3779B97F4A7C15)
+            before += self.hashes
+            before += np.uint64(level)
+            key = mixed(before)
+            del before
+            yield key, at >= level - 2
 
 
 def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Chunk]:
     """Chunks of about ``most`` tokens, in the order of the task's rows."""
     words, task, count = Words(), TaskContext.get().partitionId(), 0
-    ids, held, sizes, hashes, total = [], [], [], [], 0
+    ids, held, sizes, hashes, total = [], [], [], array("Q"), 0
 
     def done() -> Chunk:
-        flat = np.fromiter(hashes, np.uint64, len(hashes))
-        return Chunk((task << 24) + count, ids, held, np.array(sizes, np.int64), flat)
+        return Chunk((task << 24) + count, ids, held, np.array(sizes, np.int64), np.frombuffer(hashes, np.uint64))
 
     for batch in batches:
         for doc_id, out, text in zip(batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist(), batch.column("text")):
@@ -128,7 +158,7 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Chunk]:
             total += len(own) + 1
             if total >= most:
                 yield done()
-                ids, held, sizes, hashes, total, count = [], [], [], [], 0, count + 1
+                ids, held, sizes, hashes, total, count = [], [], [], array("Q"), 0, count + 1
     if ids:
         yield done()
 
@@ -138,8 +168,10 @@ def _ask(order: int, buckets: int, most: int):
         for chunk in chunks(batches, most):
             train = np.repeat(~np.array(chunk.held, bool), chunk.sizes)
             for level, (key, valid) in enumerate(chunk.grams(order), 1):
-                keys, at = np.unique(key[valid], return_inverse=True)
-                counts = np.bincount(at, weights=train[valid], minlength=len(keys)).astype(np.uint32)
+                keys, sorting, first = runs(key[valid])
+                del key
+                counts = added(train[valid], sorting, first, np.uint32)
+                del valid, sorting, first
                 # Buckets are ranges of the hash, so a bucket's keys are neighbours.
                 bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(keys) else []
@@ -168,11 +200,15 @@ def _answer(asked: pa.Table) -> pa.Table:
     found = []
     for level in sorted({r["level"] for r in rows}):
         own = sorted((r for r in rows if r["level"] == level), key=lambda r: r["chunk"])
-        keys = [grown_keys(r["keys"]) for r in own]
-        counts = np.concatenate([grown(r["counts"], np.uint32) for r in own])
-        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.uint64)
-        edges = np.cumsum([0] + [len(k) for k in keys])
+        parts = [grown_keys(r["keys"]) for r in own]
+        edges = np.cumsum([0] + [len(k) for k in parts])
+        keys = np.concatenate(parts)
+        del parts
+        _, sorting, first = runs(keys)
+        del keys
+        totals = added(np.concatenate([grown(r["counts"], np.uint32) for r in own]), sorting, first, np.uint64)
+        at = numbers(sorting, first)
+        del sorting, first
         for i, r in enumerate(own):
             # The size of the training text is told once per bucket, with the first chunk.
             told = level == 1 and i == 0
@@ -193,7 +229,9 @@ def _answer(asked: pa.Table) -> pa.Table:
 def _content(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, most):
-            vocabulary, tokens = np.unique(chunk.hashes, return_inverse=True)
+            vocabulary, order, first = runs(chunk.hashes)
+            tokens = numbers(order, first)
+            del order, first
             yield pa.record_batch(
                 {
                     "chunk": pa.array([chunk.number], pa.int64()),
@@ -201,7 +239,7 @@ def _content(most: int):
                     "held": pa.array([chunk.held], pa.list_(pa.bool_())),
                     "sizes": pa.array([chunk.sizes], pa.list_(pa.int32())),
                     "vocabulary": pa.array([shrunk_keys(vocabulary)], pa.binary()),
-                    "tokens": pa.array([shrunk(tokens.astype(np.uint32))], pa.binary()),
+                    "tokens": pa.array([shrunk(tokens.view(np.uint32))], pa.binary()),
                 }
             )
 
@@ -277,56 +315,69 @@ def build_automaton(chunk: Chunk, word: np.ndarray, levels: list[tuple[np.ndarra
     same word from the shorter context; the failure arc weighs prior / (t + prior). So the
     probabilities of all words, one unknown one included, add up to 1.
     """
-    order, numbers = len(levels), int(word.max(initial=0)) + 1
+    order, width = len(levels), int(word.max(initial=0)) + 1
     begins = np.zeros(len(word), bool)
     begins[np.cumsum(chunk.sizes) - chunk.sizes] = True
     ends = chunk.hashes == np.uint64(END)
     # Every training text has one END and so one START.
-    texts = int(levels[0][1][levels[0][0][ends][0]]) if len(word) else 0
+    texts = int(levels[0][1][levels[0][0][np.flatnonzero(ends)[0]]]) if len(word) else 0
     start = 1 if order > 1 and texts else 0
     failure, failure_weights = [np.zeros(1 + start, np.int32)], [np.zeros(1), np.full(start, np.log10(prior / (texts + prior)))]
     states = 1 + start
-    size = sum(int((count > 0).sum()) for _, count in levels)
+    size = sum(int(np.count_nonzero(count > 0)) for _, count in levels)
     arcs, weights, targets, filled = np.empty(size + 1, np.int64), np.empty(size), np.empty(size, np.int32), 0
     # The state of the level's n-gram at each token, -1 where that is no known context.
     before = after = np.zeros(len(word), np.int32)
+    weight_of = None
     for level, (gram, count) in enumerate(levels, 1):
-        known = np.flatnonzero(count > 0)
         at = np.zeros(len(count), np.int32)  # a token at which each n-gram ends
         some = np.flatnonzero(gram >= 0)
         at[gram[some]] = some
+        del some
+        known = np.flatnonzero(count > 0).astype(np.int32)
         at = at[known]
         if level < order:
-            context = known[~ends[at]]
+            inner = ~ends[at]
+            context = known[inner]
             state_of = np.full(len(count) + 1, -1, np.int32)  # the last one stands for no n-gram
             state_of[context] = states + np.arange(len(context))
-            failure.append(after[at[~ends[at]]])
+            failure.append(after[at[inner]])
             failure_weights.append(np.log10(prior / (count[context] + prior)))
             states += len(context)
             before, after = after, state_of[gram]
+            del inner, context, state_of
         else:
             before = after
-        if level == 1:
-            own, weight = np.zeros(len(at), np.int64), (count[known] + 1) / (tokens + words + 1)
-        else:
-            shorter, shorter_count = levels[level - 2]
-            own, total = before[at - 1].astype(np.int64), shorter_count[shorter[at - 1]]
-            if level == 2:
-                own, total = np.where(begins[at], start, own), np.where(begins[at], texts, total)
-            weight = (count[known] + prior * weight_of[shorter[at]]) / (total + prior)
-        weight_of = np.zeros(len(count))
-        weight_of[known] = weight
+        shorter_weight, weight_of = weight_of, np.zeros(len(count)) if level < order else None
+        for a in range(0, len(known), ARCS):
+            own_known, own_at = known[a : a + ARCS], at[a : a + ARCS]
+            if level == 1:
+                own, weight = np.zeros(len(own_at), np.int64), (count[own_known] + 1) / (tokens + words + 1)
+            else:
+                shorter, shorter_count = levels[level - 2]
+                own, total = before[own_at - 1].astype(np.int64), shorter_count[shorter[own_at - 1]]
+                if level == 2:
+                    own, total = np.where(begins[own_at], start, own), np.where(begins[own_at], texts, total)
+                weight = (count[own_known] + prior * shorter_weight[shorter[own_at]]) / (total + prior)
+            if level < order:
+                weight_of[own_known] = weight
+            part = slice(filled + a, filled + a + len(own_at))
+            arcs[part], weights[part], targets[part] = own * width + word[own_at], np.log10(weight), np.maximum(after[own_at], 0)
+        # Contexts of a level are numbered behind all shorter ones, so each level's arcs are sorted by themselves.
         part = slice(filled, filled + len(at))
-        arcs[part], weights[part], targets[part] = own * numbers + word[at], np.log10(weight), np.maximum(after[at], 0)
         filled += len(at)
-    by = np.argsort(arcs[:-1])
-    arcs[:-1], arcs[-1] = arcs[:-1][by], -1  # what stands behind the last arc equals none
+        del known, at
+        by = np.argsort(arcs[part])
+        for values in (arcs, weights, targets):
+            values[part] = values[part][by]
+        del by
+    arcs[-1] = -1  # what stands behind the last arc equals none
     return Automaton(
         order,
-        numbers,
+        width,
         arcs,
-        weights[by],
-        targets[by],
+        weights,
+        targets,
         np.concatenate(failure),
         np.concatenate(failure_weights),
         start,
@@ -342,28 +393,30 @@ def _score(order: int, tokens: int, words: int, prior: float):
             sizes = np.array(row["sizes"], np.int64)
             word = grown(row["tokens"], np.uint32).view(np.int32)
             chunk = Chunk(row["chunk"], row["doc_ids"], row["held"], sizes, vocabulary[word])
-            own = sorted(answers.to_pylist(), key=lambda r: (r["level"], r["bucket"]))
-            levels, grams = [], chunk.grams(order)
-            for level in range(1, order + 1):
-                key, valid = grams.pop(0)
-                parts = [grown(r["counts"], np.uint64) for r in own if r["level"] == level]
+            levels = []
+            for level, (key, valid) in enumerate(chunk.grams(order), 1):
+                own = answers.filter(pc.equal(answers.column("level"), level)).sort_by("bucket").column("counts")
+                parts = [grown(counts.as_py(), np.uint64) for counts in own]
                 known = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-                distinct, at = np.unique(key[valid], return_inverse=True)
+                distinct, sorting, first = runs(key[valid])
                 if len(distinct) != len(known):
                     raise ValueError("the documents changed while they were scored: give a stored table")
-                gram = np.full(len(key), -1, np.int32)
-                gram[valid] = at
-                del key, valid, distinct, at
-                levels.append((gram, known.astype(np.int64)))
-            seen = levels[0][1][levels[0][0]]
-            base = np.log10((seen + 1) / (tokens + 1 * (words + 1)))
-            automaton = build_automaton(chunk, word, levels, tokens, words, prior)
+                del key, parts, distinct
+                gram = np.full(len(valid), -1, np.int32)
+                gram[valid] = numbers(sorting, first)
+                del valid, sorting, first
+                levels.append((gram, known.view(np.int64)))
             starts = np.cumsum(sizes) - sizes
+            gram, seen = levels[0]
+            base = np.log10((seen + 1) / (tokens + 1 * (words + 1)))
             fields["doc_id"] += row["doc_ids"]
             fields["held_out"] += row["held"]
             fields["n_tokens"] += row["sizes"]
-            fields["n_known"] += np.add.reduceat((seen > 0).astype(np.int64), starts).tolist()
-            fields["base_score"] += np.add.reduceat(base, starts).tolist()
+            fields["n_known"] += np.add.reduceat((seen > 0)[gram], starts, dtype=np.int64).tolist()
+            fields["base_score"] += np.add.reduceat(base[gram], starts).tolist()
+            del gram, seen, base
+            automaton = build_automaton(chunk, word, levels, tokens, words, prior)
+            del levels
             fields["score"] += automaton.walk(word, sizes).tolist()
         n = len(fields["doc_id"])
         return pa.table(

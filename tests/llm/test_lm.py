@@ -1,9 +1,12 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +148,28 @@ def test_texts_of_one_token(spark):
     rows = lm.score_documents(docs, docs.doc_id == 8, 4).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in rows] == [(1, 1, 2)] * 3
     assert len({r.score for r in rows}) == 1
+
+
+def test_tasks_hold_few_bytes_per_token(monkeypatch):
+    monkeypatch.setattr(lm.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    rng, n = np.random.default_rng(3), 400_000
+    texts = [" ".join(f"w{x}" for x in part) for part in np.array_split((rng.pareto(0.8, n) * 50).astype(np.int64) % 90_000, 700)]
+    docs = pa.record_batch({"doc_id": pa.array(range(700)), "held_out": pa.array([i % 7 == 2 for i in range(700)]), "text": pa.array(texts)})
+
+    def peak(step):
+        tracemalloc.start()
+        try:
+            found = step()
+            return found, tracemalloc.get_traced_memory()[1] / n
+        finally:
+            tracemalloc.stop()
+
+    asked, in_ask = peak(lambda: pa.Table.from_batches(lm._ask(3, 2, 10**7)([docs])))
+    bucket = asked.column("bucket").to_numpy()
+    answers = [peak(lambda: lm._answer(asked.filter(pa.array(bucket == b)))) for b in range(2)]
+    answered = pa.concat_tables([a for a, _ in answers])
+    content = pa.Table.from_batches(lm._content(10**7)([docs]))
+    tokens, words = (sum(answered.column(c).to_pylist()) for c in ("tokens", "words"))
+    scored, in_score = peak(lambda: lm._score(3, tokens, words, lm.PRIOR)(content, answered.select(["chunk", "level", "bucket", "counts"])))
+    assert sum(scored.column("n_tokens").to_pylist()) == n + 700
+    assert in_ask < 110 and in_score < 120, (in_ask, in_score, [p for _, p in answers])
