@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from fairtally.llm.common import slices, stored
 
@@ -26,7 +27,8 @@ SAMPLE_PER_LANGUAGE = 1000
 MOST_LANGUAGES = 500
 BUCKETS = 24
 REJECT_SHARE = 0.5
-PART_BYTES = 1 << 20
+#: A part of a batch: text, and texts, whose counts are DIMS numbers each however short they are.
+PART_BYTES, PART_ROWS = 1 << 20, 256
 
 _tables: list[np.ndarray] = []
 
@@ -89,7 +91,7 @@ def _document_frequencies(dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(dims, np.int64), 0
         for batch in batches:
-            for part in slices(batch, "text", PART_BYTES):
+            for part in slices(batch, "text", PART_BYTES, PART_ROWS):
                 counts = gram_counts(part.column("text").to_pylist(), dims)
                 df += (counts > 0).sum(axis=0)
                 n += part.num_rows
@@ -173,7 +175,9 @@ def fit(
 def _predict(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", PART_BYTES):
+            if batch.num_columns == 1:  # the row holds the text
+                batch = batch.append_column("text", batch.column("row").field("text"))
+            for part in slices(batch, "text", PART_BYTES, PART_ROWS):
                 counts = gram_counts(part.column("text").to_pylist(), len(model.idf))
                 letters = counts.any(axis=1)
                 if model.languages:
@@ -203,6 +207,9 @@ def identify(documents: DataFrame, model: LanguageModel, keep_row: bool = False)
     rejected; ties go to the first language by name; repeated rows give equal results.
     """
     kept = documents.columns if keep_row else ["doc_id"]
-    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").cast("string").alias("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    # A batch has no second copy of a text that is in its row.
+    inside = "text" in kept and documents.schema["text"].dataType == StringType()
+    rows = documents.select(row, *([] if inside else [F.col("text").cast("string").alias("text")]))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean"
     return rows.mapInArrow(_predict(model), schema)

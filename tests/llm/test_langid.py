@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from fairtally.llm import langid
 from frames import no_documents, odd_documents
 
@@ -44,3 +46,19 @@ def test_empty_table_and_no_labels(spark):
     assert model.languages == []
     assert {r.lang_pred for r in langid.identify(odd_documents(spark), model).collect()} == {langid.UNKNOWN}
     assert langid.identify(no_documents(spark), model).collect() == []
+
+
+def test_batches_hold_a_text_once_and_few_texts_are_counted_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a short text {i}", "en") for i in range(600)], "doc_id bigint, text string, lang string")
+    model = langid.fit(docs)
+    found = langid.identify(docs, model, keep_row=True)
+    assert found._jdf.queryExecution().optimizedPlan().child().output().size() == 1
+    assert {r.row.doc_id for r in found.collect()} == set(range(600))
+    number = langid.identify(docs.withColumn("text", docs.doc_id), model, keep_row=True).collect()
+    assert len(number) == 600 and all(r.lang_pred == langid.UNKNOWN for r in number)
+    counted, gram_counts = [], langid.gram_counts
+    monkeypatch.setattr(langid, "gram_counts", lambda texts, dims: (counted.append(len(texts)), gram_counts(texts, dims))[1])
+    rows = pa.array([{"doc_id": i, "text": f"text {i}"} for i in range(600)])
+    parts = list(langid._predict(model)([pa.record_batch({"row": rows})]))
+    assert [r["doc_id"] for p in parts for r in p.column("row").to_pylist()] == list(range(600))
+    assert max(counted) <= 256 and sum(counted) == 600
