@@ -218,13 +218,13 @@ class _Links:
         return far.select(F.col("c.rep").alias("a"), F.col("rep").alias("b")).distinct()
 
     def unsettled(self, groups: DataFrame) -> DataFrame:
-        """Postings of lists with several components, with the largest one (``top``)."""
+        """Postings of lists with several components, with the largest one (``top``); written, as several steps read them."""
         posts = self.posted(groups)
         sizes = posts.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
         largest = sizes.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
-        return posts.join(largest.where("comps > 1").select("token", F.col("top.comp").alias("top")), "token")
+        return stored(posts.join(largest.where("comps > 1").select("token", F.col("top.comp").alias("top")), "token"), "unsettled")
 
-    def shared_shingles(self, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def shared_shingles(self, unsettled: DataFrame) -> tuple[DataFrame, DataFrame]:
         """What may still find a partner, (rep, n, s, c, tokens), and the rare shingles of it, (rep, shingle).
 
         Of n shingles s are shared with another unsettled document and c with more than RARE - 1 others.
@@ -232,7 +232,7 @@ class _Links:
         bounds every similarity; a document with too few shared shingles is left out. Of pairs without
         a common rare shingle, c is a bound too.
         """
-        wanted = self.unsettled(groups).select("rep").distinct()
+        wanted = unsettled.select("rep").distinct()
         rows = self.blobs.join(wanted, "rep", "left_semi").mapInArrow(single_shingles, "rep bigint, shingle bigint")
         rows = stored(rows, "single-shingles")
         common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -263,21 +263,21 @@ class _Links:
         least = F.least(F.col(f"{x}{shared}"), F.col(f"{y}{shared}"))
         return least * 100 >= (F.col(f"{x}n") + F.col(f"{y}n") - least) * self.percent
 
-    def hub_pairs(self, groups: DataFrame, facts: DataFrame) -> DataFrame:
+    def hub_pairs(self, unsettled: DataFrame, facts: DataFrame) -> DataFrame:
         """As star_pairs, where the center of a list is what shares the most: it is like most others."""
-        posts = self.unsettled(groups).join(facts.drop("tokens", "c"), "rep")
+        posts = unsettled.join(facts.drop("tokens", "c"), "rep")
         order = F.struct((F.col("s") / F.col("n")).alias("share"), (-F.col("rep")).alias("o"), "rep", "comp", "n", "s")
         far = posts.join(posts.groupBy("token").agg(F.max(order).alias("c")), "token")
         far = far.where((F.col("comp") != F.col("c.comp")) & self._may("", "c."))
         return far.select(F.col("c.rep").alias("a"), F.col("rep").alias("b")).distinct()
 
-    def rest_pairs(self, groups: DataFrame, facts: DataFrame) -> DataFrame:
+    def rest_pairs(self, unsettled: DataFrame, facts: DataFrame) -> DataFrame:
         """All pairs of different components that share a posting and may be similar enough without rare shingles, each once.
 
         Lists within one component make none; in other lists all but the largest component's
         members meet all members, so a large group of near copies meets only what isn't in it.
         """
-        able = self.unsettled(groups).join(facts, "rep")
+        able = unsettled.join(facts, "rep")
         few = able.where("comp != top").select("token", *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "n", "c", "tokens")])
         # Of the lists that a pair shares, the one with the least token speaks for it. At least one
         # side is outside of its largest component; if both are, the smaller asks.
@@ -335,7 +335,6 @@ def near_duplicates(
     linked with nothing and has no component (kept is false); rows with the same doc_id are
     one document.
     """
-    spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(docs.mapInArrow(sign_documents(shingle, coordinates), SIGNED), "signatures")
     key = ["n_shingles", "set_a", "set_b"]
@@ -351,16 +350,22 @@ def near_duplicates(
         "representatives",
     )
     links = _Links(docs, reps, shingle, percent, matches, coordinates)
-    groups = spark.createDataFrame([], "node bigint, component bigint")
+    # Each step is written before the next reads it: one plan over all of them has so many broadcasts and
+    # shuffles at once that the driver's heap grows for them, also on few rows. Joins with a table that is
+    # empty by a constant condition are left out of the plan.
+    groups = links.signatures.where(F.lit(False)).select(F.col("rep").alias("node"), F.col("rep").alias("component"))
     for turn in range(star_rounds):
-        near = links.matched(links.star_pairs(groups, turn))
-        groups, more = _merged(groups, links.confirmed(_best(near)))
+        near = stored(_best(links.matched(links.star_pairs(groups, turn))), "star-pairs")
+        groups, more = _merged(groups, links.confirmed(near))
         if not more:
             break
-    facts, rare = links.shared_shingles(groups)
-    near = links.matched(links.hub_pairs(groups, facts))
-    groups, _ = _merged(groups, links.confirmed(_best(near, 4)))
-    met = links.rest_pairs(groups, facts).union(links.rare_pairs(groups, facts, rare)).distinct()
+    unsettled = links.unsettled(groups)
+    facts, rare = links.shared_shingles(unsettled)
+    near = stored(_best(links.matched(links.hub_pairs(unsettled, facts)), 4), "hub-pairs")
+    groups, more = _merged(groups, links.confirmed(near))
+    if more:
+        unsettled = links.unsettled(groups)
+    met = stored(links.rest_pairs(unsettled, facts).union(links.rare_pairs(groups, facts, rare)).distinct(), "met")
     left = stored(links.matched(met), "candidates")
     groups, _ = _merged(groups, links.confirmed(_best(left, 4)))
     groups, _ = _merged(groups, links.confirmed(_between(groups, left)))

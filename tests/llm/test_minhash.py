@@ -1,10 +1,11 @@
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fairtally.llm import minhash
+from fairtally.llm import common, minhash
 from frames import no_documents, odd_documents, words
 
 
@@ -106,6 +107,30 @@ def test_loose_copies_make_few_pairs_and_lose_no_link(spark, monkeypatch, rare):
         assert made[-1] < 10 * len(texts)
 
 
+def test_no_step_plans_many_exchanges_at_once(spark, monkeypatch):
+    """The driver broadcasts and shuffles for a whole plan at a time, so its memory grows with the largest one."""
+    rng = random.Random(5)
+    base, texts = words(rng, 80), []
+    for i in range(60):
+        copy = base[:] if i % 2 else words(rng, 80)
+        for _ in range(i % 5):
+            copy[rng.randrange(80)] = f"w{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    written, steps = common.stored, {}
+
+    def counting(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        steps[label] = max(steps.get(label, 0), len(re.findall(r"(?:Broadcast)?Exchange ", plan)))
+        return written(df, label)
+
+    monkeypatch.setattr(minhash, "stored", counting)
+    monkeypatch.setattr(common, "stored", counting)
+    rows = list(enumerate(texts))
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 4).collect()}
+    assert found == brute(rows, 4)
+    assert max(steps.values()) <= 12, steps
+
+
 def test_rows_without_ids_and_repeated_rows_leave_one(spark):
     rng = random.Random(4)
     a, b = (" ".join(words(rng, 60)) for _ in range(2))
